@@ -46,6 +46,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", PATTERN)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.spans import digest_repeats
+
+    return digest_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage by name."""
     return {name: f for name, f in sorted(globals().items(), key=lambda x: (len(x[0].split("_")[0]), x[0])) if name[:2] == "op" and name[2].isdigit()}
