@@ -52,6 +52,12 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_repeats(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.near import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=(85, 100))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage by name."""
     return {name: f for name, f in sorted(globals().items(), key=lambda x: (len(x[0].split("_")[0]), x[0])) if name[:2] == "op" and name[2].isdigit()}

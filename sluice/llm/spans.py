@@ -25,6 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.hashing import BASE, BYTE, INVERSE, MUL, mix, powers
 from sluice.llm.storage import written
 
 #: Bytes of the short grams (a power of two).
@@ -37,30 +38,11 @@ BLOCK = 1 << 19
 CLASS, GONE, OPEN = 0, 1, 2
 _ROW = "kind int, key bigint, sub bigint, doc bigint, at bigint, n bigint"
 
-_RNG = np.random.default_rng(0x51C5)
-_BYTE = _RNG.integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-_MUL = _RNG.integers(0, 2**63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
-_POW = pow(int(_MUL[15]), -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spreads every bit of the numbers over all bits."""
-    x = (x ^ (x >> np.uint64(31))) * _MUL[8]
-    x = (x ^ (x >> np.uint64(29))) * _MUL[9]
-    return x ^ (x >> np.uint64(32))
-
-
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each position, by doubling."""
-    h, size, level = _BYTE[data], 1, 0
+    h, size, level = BYTE[data], 1, 0
     while size < GRAM:
-        h = h[:-size] * _MUL[level] + h[size:]
+        h = h[:-size] * MUL[level] + h[size:]
         size, level = size * 2, level + 1
     return mix(h)
 
@@ -103,7 +85,7 @@ class Runs:
         least = _slide(grams, length - GRAM + 1)
         n = len(least)
         if self._up is None or len(self._up) < len(grams) + 1:
-            self._up, self._down = _powers(int(_MUL[15]), len(grams) + 1), _powers(_POW, len(grams) + 1)
+            self._up, self._down = powers(BASE, len(grams) + 1), powers(INVERSE, len(grams) + 1)
         sums = np.concatenate([[np.uint64(0)], np.cumsum(grams * self._up[: len(grams)], dtype=np.uint64)])
         turn = np.empty(n, bool)
         turn[0] = True
