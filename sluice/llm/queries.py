@@ -52,6 +52,12 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_repeats(table(spark, sf_dir, "documents"))
 
 
+def op9_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.lattice import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.near import near_duplicates
 
