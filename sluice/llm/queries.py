@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.pages import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.wavelet import encode_and_read
 
