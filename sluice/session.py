@@ -37,7 +37,7 @@ def ship(spark: SparkSession) -> SparkSession:
         root = Path(__file__).parent
         at = os.path.join(tempfile.mkdtemp(prefix="spark-"), "sluice.zip")
         with zipfile.ZipFile(at, "w") as z:
-            for p in sorted(root.rglob("*.py")):
+            for p in sorted([*root.rglob("*.py"), *root.rglob("*.csv")]):
                 z.write(p, p.relative_to(root.parent))
         spark.sparkContext.addPyFile(at)
         _shipped.add(spark.sparkContext.applicationId)
