@@ -18,6 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_model(spark: SparkSession, sf_dir: str):
+    from sluice.llm.quality import fit_quality, rating
+
+    labels = table(spark, sf_dir, "labels").select("doc_id", rating(F.col("quality"), F.col("toxic")).alias("grade"))
+    return fit_quality(table(spark, sf_dir, "documents"), labels)
+
+
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.pages import extract_main_text
 
