@@ -37,6 +37,12 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.rules import apply_rules
+
+    return apply_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.wavelet import encode_and_read
 
