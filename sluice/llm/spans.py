@@ -114,8 +114,8 @@ def _runs(length: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for batch in batches:
-            for k in range(0, batch.num_rows, 5_000):
-                part = batch.slice(k, 5_000)
+            for k in range(0, batch.num_rows, 1_000):
+                part = batch.slice(k, 1_000)
                 key, sub, doc, at, n = runs.of(list(zip(part.column(0).to_pylist(), part.column(1).to_pylist())))
                 if not len(key):
                     continue
@@ -221,7 +221,7 @@ def _ranges(doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return doc[starts], at[starts], at[stops] - at[starts] + 1 if len(starts) else at[starts]
 
 
-def _order_windows(length: int, most: int = 400_000):
+def _order_windows(length: int, most: int = 100_000):
     """Rows (key, doc, at, n, data) in order of (key, doc, at) to runs of windows that aren't first."""
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
