@@ -78,3 +78,11 @@ def test_odd_documents(spark):
 def test_no_python_in_the_plan(spark):
     plan = m.measures(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_sql_gives_the_same_rows(spark):
+    from sluice.llm.oracle import oracle_sql
+    from tests.oracle import connect, difference
+
+    small = "/root/testdata/sf0.001"
+    assert difference(q.op3_divergence_rules(spark, small), oracle_sql()["op3_divergence_rules"], connect(small)) == ""
