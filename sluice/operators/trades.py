@@ -26,11 +26,9 @@ def _of(side: str, x: Column) -> Column:
     return x if SIDES[side] is None else F.when(F.col("side") == side, x)
 
 
-def _distribution(name: str, side: str, full: bool) -> dict[str, Column]:
+def _distribution(name: str, side: str) -> dict[str, Column]:
     x = _of(side, F.col(name))
-    out = {f"{name}_mean_{side}": F.avg(x), f"{name}_std_{side}": F.stddev_samp(x)}
-    if full:
-        out |= {f"{name}_min_{side}": F.min(x), f"{name}_max_{side}": F.max(x)}
+    out = {f"{name}_mean_{side}": F.avg(x), f"{name}_std_{side}": F.stddev_samp(x), f"{name}_min_{side}": F.min(x), f"{name}_max_{side}": F.max(x)}
     out |= {f"{name}_skew_{side}": F.skewness(x), f"{name}_kurtosis_{side}": F.kurtosis(x)}
     within = F.lit(True) if SIDES[side] is None else F.col("side") == side
     has_null = F.max(F.when(within & F.col(name).isNull(), 1).otherwise(0))
@@ -66,10 +64,10 @@ def trade_windows(trades: DataFrame, interval: str, groups: tuple[str, ...] = GR
         where = None if SIDES[side] is None else F.col("side") == side
         if "price" in groups:
             aggs |= {f"price_first_{side}": S.first_by(F.col("price"), order, where), f"price_last_{side}": S.last_by(F.col("price"), order, where)}
-            aggs |= _distribution("price", side, True)
+            aggs |= _distribution("price", side)
             late |= _ranks("price", side)
         if "size" in groups:
-            aggs |= _distribution("size", side, side == "trade")
+            aggs |= _distribution("size", side)
             late |= _ranks("size", side)
         if "rate" in groups:
             before = F.col("p_time" if side == "trade" else "p_side_time")
