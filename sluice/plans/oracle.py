@@ -24,7 +24,8 @@ bf AS (SELECT *, total_money_50 / (total_depth_50 + 1e-9) AS weighted_mid_price,
 
 
 def r(expression: str, name: str, digits: int = 4) -> str:
-    """Rounded after a small shift, so that no result lies on the edge between two roundings."""
+    """Rounded after a small shift, so that no result lies on the edge between two roundings; milliseconds to one digit."""
+    digits = 1 if name.startswith("rate_") else digits
     return f"round({expression} + {1.3 * 10 ** -(digits + 2):.3g}, {digits}) + 0.0 AS {name}"
 
 

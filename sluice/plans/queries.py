@@ -19,9 +19,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Doubles to so many digits (after a small shift off the edges, no negative zero), plain names for quantiles."""
-    kinds = dict(df.dtypes)
-    cols = [(F.round(F.col(f"`{c}`") + 1.3 * 10 ** -(digits + 2), digits) + 0.0 if kinds[c] == "double" else F.col(f"`{c}`")).alias(c.replace("0.", "q")) for c in df.columns]
+    """Doubles to so many digits (after a small shift off the edges, no negative zero; milliseconds to one digit), plain names for quantiles."""
+    kinds, cols = dict(df.dtypes), []
+    for c in df.columns:
+        x, n = F.col(f"`{c}`"), 1 if c.startswith("rate_") else digits
+        cols.append((F.round(x + 1.3 * 10 ** -(n + 2), n) + 0.0 if kinds[c] == "double" else x).alias(c.replace("0.", "q")))
     return df.select(*cols)
 
 
