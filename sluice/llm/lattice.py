@@ -1,12 +1,14 @@
-"""Document likelihood over all subword segmentations.
-
-The pieces are those of an existing subword vocabulary, as byte strings (a leading space marks the start
-of a word; single bytes are pieces too, so every text has a segmentation). Their weights start from the
-vocabulary's own scores: rank r has weight 1 / (r + 10). One round of expectation over the counts of all
-training words turns them into probabilities: expected counts of the pieces over all weighted
-segmentations, smoothed and normalised together with an end-of-text piece. A text is its words, each
-with a space before it, then the end; its probability is the sum over all segmentations, by the
-forward recursion in log space.
+"""Document likelihood over all segmentations of its words.
+
+The lattice of a word has the pieces of an existing subword vocabulary, as byte strings (a leading space
+marks the start of a word; single bytes are pieces too, so every word has a segmentation), and, for a word of
+the training texts, one edge over the whole word. Weights of the pieces start from the vocabulary's own
+scores: rank r has weight 1 / (r + 10). A round of expectation over all distinct training words turns them
+into probabilities of first pieces, and of further pieces or the word's end. Whole-word edges have the
+word's relative frequency. The share of the pieces is the chance of a new word (words seen once among
+all tokens). Frequencies and shares are those of a class of texts, such as a language; a text's probability is
+the sum over the classes, whatever its own is, of the product over its words and its end. A word's sum over
+segmentations is the forward recursion in log space.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from sluice.llm.storage import written
 END = b"\n"
 #: Words whose counts and likelihoods each executor keeps; the others are joined.
 COMMON_WORDS = 300_000
+#: Classes of texts (the largest; the rest are one more).
+CLASSES = 7
 #: Added to the expected count of each piece.
 SMOOTHING = 0.1
 #: Words of equal length worked on at once.
@@ -127,69 +131,101 @@ def _words(text: bytes | None) -> list[bytes]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    counts: dict[int, Counter] = {}
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "c"])
+    def out() -> Iterator[pa.RecordBatch]:
+        for k, found in counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(np.full(len(found), k), pa.int32()), pa.array(found.values(), pa.int64())], names=["word", "k", "c"])
 
     for batch in batches:
-        for k in range(0, batch.num_rows, 500):
-            for text in batch.column(0).slice(k, 500).to_pylist():
-                counts.update(_words(text))
-                counts[END] += 1
-            if len(counts) > 400_000:
-                yield out()
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.slice(lo, 500)
+            for k, text in zip(*(c.to_pylist() for c in part.columns)):
+                found = counts.setdefault(k, Counter())
+                found.update(_words(text))
+                found[END] += 1
+            if sum(map(len, counts.values())) > 400_000:
+                yield from out()
                 counts.clear()
-    if counts:
-        yield out()
+    yield from out()
 
 
-def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word binary, c) over all rows; every row adds one END."""
-    return texts.select(F.encode(F.col(text_col), "UTF-8").alias("t")).mapInArrow(_count, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+def word_counts(texts: DataFrame, n_classes: int = 1) -> DataFrame:
+    """(word binary, c, c0 ..) over all rows of (k, text): counts in all and in each class; a row adds one END."""
+    rows = texts.select("k", F.encode("text", "UTF-8").alias("t")).mapInArrow(_count, "word binary, k int, c bigint")
+    each = [F.coalesce(F.sum(F.when(F.col("k") == k, F.col("c"))), F.lit(0)).alias(f"c{k}") for k in range(n_classes)]
+    return rows.groupBy("word").agg(F.sum("c").alias("c"), *each)
 
 
 def train(counts: DataFrame, pieces: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, float]:
-    """Natural-log probabilities of the pieces and of the end, from all counted words.
+    """Natural-log probabilities of the pieces and of a word's end, from all distinct words.
 
     Each task sums the expected counts of its words; what reaches the driver is one number a piece.
     """
     start = counts.sparkSession.sparkContext.broadcast((pieces, np.log(weights / weights.sum())))
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, total = Lattice(*start.value), np.zeros(len(start.value[0]))
+        lattice, total, n = Lattice(*start.value), np.zeros(len(start.value[0])), 0
         for batch in batches:
-            total += lattice.expected_counts(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float))
+            words = batch.column(0).to_pylist()
+            total += lattice.expected_counts(words, np.ones(len(words)))
+            n += len(words)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int64()), pa.array([float(n), *total[some].tolist()])], names=["piece", "n"])
 
-    words = counts.where(F.col("word") != F.lit(END))
-    sums = words.mapInArrow(expect, "piece bigint, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()
+    words = counts.where(F.col("word") != F.lit(END)).select("word")
+    sums = words.mapInArrow(expect, "piece bigint, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas().set_index("piece")["n"]
+    n_words = float(sums.pop(-1)) if -1 in sums.index else 0.0
     expected = np.full(len(pieces), SMOOTHING)
-    expected[sums["piece"].to_numpy(int)] += sums["n"].to_numpy(float)
-    ends = counts.where(F.col("word") == F.lit(END)).agg(F.sum("c")).first()[0] or 0
-    total = expected.sum() + ends + SMOOTHING
-    return np.log(expected / total), math.log((ends + SMOOTHING) / total)
+    expected[sums.index.to_numpy(int)] += sums.to_numpy(float)
+    first = np.array([p[:1] == b" " for p in pieces])
+    rest = expected[~first].sum() + n_words + SMOOTHING
+    return np.log(np.where(first, expected / expected[first].sum(), expected / rest)), math.log((n_words + SMOOTHING) / rest)
 
 
-def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, fold: int = 2, common_words: int = COMMON_WORDS) -> DataFrame:
+class Mixture:
+    """Log10 probabilities of words in each class, from counts and the pieces' likelihood."""
+
+    def __init__(self, tokens: np.ndarray, once: np.ndarray, texts: np.ndarray):
+        self.tokens = np.maximum(tokens, 1)
+        self.new = np.where(tokens > 0, np.clip(once / self.tokens, 1e-4, 0.5), 1.0)
+        self.prior = (texts + 1) / (texts.sum() + len(texts))
+
+    def log10(self, counts: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+        """Rows of counts by class, natural log of the words' likelihood by pieces (-inf for the end)."""
+        with np.errstate(divide="ignore"):
+            whole = np.log(counts * (1 - self.new) / self.tokens)
+        return np.logaddexp(whole, np.log(self.new) + pieces[:, None]) / math.log(10)
+
+
+def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", modulus: int = 7, fold: int = 2, common_words: int = COMMON_WORDS) -> DataFrame:
     """One row for each document: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Tokens are lower-cased (A-Z) words and one end. Rows whose crc32(id as text) mod modulus is ``fold``
     are held out of training; a null id isn't. Null text has the end alone. ``score`` is the model's log10
-    probability of the text, ``base_score`` that of add-one smoothed word counts. Without training rows
-    the counts are 0 and the pieces keep smoothing alone. Repeated rows stay rows and count each time.
+    probability of the text, ``base_score`` that of add-one smoothed word counts. ``class_col`` (null: a class
+    of its own; None: one class for all) is read for training alone. Without training rows counts are 0 and
+    the pieces keep smoothing alone. Repeated rows stay rows and count each time.
 
     Words up to a count that ``common_words`` of them reach go with the code to every executor (a bounded
     table with exact counts); rarer ones meet their counts in a join, where each is scored once.
     """
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % modulus == fold, F.lit(False))
-    counts = written(word_counts(docs.where(~held), text_col), "words")
-    n_train, n_words = (x or 0 for x in counts.agg(F.sum("c"), F.count("c")).first())
+    label = F.coalesce(F.col(class_col).cast("string"), F.lit("")) if class_col else F.lit("")
+    sizes = docs.where(~held).groupBy(label.alias("label")).count().orderBy(F.desc("count"), "label").limit(CLASSES).collect()
+    names = [r["label"] for r in sizes]
+    k = F.lit(len(names))
+    for i, name in enumerate(names):
+        k = F.when(label == name, i).otherwise(k)
+    each = [f"c{i}" for i in range(len(names) + 1)]
+    counts = written(word_counts(docs.where(~held).select(k.alias("k"), F.col(text_col).alias("text")), len(each)), "words")
+    sums = counts.agg(F.sum("c").alias("n"), F.count("c").alias("v"), *[F.sum(c).alias(f"n{c}") for c in each], *[F.count(F.when(F.col(c) == 1, 1)).alias(f"o{c}") for c in each], *[F.sum(F.when(F.col("word") == F.lit(END), F.col(c))).alias(f"d{c}") for c in each]).first().asDict()
+    total = lambda kind: np.array([float(sums[f"{kind}{c}"] or 0) for c in each])
+    n_train, mixture = sums["n"] or 0, Mixture(total("n"), total("o"), total("d"))
     pieces, weights = read_vocabulary(model_file)
-    log_p, log_end = train(counts, pieces, weights)
-    shift, least, reached = math.log10(max(1, n_train + n_words + 1)), 1, 0
+    log_p, log_stop = train(counts, pieces, weights)
+    shift, least, reached = math.log10(max(1, n_train + sums["v"] + 1)), 1, 0
     for row in counts.groupBy("c").count().orderBy(F.desc("c")).toLocalIterator():
         reached += row["count"]
         if reached > common_words:
@@ -197,50 +233,61 @@ def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", te
             break
     frequent = counts.where(F.col("c") >= least).toPandas()
     words = [bytes(w) for w in frequent["word"]]
-    likely = Lattice(pieces, log_p).log_likelihood(words) / math.log(10) if words else np.zeros(0)
-    likely = [log_end / math.log(10) if w == END else x for w, x in zip(words, likely)]
-    common = spark.sparkContext.broadcast((words, np.log10(frequent["c"].to_numpy(float) + 1), np.array(likely, float)))
-    model, end10 = spark.sparkContext.broadcast((pieces, log_p)), log_end / math.log(10)
+    by_pieces = Lattice(pieces, log_p).log_likelihood(words) + log_stop if words else np.zeros(0)
+    by_pieces[[w == END for w in words]] = -np.inf
+    likely = mixture.log10(frequent[each].to_numpy(float), by_pieces)
+    common = spark.sparkContext.broadcast((words, np.log10(frequent["c"].to_numpy(float) + 1), likely))
+    model = spark.sparkContext.broadcast((pieces, log_p, log_stop, mixture))
+    no_end = mixture.log10(np.zeros((1, len(each))), np.zeros(1))[0]  # an end that training hasn't seen
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, base, like = common.value
         place = dict(zip(known, range(len(known))))
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part, rows, rare, times = batch.slice(k, 500), [], [], []
+            for at in range(0, batch.num_rows, 500):
+                part, rows, likes, rare, times = batch.slice(at, 500), [], [], [], []
                 for text in part.column(3).to_pylist():
                     found = Counter(_words(text))
                     found[END] = 1
-                    at = [(place[w], c) for w, c in found.items() if w in place]
-                    ids, n = (np.array(x) for x in zip(*at)) if at else (np.zeros(0, int),) * 2
+                    hits = [(place[w], c) for w, c in found.items() if w in place]
+                    ids, n = (np.array(x) for x in zip(*hits)) if hits else (np.zeros(0, int),) * 2
                     rest = {w: c for w, c in found.items() if w not in place and w != END}
-                    end = 0.0 if END in place else end10
-                    rows.append((int(sum(found.values())), int(n.sum()), float(base[ids] @ n), float(like[ids] @ n) + end))
+                    rows.append((int(sum(found.values())), int(n.sum()), float(base[ids] @ n)))
+                    likes.append(n @ like[ids] + (0.0 if END in place else no_end))
                     rare.append(list(rest))
                     times.append(list(rest.values()))
-                cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], *cols, pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))], names=names)
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))]
+                cols += [pa.array(c) for c in np.array(likes).T.copy()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *cols, pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))], names=columns)
 
-    names = ["row", "doc", "held_out", "n_tokens", "n_known", "base", "like", "rare", "times"]
+    likes = [f"l{i}" for i in range(len(each))]
+    columns = ["row", "doc", "held_out", "n_tokens", "n_known", "base", *likes, "rare", "times"]
+    doubles = ", ".join(f"{c} double" for c in likes)
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc"), held.alias("held_out"), F.encode(F.col(text_col), "UTF-8").alias("t"))
-    first = written(source.mapInArrow(local, f"row bigint, doc {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, like double, rare array<binary>, times array<int>"), "scores")
+    first = written(source.mapInArrow(local, f"row bigint, doc {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, {doubles}, rare array<binary>, times array<int>"), "scores")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(*model.value)
+        known, log_pieces, stop, mix = model.value
+        lattice = Lattice(known, log_pieces)
         for batch in batches:
-            word, index = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True) if batch.num_rows else ([], [])
-            if not len(word):
+            if not batch.num_rows:
                 continue
-            like = lattice.log_likelihood(list(word))[index] / math.log(10)
+            word, index = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
             n, c = batch.column(2).to_numpy(), batch.column(3).fill_null(0).to_numpy().astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n * (c > 0), pa.int64()), pa.array(np.log10(c + 1) * n), pa.array(like * n)], names=["row", "k", "b", "l"])
+            by_class = np.stack([batch.column(4 + i).fill_null(0).to_numpy() for i in range(len(each))], 1).astype(float)
+            like = mix.log10(by_class, (lattice.log_likelihood(list(word)) + stop)[index]) * n[:, None]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n * (c > 0), pa.int64()), pa.array(np.log10(c + 1) * n), *[pa.array(x) for x in like.T.copy()]], names=["row", "k", "b", *likes])
 
     rare = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(F.col("w.rare").alias("word"), "row", F.col("w.times").cast("bigint").alias("n"))
-    met = rare.join(counts.where(F.col("c") < least), "word", "left").select("word", "row", "n", "c")
-    sums = met.mapInArrow(finish, "row bigint, k bigint, b double, l double").groupBy("row").agg(F.sum("k").alias("k"), F.sum("b").alias("b"), F.sum("l").alias("l"))
+    met = rare.join(counts.where(F.col("c") < least), "word", "left").select("word", "row", "n", "c", *each)
+    more = met.mapInArrow(finish, f"row bigint, k bigint, b double, {doubles}").groupBy("row").agg(F.sum("k").alias("k"), F.sum("b").alias("b"), *[F.sum(c).alias(f"more_{c}") for c in likes])
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return first.drop("rare", "times").join(sums, "row", "left").select(
-        F.col("doc").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + zero("k")).alias("n_known"), F.lit(n_train).cast("bigint").alias("train_tokens"),
-        (F.col("base") + zero("b") - F.col("n_tokens") * F.lit(shift)).alias("base_score"), (F.col("like") + zero("l")).alias("score"),
+    joined = first.drop("rare", "times").join(more, "row", "left")
+    terms = [F.col(c) + zero(F.col(f"more_{c}")) + F.lit(math.log10(p)) for c, p in zip(likes, mixture.prior)]
+    joined = joined.withColumn("top", F.greatest(*terms) if len(terms) > 1 else terms[0])
+    score = F.col("top") + F.log10(sum([F.pow(F.lit(10.0), t - F.col("top")) for t in terms[1:]], F.pow(F.lit(10.0), terms[0] - F.col("top"))))
+    return joined.select(
+        F.col("doc").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + zero(F.col("k"))).alias("n_known"), F.lit(n_train).cast("bigint").alias("train_tokens"),
+        (F.col("base") + zero(F.col("b")) - F.col("n_tokens") * F.lit(shift)).alias("base_score"), score.alias("score"),
     )

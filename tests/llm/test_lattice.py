@@ -44,7 +44,7 @@ def test_expected_counts_add_up():
 def test_small_tables(spark, common):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     docs += [(1000, None), (1001, ""), (1002, "Zq" * 300)]
-    df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id bigint, text string, row int")
+    df = spark.createDataFrame([(i, t, f"x{i % 3}" if i % 3 else None, 1) for i, t in docs], "doc_id bigint, text string, lang string, row int")
     counts = brute.word_counts(docs)
     n, v = sum(counts.values()), len(counts)
     got = {r["doc_id"]: r for r in m.score_documents(df, f"{q.TOKENIZERS}/piece_bpe_32k.model", common_words=common).collect()}
@@ -57,16 +57,31 @@ def test_small_tables(spark, common):
         assert math.isclose(r["base_score"], sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens), rel_tol=1e-9)
         assert r["score"] < 0 and math.isfinite(r["score"])
     pieces, weights = m.read_vocabulary(f"{q.TOKENIZERS}/piece_bpe_32k.model")
-    log_p, log_end = m.train(spark.createDataFrame([(k.encode(), c) for k, c in counts.items()], "word binary, c bigint"), pieces, weights)
-    lattice = m.Lattice(pieces, log_p)
-    for i in (0, 1, 7, 1000, 1002):
+    log_p, log_stop = m.train(spark.createDataFrame([(k.encode(), c) for k, c in counts.items()], "word binary, c bigint"), pieces, weights)
+    lattice, parts = m.Lattice(pieces, log_p), [brute.word_counts([d for d in docs if d[0] % 3 == r]) for r in range(3)]
+    training = [sum(1 for i, _ in docs if i % 3 == r and not got[i]["held_out"]) for r in range(3)]
+    for i in (0, 1, 7, 10, 1000, 1002):
         words = [w.encode() for w in brute.WORDS.findall(brute.lower(dict(docs)[i]))]
-        want = (sum(lattice.log_likelihood(words)) if words else 0) + log_end
-        assert math.isclose(got[i]["score"], want / math.log(10), rel_tol=1e-6)
+        chances = []
+        for part, texts in zip(parts, training):
+            tokens = sum(part.values())
+            new = min(0.5, max(1e-4, sum(c == 1 for c in part.values()) / tokens))
+            total = math.log10((texts + 1) / (sum(training) + 4)) + math.log10((1 - new) * part["\n"] / tokens)
+            for w, x in zip(words, lattice.log_likelihood(words) if words else []):
+                seen = (1 - new) * part[w.decode()] / tokens
+                total += np.logaddexp(math.log(seen) if seen else -np.inf, math.log(new) + x + log_stop) / math.log(10)
+            chances.append(total)
+        top = max(chances)
+        assert math.isclose(got[i]["score"], top + math.log10(sum(10 ** (c - top) for c in chances)), rel_tol=1e-6)
     plain = m.Lattice(pieces, np.log(weights / weights.sum()))
     held = [w.encode() for i, t in docs if got[i]["held_out"] for w in brute.WORDS.findall(brute.lower(t))]
     assert lattice.log_likelihood(held).sum() > plain.log_likelihood(held).sum()
 
 
+def test_held_out_texts_are_likelier_than_by_the_base(spark):
+    got = q.op9_subword_lattice(spark, "/root/testdata/sf0.1").where("held_out").agg({"score": "sum", "base_score": "sum"}).collect()[0]
+    assert got["sum(score)"] > got["sum(base_score)"]
+
+
 def test_empty_table(spark):
-    assert m.score_documents(spark.createDataFrame([], "doc_id bigint, text string"), f"{q.TOKENIZERS}/piece_bpe_32k.model").count() == 0
+    assert m.score_documents(spark.createDataFrame([], "doc_id bigint, text string, lang string"), f"{q.TOKENIZERS}/piece_bpe_32k.model").count() == 0
