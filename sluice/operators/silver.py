@@ -30,6 +30,16 @@ def missing_ends(table: DataFrame, start_ms: int, now_ms: int, rule: str = "all_
     return expected_ends(table.sparkSession, start_ms, now_ms).join(complete_ends(table, rule), "ts_ms", "left_anti")
 
 
+def pending_ends(wanted: DataFrame, existing: DataFrame) -> DataFrame:
+    """Window ends that were asked for and aren't there yet."""
+    return wanted.select("ts_ms").distinct().join(existing.select("ts_ms").distinct(), "ts_ms", "left_anti")
+
+
+def windows_at(windows: DataFrame, ends: DataFrame) -> DataFrame:
+    """The windows that end at the asked times."""
+    return windows.join(ends.select("ts_ms").distinct(), "ts_ms", "left_semi")
+
+
 def propagate(missing: DataFrame, now_ms: int, cascade: bool = False) -> DataFrame:
     """(interval, ts_ms): the windows that missing ones make stale; ``missing`` has interval, ts_ms.
 

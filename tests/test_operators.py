@@ -127,6 +127,14 @@ def test_gap_propagation(spark):
         assert {r[0]: r[1] // 60_000 for r in got} | {"4h": 0, "1d": 0} == {"5m": 0, "15m": 10, "1h": reach, "4h": 0, "1d": 0}
 
 
+def test_pending_windows(spark):
+    ends = lambda *t: spark.createDataFrame([(x,) for x in t], "ts_ms bigint")
+    assert [r[0] for r in silver.pending_ends(ends(1, 2, 2, 3), ends(2)).orderBy("ts_ms").collect()] == [1, 3]
+    assert silver.windows_at(ends(1, 2, 3), ends(3, 3)).count() == 1
+    kept = spark.createDataFrame([(1, 1.0), (2, None)], "ts_ms bigint, v double")
+    assert [silver.complete_ends(kept, rule).count() for rule in ("all_non_null", "row_exists")] == [1, 2]
+
+
 def test_merge_is_idempotent_and_nulls_overwrite(spark):
     old = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k bigint, v double")
     new = spark.createDataFrame([(2, None), (3, 3.0)], "k bigint, v double")
