@@ -3,9 +3,10 @@
 Two small collections of minhash bands are computed, m bands each. A table key joins a band of the first
 with a band of the second, so m * m tables cost 2 * m bands of minhashes instead of m * m. Documents of
 equal shingle sets are one class and only its smallest id goes on. Within a table key, members are first
-held against one pivot; connected components of verified links are formed; keys whose members then
-still belong to several components are taken up again, at last pair by pair across components, so no
-key is capped and no pair that shares a key is lost.
+held against one pivot and connected components of the verified links are formed. Keys whose members then
+still belong to several components are taken up again: their documents meet by the bands of the first
+collection, in blocks, and every pair across components that also shares a band of the second and whose
+sketches don't rule out a link is verified. No key is capped and no pair that shares a key is passed over.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,11 @@ from sluice.llm.storage import written
 BANDS, ROWS = 8, 2
 #: Members that one task holds against a pivot.
 PIVOT_MEMBERS = 256
+#: Bins of the sketch (a power of two), and how many standard deviations below the threshold a sketch's
+#: estimate must be to rule a link out.
+BINS, SURE = 512, 4.0
+#: Members of a block when documents of one band are compared with each other.
+BLOCK = 384
 
 _LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
@@ -69,24 +76,30 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.nda
     return h[new], np.bincount(doc[new], minlength=len(texts))
 
 
-def table_keys(h: np.ndarray, first: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """For each set (starting at ``first`` in h, none empty) the bands * bands table keys."""
-    sides = []
-    for side in range(2):
-        collection = []
-        for band in range(bands):
-            value = np.full(len(first), band + 1, np.uint64)
-            for row in range(rows):
-                a = MUL[16 + (side * bands + band) * rows + row]
-                value = mix(value * MUL[12] + np.minimum.reduceat(h * a, first))
-            collection.append(value)
-        sides.append(collection)
-    return np.stack([mix(a * MUL[13] + b * MUL[14] + np.uint64(i * bands + j)) for i, a in enumerate(sides[0]) for j, b in enumerate(sides[1])], 1).view(np.int64)
+def band_values(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set (starting at ``first`` in h, none empty) the bands of both collections."""
+    out = []
+    for band in range(2 * BANDS):
+        value = np.full(len(first), band + 1, np.uint64)
+        for row in range(ROWS):
+            value = mix(value * MUL[12] + np.minimum.reduceat(h * MUL[16 + band * ROWS + row], first))
+        out.append(value)
+    return np.stack(out, 1).view(np.int64)
+
+
+def sketches(h: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """One byte of the least hash in each bin of the hash range, 0 for an empty bin; h is in order."""
+    bins = (h >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    new = np.ones(len(h), bool)
+    new[1:] = (bins[1:] != bins[:-1]) | (owner[1:] != owner[:-1])
+    out = np.zeros((n, BINS), np.uint8)
+    out[owner[new], bins[new]] = (mix(h[new]) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    return out
 
 
 def _slices(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``size`` bytes of the column."""
-    lengths = np.array([len(x) for x in batch.column(column).to_pylist()]) if batch.num_rows else np.zeros(0, int)
+    lengths = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)
     cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
     for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         if hi > lo:
@@ -100,13 +113,15 @@ def _signatures(width: int):
                 h, n = shingle_sets(part.column(1).to_pylist(), width)
                 some = np.flatnonzero(n)
                 first = (np.cumsum(n) - n)[some]
-                d1, d2, keys = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), [None] * len(n)
+                d1, d2, bands, marks = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64), [None] * len(n), [None] * len(n)
                 if len(some):
                     d1[some], d2[some] = (np.add.reduceat(mix(h * MUL[k]), first).view(np.int64) for k in (6, 7))
-                    for i, row in zip(some.tolist(), table_keys(h, first)):
-                        keys[i] = row
+                    owner = np.repeat(np.arange(len(some)), n[some])
+                    for i, row, mark in zip(some.tolist(), band_values(h, first), sketches(h, owner, len(some))):
+                        bands[i], marks[i] = row, mark.tobytes()
                 none = n == 0
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(d1, mask=none), pa.array(d2, mask=none), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "n", "d1", "d2", "keys"])
+                cols = [part.column(0), pa.array(n, pa.int64()), pa.array(d1, mask=none), pa.array(d2, mask=none), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc", "n", "d1", "d2", "bands", "sketch"])
 
     return sign
 
@@ -114,7 +129,8 @@ def _signatures(width: int):
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack.compress(x) for x in batch.column(1).to_pylist()], pa.binary())], names=["doc", "data"])
+        for part in _slices(batch, 1):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([pack.compress(x) for x in part.column(1).to_pylist()], pa.binary())], names=["doc", "data"])
 
 
 def _verify(width: int, num: int, den: int):
@@ -176,6 +192,73 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def least_share(bins: np.ndarray, union: np.ndarray, t: float) -> np.ndarray:
+    """Share of equal bins below which a similarity of t is ruled out.
+
+    The share's variance is that of one-permutation hashing with ``bins`` filled bins and ``union`` elements; it falls
+    to 0 as every element gets a bin of its own.
+    """
+    bins, rest = np.maximum(bins, 1), np.maximum(union, 2) - 1
+    variance = t * (1 - t) * np.maximum(0, (1 + 1 / rest) / bins - 1 / rest)
+    return t - SURE * np.sqrt(variance) - 1 / bins
+
+
+def _block_pairs(num: int, den: int):
+    """Rows (band, key, lo, hi, doc, n, label, block, bands, sketch) in order of the first four to pairs (a, b)."""
+    t = num / den
+
+    def compare(rows: list[dict], lo: int, hi: int, band: int) -> pa.RecordBatch:
+        sides = [[r for r in rows if r["block"] == x] for x in (lo, hi)]
+        out = ([], [])
+        if sides[0] and sides[1]:
+            docs, counts, labels, bands, marks = zip(*((np.array([r["doc"] for r in s]), np.array([r["n"] for r in s]), np.array([r["label"] for r in s]), np.array([r["bands"] for r in s]), np.frombuffer(b"".join(bytes(r["sketch"]) for r in s), np.uint8).reshape(-1, BINS)) for s in sides))
+            for k in range(len(docs[0])):
+                cand = labels[1] != labels[0][k]
+                if lo == hi:
+                    cand[: k + 1] = False
+                at = np.flatnonzero(cand)
+                shared = bands[1][at] == bands[0][k]
+                at = at[(np.argmax(shared[:, :BANDS], 1) == band) & shared[:, BANDS:].any(1)]
+                same, both = (marks[1][at] == marks[0][k]) & (marks[0][k] > 0), (marks[1][at] | marks[0][k]) > 0
+                bins, union = both.sum(1), (counts[1][at] + counts[0][k]) / (1 + t)
+                at = at[same.sum(1) >= bins * least_share(bins, union, t)]
+                out[0].extend(np.minimum(docs[1][at], docs[0][k]).tolist())
+                out[1].extend(np.maximum(docs[1][at], docs[0][k]).tolist())
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                for r in batch.slice(at, 500).to_pylist():
+                    group = (r["band"], r["key"], r["lo"], r["hi"])
+                    if group != now and held:
+                        yield compare(held, now[2], now[3], now[0])
+                        held = []
+                    now = group
+                    held.append(r)
+        if held:
+            yield compare(held, now[2], now[3], now[0])
+
+    return pairs
+
+
+def pairs_across(open_docs: DataFrame, signed: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of all documents of different labels that share a band of each collection and may be linked.
+
+    ``open_docs`` has doc, label. A band's documents are dealt out over blocks of bounded size and blocks meet
+    in pairs; a pair is taken up under the first band that it shares.
+    """
+    spark = open_docs.sparkSession
+    rows = (open_docs.join(signed.select("doc", "n", "bands", "sketch").dropDuplicates(["doc"]), "doc")
+            .select("doc", "n", "label", "bands", "sketch", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "key")))
+    groups = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(groups, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return met.select("band", "key", "lo", "hi", "doc", "n", "label", "block", "bands", "sketch").repartition(parts, "band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi", "doc").mapInArrow(_block_pairs(num, den), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """One row for each document: (id, n_shingles, component_id, kept).
 
@@ -188,9 +271,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     num, den = threshold
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("data"))
-    signed = written(plain.mapInArrow(_signatures(width), "doc bigint, n bigint, d1 bigint, d2 bigint, keys array<bigint>"), "signatures")
+    signed = written(plain.mapInArrow(_signatures(width), "doc bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch binary"), "signatures")
     classes = written(signed.where("n > 0 and doc is not null").groupBy("d1", "d2").agg(F.min("doc").alias("rep")), "classes")
-    keys = signed.select("doc", "keys").join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", F.explode("keys").alias("key"))
+    tables = F.transform(F.sequence(F.lit(0), F.lit(BANDS * BANDS - 1)), lambda k: F.xxhash64(k, F.get("bands", F.floor(k / BANDS).cast("int")), F.get("bands", BANDS + k % BANDS)))
+    keys = signed.select("doc", "bands").join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", F.explode(tables).alias("key"))
     ends = keys.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").select("key", "pivot")
     buckets = written(keys.join(ends, "key"), "buckets")
     packed = plain.where("doc is not null").mapInArrow(_pack, "doc bigint, data binary")
@@ -198,29 +282,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tested = written(buckets.where("doc > pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = written(verified_links(tested, texts, width, num, den), "links")
     labels = components(links)
-    for last in (False, False, True):
-        label = labels.select(F.col("id").alias("doc"), "label")
-        labelled = buckets.select("key", "doc").join(label, "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
-        ends = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high")
-        open_keys = written(labelled.join(ends, "key"), "open")
-        cost, members = open_keys.agg(F.sum(F.col("size") - 1), F.count(F.lit(1))).first()
-        if not members:
-            break
-        exhaustive = last or cost <= 32 * members
-        if exhaustive:
-            one, two = (open_keys.select("key", F.col("doc").alias(d), F.col("label").alias(m)) for d, m in (("a", "m"), ("b", "w")))
-            pairs = one.join(two, "key").where("a < b and m <> w").select("a", "b")
-        else:
-            second = open_keys.where("label > low").groupBy("key").agg(F.min(F.struct("doc", "label")).alias("p"))
-            far = open_keys.join(second, "key").where(F.col("label") != F.col("p.label"))
-            pairs = far.select(F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b"))
-        fresh = written(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    label = labels.select(F.col("id").alias("doc"), "label")
+    labelled = buckets.select("key", "doc").join(label, "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
+    ends = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    open_docs = written(labelled.join(ends, "key", "left_semi").select("doc", "label").distinct(), "open")
+    if not open_docs.isEmpty():
+        fresh = written(pairs_across(open_docs, signed, num, den).join(tested, ["a", "b"], "left_anti"), "pairs")
         found = written(verified_links(fresh, texts, width, num, den), "links")
-        tested, links = tested.unionByName(fresh), links.unionByName(found)
         if not found.isEmpty():
-            labels = components(links)
-        if exhaustive:
-            break
+            labels = components(links.unionByName(found))
     nodes = classes.join(labels, classes.rep == labels.id, "left").select("d1", "d2", F.coalesce("label", "rep").alias("label"))
     result = signed.select("doc", "n", "d1", "d2").join(nodes, ["d1", "d2"], "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("label", "doc"))

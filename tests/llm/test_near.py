@@ -37,7 +37,8 @@ def test_small_tables(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_chains(spark, seed):
+def test_chains(spark, seed, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 20)
     docs = chained_documents(seed)
     df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id bigint, text string, label string")
     assert rows(near.near_duplicates(df, threshold=(85, 100)), *COLUMNS) == brute.near_groups(docs)
