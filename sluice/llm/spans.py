@@ -297,7 +297,9 @@ def repeated_runs(docs: DataFrame, packed: DataFrame, length: int = 100) -> Data
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([pack.compress(x) for x in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())], names=batch.schema.names)
+        for k in range(0, batch.num_rows, 500):
+            part = batch.slice(k, 500)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([pack.compress(x) for x in part.column(part.num_columns - 1).to_pylist()], pa.binary())], names=part.schema.names)
 
 
 def covered(spans: list[dict] | None, size: int, length: int) -> list[tuple[int, int]]:
