@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+#: Rows in an Arrow batch, where the session has Spark's default of 10,000: rows hold whole long texts.
+BATCH_ROWS = 2_000
+
 _shipped: set[str] = set()
 
 
@@ -32,7 +35,10 @@ def session(app: str = "sluice", **settings: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package's modules to the executors once in an application."""
+    """Sends this package's modules to the executors once in an application, and sets small Arrow batches."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, BATCH_ROWS)
     if spark.sparkContext.applicationId not in _shipped:
         root = Path(__file__).parent
         at = os.path.join(tempfile.mkdtemp(prefix="spark-"), "sluice.zip")
