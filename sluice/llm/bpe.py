@@ -37,7 +37,7 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
 class MonoidBpe:
     """Encodes pieces of bytes by merge ranks; decodes ids."""
 
-    def __init__(self, ranks: dict[bytes, int], memo_limit: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], memo_limit: int = 300_000):
         self.ranks, self._limit = ranks, memo_limit
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
@@ -155,7 +155,7 @@ class TextCodec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe, self._find = MonoidBpe(ranks), regex.compile(pattern).findall
-        self._cache = ChunkCache(self._pieces)
+        self._cache = ChunkCache(self._pieces, lambda text: self._pieces([text])[0], limit=400_000)
 
     def _pieces(self, chunks: list[str]) -> list[bytes]:
         encode, find, out = self.bpe.encode_piece, self._find, []

@@ -22,30 +22,57 @@ def safe(chunk: str) -> bool:
     return chunk == "\n" or bool(rest) and not rest[0].isspace() and not rest[-1].isspace()
 
 
+#: Fixed value: ASCII punctuation. A run of it after a letter is a piece of its own.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def stem(chunk: str) -> str:
+    """The chunk without the run of marks at its end, if a letter stands before; else the chunk."""
+    rest = chunk.rstrip(_MARKS)
+    return rest if len(rest) < len(chunk) and rest[-1:].isalpha() else chunk
+
+
 class ChunkCache:
-    """Encodes texts by chunk. ``encode_many`` maps a list of strings to a list of bytes.
+    """Encodes texts by chunk.
 
-    A text with a chunk that isn't safe is encoded as one. The cache holds at most ``limit`` short
-    chunks and starts anew beyond.
+    ``encode_safe`` maps a list of short safe chunks to a list of bytes, ``encode_whole`` any text. A text
+    with a long chunk or one that isn't safe is encoded as one. The cache holds at most ``limit`` chunks
+    and starts anew beyond. A new chunk that ends in marks after a letter is put together from two.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 800_000):
-        self._encode_many, self._limit, self._known = encode_many, limit, {}
+    def __init__(self, encode_safe: Callable[[list[str]], list[bytes]], encode_whole: Callable[[str], bytes], limit: int = 800_000):
+        self._safe, self._whole, self._limit, self._known = encode_safe, encode_whole, limit, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Bytes of each text's ids, in order."""
         if len(self._known) > self._limit:
             self._known = {}
-        known, cut, missing = self._known, [chunked(x) if x else [] for x in texts], set()
-        for parts in cut:
-            missing.update([x for x in parts if x not in known])
-        known.update(dict.fromkeys([x for x in missing if not safe(x)]))
-        short = [x for x in missing if len(x) < 200 and x not in known]
-        known.update(zip(short, self._encode_many(short)))
-        get, out = known.__getitem__, []
-        for text, parts in zip(texts, cut):
+        known, cut, missing = self._known, [], set()
+        for text in texts:
+            parts = chunked(text) if text else []
+            values = list(map(known.get, parts))
+            gaps = [k for k, v in enumerate(values) if v is None] if None in values else []
+            missing.update([parts[k] for k in gaps])
+            cut.append((parts, values, gaps))
+        short = [x for x in missing if len(x) < 200 and safe(x)]
+        known.update(dict.fromkeys([x for x in missing if len(x) < 200], False))
+        split = [(x, y, x[len(y) :]) for x in short if len(y := stem(x)) < len(x)]
+        alone = {x for x in short if len(stem(x)) == len(x)}
+        for _, y, z in split:
+            if not known.get(y):
+                alone.add(y)
+            if not known.get(z):
+                alone.add(z)
+        new = list(alone)
+        known.update(zip(new, self._safe(new)))
+        for x, y, z in split:
+            known[x] = known[y] + known[z]
+        out = []
+        for text, (parts, values, gaps) in zip(texts, cut):
+            for k in gaps:
+                values[k] = known.get(parts[k])
             try:
-                out.append(b"".join(map(get, parts)))
-            except (KeyError, TypeError):  # a long chunk, or one that isn't safe
-                out.append(self._encode_many([text])[0])
+                out.append(b"".join(values))
+            except TypeError:  # a long chunk, or one that isn't safe
+                out.append(self._whole(text))
         return out

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,19 +119,46 @@ class WaveletMatrix:
 
 
 class _Encoder:
-    _built: dict[str, ChunkCache] = {}
+    """The tokenizer of a Python worker. New chunks are encoded many at a time, as one text.
+
+    A chunk without leading space gets a newline before it, which is a piece of its own, so chunks meet where
+    the pre-tokeniser cuts; the tokens' lengths in bytes tell where each chunk's ids end.
+    """
+
+    _built: dict[int, ChunkCache] = {}
+
+    def __init__(self, content: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_str(content)
+        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
+        self._bytes = np.zeros(max(vocabulary.values()) + 2, np.int64)
+        for token, i in vocabulary.items():  # one character of the byte-level alphabet is one byte
+            self._bytes[i] = len(token)
+
+    def whole(self, text: str) -> bytes:
+        return array("H", self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def many(self, chunks: list[str], size: int = 4_000) -> list[bytes]:
+        out = []
+        for k in range(0, len(chunks), size):
+            some = chunks[k : k + size]
+            spaced = [x if x[0] in " \n" else "\n" + x for x in some]
+            ids = np.array(self._tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.cumsum([len(x.encode()) for x in spaced])
+            stops = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
+            packed = ids.tobytes()
+            starts = [0, *stops[:-1].tolist()]
+            out += [packed[2 * (a + (x is not y)) : 2 * b] for a, b, x, y in zip(starts, stops.tolist(), some, spaced)]
+        return out
 
     @classmethod
     def of_worker(cls, content: str) -> ChunkCache:
-        key = str(hash(content))
-        if key not in cls._built:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            tokenizer = Tokenizer.from_str(content)
-            tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-            many = lambda texts: [np.array(x.ids, "<u2").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            cls._built = {key: ChunkCache(many)}
+        if (key := hash(content)) not in cls._built:
+            own = cls(content)
+            cls._built = {key: ChunkCache(own.many, own.whole, limit=1_000_000)}
         return cls._built[key]
 
 
