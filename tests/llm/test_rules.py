@@ -75,6 +75,16 @@ def test_odd_documents(spark):
     assert m.apply_rules(df.union(df)).count() == 24
 
 
+def test_keyword_list_is_rejected_by_a_share_of_the_reference(spark):
+    word = lambda k: f"word{chr(97 + k % 26)}{chr(97 + k // 26)}"
+    plain_text, keywords = " ".join(f"the of {word(k)} in a {word(k + 1)}" for k in range(50)), " ".join(word(k) for k in range(150))
+    docs = [*[(k, plain_text, "en") for k in range(20)], (20, keywords, "en"), (21, keywords, "xx"), (22, None, "en")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    got = rows(m.apply_rules(df, word_share=0.75), "n_words", "base_failed", "kept", "character_distance", "word_distance")
+    assert not got[20][1] and not got[20][2] and got[20][3] <= m.MAX_CHARACTER_DISTANCE and got[20][4] > 0.5
+    assert all(got[k][2] for k in range(20)) and got[21][2] and got[21][4] == 0.0
+
+
 def test_no_python_in_the_plan(spark):
     plan = m.measures(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
