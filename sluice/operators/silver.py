@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from sluice.functions.timeutil import INTERVALS, STEP_MS, expand_windows, interval_ms
 
 
-def complete_ends(table: DataFrame, rule: str = "all_non_null") -> DataFrame:
-    """(ts_ms) of finished windows: every value present, or with rule "row_exists" any row."""
+def complete_ends(table: DataFrame, rule: str = "all_non_null", keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, ts_ms) of finished windows: every value present, or with rule "row_exists" any row."""
     if rule == "row_exists":
-        return table.select("ts_ms").distinct()
+        return table.select(*keys, "ts_ms").distinct()
     whole = F.lit(True)
     for c in table.columns:
         whole = whole & F.col(f"`{c}`").isNotNull()
-    return table.where(whole).select("ts_ms").distinct()
+    return table.where(whole).select(*keys, "ts_ms").distinct()
 
 
 def expected_ends(spark, start_ms: int, now_ms: int, step_ms: int = STEP_MS) -> DataFrame:
@@ -25,9 +25,15 @@ def expected_ends(spark, start_ms: int, now_ms: int, step_ms: int = STEP_MS) ->
     return spark.range(start_ms, now_ms + 1, step_ms).select(F.col("id").alias("ts_ms"))
 
 
-def missing_ends(table: DataFrame, start_ms: int, now_ms: int, rule: str = "all_non_null") -> DataFrame:
-    """(ts_ms) that are expected but not complete. ``now_ms`` is an argument, so a run can be repeated."""
-    return expected_ends(table.sparkSession, start_ms, now_ms).join(complete_ends(table, rule), "ts_ms", "left_anti")
+def missing_ends(table: DataFrame, start_ms: int, now_ms: int, rule: str = "all_non_null", keys: tuple[str, ...] = (), of: DataFrame | None = None) -> DataFrame:
+    """(keys, ts_ms) that are expected but not complete. ``now_ms`` is an argument, so a run can be repeated.
+
+    With ``keys`` (such as the symbol) every window is expected of each key in ``of``, or else in the table.
+    """
+    expected = expected_ends(table.sparkSession, start_ms, now_ms)
+    if keys:
+        expected = (table if of is None else of).select(*keys).distinct().crossJoin(expected)
+    return expected.join(complete_ends(table, rule, keys), [*keys, "ts_ms"], "left_anti")
 
 
 def pending_ends(wanted: DataFrame, existing: DataFrame) -> DataFrame:
@@ -40,15 +46,15 @@ def windows_at(windows: DataFrame, ends: DataFrame) -> DataFrame:
     return windows.join(ends.select("ts_ms").distinct(), "ts_ms", "left_semi")
 
 
-def propagate(missing: DataFrame, now_ms: int, cascade: bool = False) -> DataFrame:
-    """(interval, ts_ms): the windows that missing ones make stale; ``missing`` has interval, ts_ms.
+def propagate(missing: DataFrame, now_ms: int, cascade: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, interval, ts_ms): the windows that missing ones make stale; ``missing`` has keys, interval, ts_ms.
 
     A missing window at X invalidates windows of a longer interval I from X to X + I - 5 minutes. Exactly
     those follow from the five-minute windows; with ``cascade`` every interval's stale windows invalidate the
     longer ones in turn, which reaches further.
     """
-    spread = lambda df, to: df.select(F.lit(to).alias("interval"), F.explode(F.sequence("ts_ms", F.col("ts_ms") + (interval_ms(to) - STEP_MS), F.lit(STEP_MS))).alias("ts_ms")).where(F.col("ts_ms") <= now_ms)
-    stale = {i: missing.where(F.col("interval") == i).select("interval", "ts_ms") for i in INTERVALS}
+    spread = lambda df, to: df.select(*keys, F.lit(to).alias("interval"), F.explode(F.sequence("ts_ms", F.col("ts_ms") + (interval_ms(to) - STEP_MS), F.lit(STEP_MS))).alias("ts_ms")).where(F.col("ts_ms") <= now_ms)
+    stale = {i: missing.where(F.col("interval") == i).select(*keys, "interval", "ts_ms") for i in INTERVALS}
     for k, source in enumerate(INTERVALS[:-1]):
         if k and not cascade:
             break
@@ -60,11 +66,13 @@ def propagate(missing: DataFrame, now_ms: int, cascade: bool = False) -> DataFra
     return out.distinct()
 
 
-def fill(raw: DataFrame, time: str, interval: str, stale: DataFrame, aggregate: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Windows of ``stale`` (ts_ms) computed anew from raw rows. Only raw rows that such a window holds are read on."""
-    needed = expand_windows(raw.select(F.col(time).alias("_t")).distinct(), F.col("_t"), interval).join(stale.select("ts_ms"), "ts_ms", "left_semi").select("_t").distinct()
-    rows = raw.join(needed, raw[time] == needed["_t"], "left_semi")
-    return aggregate(rows, interval).join(stale.select("ts_ms"), "ts_ms", "left_semi")
+def fill(raw: DataFrame, time: str, interval: str, stale: DataFrame, aggregate: Callable[[DataFrame, str], DataFrame], keys: tuple[str, ...] = ()) -> DataFrame:
+    """Windows of ``stale`` (keys, ts_ms) computed anew from raw rows. Only raw rows that such a window holds are read on."""
+    wanted, on = stale.select(*keys, "ts_ms"), [*keys, "ts_ms"]
+    times = raw.select(*keys, F.col(time).alias("_t")).distinct()
+    needed = expand_windows(times, F.col("_t"), interval).join(wanted, on, "left_semi").select(*keys, "_t").distinct()
+    rows = raw.withColumn("_t", F.col(time)).join(needed, [*keys, "_t"], "left_semi").select(*raw.columns)
+    return aggregate(rows, interval).join(wanted, on, "left_semi")
 
 
 def merge_by_key(existing: DataFrame, new: DataFrame, keys: list[str], arrival: Column | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import stats as S
 from sluice.functions.timeutil import expand_windows, interval_ms, with_previous
-from sluice.operators import book, bronze, gold, silver
+from sluice.operators import book, bronze, gold, serving, silver
 from sluice.operators.klines import kline_windows, kline_windows_direct
 from sluice.operators.orderbook import book_features, book_windows
 from sluice.operators.trades import trade_windows
@@ -127,6 +127,34 @@ def test_gap_propagation(spark):
         assert {r[0]: r[1] // 60_000 for r in got} | {"4h": 0, "1d": 0} == {"5m": 0, "15m": 10, "1h": reach, "4h": 0, "1d": 0}
 
 
+def test_gaps_of_two_symbols(spark):
+    key, of = ("symbol",), lambda df, *c: sorted(tuple(r[x] for x in c) for r in df.collect())
+    table = spark.createDataFrame([("a", 0), ("a", M5), ("b", 0), ("b", 2 * M5)], "symbol string, ts_ms bigint")
+    missing = silver.missing_ends(table, 0, 2 * M5, "row_exists", key)
+    assert of(missing, "symbol", "ts_ms") == [("a", 2 * M5), ("b", M5)]
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",)], "symbol string")
+    assert silver.missing_ends(table, 0, 2 * M5, "row_exists", key, wanted).where("symbol = 'c'").count() == 3
+    stale = silver.propagate(missing.withColumn("interval", F.lit("5m")), 3 * M5, keys=key).where("interval = '15m'")
+    assert of(stale, "symbol", "ts_ms") == [("a", 2 * M5), ("a", 3 * M5), ("b", M5), ("b", 2 * M5), ("b", 3 * M5)]
+    raw = spark.createDataFrame([(s, k * M5, 1) for s in "ab" for k in range(6)], "symbol string, t bigint, v int")
+    count = lambda rows, i: expand_windows(rows, F.col("t"), i).groupBy("symbol", "ts_ms").agg(F.sum("v").alias("n"))
+    asked = spark.createDataFrame([("a", 3 * M5), ("b", 4 * M5)], "symbol string, ts_ms bigint")
+    assert of(silver.fill(raw, "t", "15m", asked, count, key), "symbol", "ts_ms", "n") == [("a", 3 * M5, 3), ("b", 4 * M5, 3)]
+
+
+def test_bars_of_two_symbols(spark):
+    key, hour = ("symbol",), 3_600_000
+    rows = [(s, k * hour, x + k, x + k + 2.0, x + k - 1.0, x + k + 1.0) for s, x in (("a", 10.0), ("b", 100.0)) for k in range(1, 4)]
+    bars = spark.createDataFrame(rows, "symbol string, ts_ms bigint, open double, high double, low double, close double").withColumn("timestamp_dt", F.timestamp_millis("ts_ms").cast("timestamp_ntz"))
+    last = serving.latest(bars, "1h", 2, key)
+    assert [(r["symbol"], r["ts_ms"] // hour) for r in last.collect()] == [("a", 2), ("a", 3), ("b", 2), ("b", 3)]
+    assert {r["symbol"]: (r["open"], r["close"], r["change_abs"]) for r in serving.change(last, key).collect()} == {"a": (12.0, 14.0, 2.0), "b": (102.0, 104.0, 2.0)}
+    assert {r["symbol"]: (r["total_records"], r["all_time_low"], r["all_time_high"]) for r in serving.statistics(bars, "1h", key).collect()} == {"a": (3, 10.0, 15.0), "b": (3, 100.0, 105.0)}
+    assert serving.date_range(bars, key).count() == 2
+    inside = serving.ohlc_range(bars, "1h", "1970-01-01 02:00:00", "1970-01-01 03:00:00", 1, key)
+    assert [(r["symbol"], r["ts_ms"] // hour) for r in inside.collect()] == [("a", 2), ("b", 2)]
+
+
 def test_pending_windows(spark):
     ends = lambda *t: spark.createDataFrame([(x,) for x in t], "ts_ms bigint")
     assert [r[0] for r in silver.pending_ends(ends(1, 2, 2, 3), ends(2)).orderBy("ts_ms").collect()] == [1, 3]
