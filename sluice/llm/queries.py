@@ -46,7 +46,7 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.wavelet import encode_and_read
 
-    return encode_and_read(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return encode_and_read(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", added_tokens=True)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -125,22 +125,36 @@ class _Encoder:
     the pre-tokeniser cuts; the tokens' lengths in bytes tell where each chunk's ids end.
     """
 
-    _built: dict[int, ChunkCache] = {}
+    _built: dict[int, _Encoder] = {}
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(content)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text, but for with_added()
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
         self._bytes = np.zeros(max(vocabulary.values()) + 2, np.int64)
         for token, i in vocabulary.items():  # one character of the byte-level alphabet is one byte
             self._bytes[i] = len(token)
+        self._cache = ChunkCache(self.many, self.whole, limit=1_000_000)
 
     def whole(self, text: str) -> bytes:
         return array("H", self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
+    def has_added(self, text: str) -> bool:
+        """Whether the string of an added token stands in the text."""
+        return any(x in text for x in self._added)
+
+    def with_added(self, text: str) -> bytes:
+        """The text's ids as the library gives them by itself: the strings of added tokens are those tokens."""
+        self._tokenizer.encode_special_tokens = False
+        try:
+            return self.whole(text)
+        finally:
+            self._tokenizer.encode_special_tokens = True
+
     def many(self, chunks: list[str], size: int = 4_000) -> list[bytes]:
         out = []
         for k in range(0, len(chunks), size):
@@ -155,20 +169,28 @@ class _Encoder:
         return out
 
     @classmethod
-    def of_worker(cls, content: str) -> ChunkCache:
+    def of_worker(cls, content: str) -> _Encoder:
         if (key := hash(content)) not in cls._built:
-            own = cls(content)
-            cls._built = {key: ChunkCache(own.many, own.whole, limit=1_000_000)}
+            cls._built = {key: cls(content)}
         return cls._built[key]
 
+    def encode(self, texts: list[str], added_tokens: bool) -> list[bytes]:
+        """Bytes of each text's ids, in order. Texts with an added token's string don't go by chunks if it counts as the token."""
+        apart = {k for k, x in enumerate(texts) if self.has_added(x)} if added_tokens else set()
+        found = self._cache.encode([x for k, x in enumerate(texts) if k not in apart] if apart else texts)
+        for k in sorted(apart):
+            found.insert(k, self.with_added(texts[k]))
+        return found
+
 
-def write_token_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, shard_tokens: int = SHARD_TOKENS) -> None:
+def write_token_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, shard_tokens: int = SHARD_TOKENS, added_tokens: bool = False) -> None:
     """Encodes every row, appends the end id, and writes shards in ascending id order under ``path``.
 
     Rows are dealt out by ranges of the id, before encoding, and sorted within a range; null ids come
     first. A null text counts as empty and holds the end id alone. Repeated rows are kept. Ids must be
     integers; the tokenizer's ids must be below 65,536. Other columns are left out. An empty table writes
-    no shard.
+    no shard. With ``added_tokens`` the string of an added token, such as <|endoftext|>, is that token, as the
+    library has it by default; else it is ordinary text.
     """
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -177,7 +199,7 @@ def write_token_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id:
     total = docs.select(F.sum(F.octet_length("t"))).first()[0] or 0
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, piece, cache = TaskContext.get().partitionId(), 0, _Encoder.of_worker(content.value)
+        part, piece, encoder = TaskContext.get().partitionId(), 0, _Encoder.of_worker(content.value)
         end, doc_ids, ids, size = np.array([end_id], "<u2").tobytes(), [], [], 0
 
         def shard() -> pa.RecordBatch:
@@ -190,7 +212,7 @@ def write_token_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
-                new = [x + end for x in cache.encode([x or "" for x in rows.column(1).to_pylist()])]
+                new = [x + end for x in encoder.encode([x or "" for x in rows.column(1).to_pylist()], added_tokens)]
                 doc_ids += rows.column(0).to_pylist()
                 ids += new
                 size += sum(map(len, new)) // 2

@@ -77,6 +77,19 @@ def test_token_shards_odd_texts_and_lookups(spark):
     assert w.read_documents(spark, empty).count() == 0
 
 
+def test_token_shards_with_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = [*ODD, "a<|endoftext|> b", "<|endoftext|><|endoftext|>\n<|endoftext", "plain text, <|endoftext |>", "one two"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    library, want, start = Tokenizer.from_file(f"{q.TOKENIZERS}/byte_bpe_50k.json"), {}, 0
+    for i, t in enumerate(texts):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert rows(q.op4_wavelet_shards(spark, str(tmp_path)), "start", "n_tokens", "ids_crc32") == want
+
+
 def test_wavelet_matrix():
     from sluice.llm.wavelet import WaveletMatrix
 
