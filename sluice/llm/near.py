@@ -5,8 +5,9 @@ with a band of the second, so m * m tables cost 2 * m bands of minhashes instead
 equal shingle sets are one class and only its smallest id goes on. Within a table key, members are first
 held against one pivot and connected components of the verified links are formed. Keys whose members then
 still belong to several components are taken up again: their documents meet by the bands of the first
-collection, in blocks, and every pair across components that also shares a band of the second and whose
-sketches don't rule out a link is verified. No key is capped and no pair that shares a key is passed over.
+collection, in blocks, and every pair across components that also shares a band of the second is verified,
+but for pairs that an exact bound from sizes and sketches rules out. No key is capped and no pair that
+shares a key and can be linked is passed over.
 """
 
 from __future__ import annotations
@@ -28,9 +29,8 @@ from sluice.llm.storage import written
 BANDS, ROWS = 8, 2
 #: Members that one task holds against a pivot.
 PIVOT_MEMBERS = 256
-#: Bins of the sketch (a power of two), and how many standard deviations below the threshold a sketch's
-#: estimate must be to rule a link out.
-BINS, SURE = 512, 4.0
+#: Bins of the sketch (a power of two).
+BINS = 512
 #: Members of a block when documents of one band are compared with each other.
 BLOCK = 384
 
@@ -192,20 +192,18 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def least_share(bins: np.ndarray, union: np.ndarray, t: float) -> np.ndarray:
-    """Share of equal bins below which a similarity of t is ruled out.
+def may_link(n: np.ndarray, m: int, marks: np.ndarray, mark: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which sets (sizes n, sketches marks) can reach similarity num / den with one set (m, mark); exact, no linked pair is ruled out.
 
-    The share's variance is that of one-permutation hashing with ``bins`` filled bins and ``union`` elements; it falls
-    to 0 as every element gets a bin of its own.
+    Bins of unequal marks have unequal least hashes, the smaller of which is in one set only. So the sets differ by at
+    least as many elements as there are such bins, and by the difference of their sizes.
     """
-    bins, rest = np.maximum(bins, 1), np.maximum(union, 2) - 1
-    variance = t * (1 - t) * np.maximum(0, (1 + 1 / rest) / bins - 1 / rest)
-    return t - SURE * np.sqrt(variance) - 1 / bins
+    apart = np.maximum((marks != mark).sum(1), np.abs(n - m))
+    return (num + den) * apart <= (den - num) * (n + m)
 
 
 def _block_pairs(num: int, den: int):
     """Rows (band, key, lo, hi, doc, n, label, block, bands, sketch) in order of the first four to pairs (a, b)."""
-    t = num / den
 
     def compare(rows: list[dict], lo: int, hi: int, band: int) -> pa.RecordBatch:
         sides = [[r for r in rows if r["block"] == x] for x in (lo, hi)]
@@ -219,9 +217,7 @@ def _block_pairs(num: int, den: int):
                 at = np.flatnonzero(cand)
                 shared = bands[1][at] == bands[0][k]
                 at = at[(np.argmax(shared[:, :BANDS], 1) == band) & shared[:, BANDS:].any(1)]
-                same, both = (marks[1][at] == marks[0][k]) & (marks[0][k] > 0), (marks[1][at] | marks[0][k]) > 0
-                bins, union = both.sum(1), (counts[1][at] + counts[0][k]) / (1 + t)
-                at = at[same.sum(1) >= bins * least_share(bins, union, t)]
+                at = at[may_link(counts[1][at], counts[0][k], marks[1][at], marks[0][k], num, den)]
                 out[0].extend(np.minimum(docs[1][at], docs[0][k]).tolist())
                 out[1].extend(np.maximum(docs[1][at], docs[0][k]).tolist())
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])

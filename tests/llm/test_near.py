@@ -60,3 +60,17 @@ def test_components_of_long_paths(spark):
     ids = random.Random(3).sample(range(1000), n)
     links = spark.createDataFrame([(min(a, b), max(a, b)) for a, b in zip(ids, ids[1:])], "a bigint, b bigint")
     assert {(r["id"], r["label"]) for r in near.components(links).collect()} == {(i, min(ids)) for i in ids}
+
+
+def test_block_pairs_drop_no_link():
+    import numpy as np
+    import pyarrow as pa
+
+    step = 1 << 64 - near.BINS.bit_length() + 1
+    common = [k + 1 for k in range(850)]  # all in the first bin
+    sets = [common, [*common, *[(k + 5) * step + 7 for k in range(150)]], [*common[:400], *[(k + 5) * step + 9 for k in range(450)]]]
+    h, owner = np.array([x for s in sets for x in s], np.uint64), np.repeat(np.arange(3), [len(s) for s in sets])
+    bands = [list(range(2 * near.BANDS))] * 3
+    rows = [{"band": 0, "key": 0, "lo": 0, "hi": 0, "doc": k, "n": len(s), "label": k, "block": 0, "bands": bands[k], "sketch": m.tobytes()} for k, (s, m) in enumerate(zip(sets, near.sketches(h, owner, 3)))]
+    out = [r for b in near._block_pairs(85, 100)([pa.RecordBatch.from_pylist(rows)]) for r in b.to_pylist()]
+    assert out == [{"a": 0, "b": 1}]
