@@ -2,13 +2,15 @@
 
 The lattice of a word has the pieces of an existing subword vocabulary, as byte strings (a leading space
 marks the start of a word; single bytes are pieces too, so every word has a segmentation), and, for a word of
-the training texts, one edge over the whole word. Weights of the pieces start from the vocabulary's own
-scores: rank r has weight 1 / (r + 10). A round of expectation over all distinct training words turns them
-into probabilities of first pieces, and of further pieces or the word's end. Whole-word edges have the
-word's relative frequency. The share of the pieces is the chance of a new word (words seen once among
-all tokens). Frequencies and shares are those of a class of texts, such as a language; a text's probability is
-the sum over the classes, whatever its own is, of the product over its words and its end. A word's sum over
-segmentations is the forward recursion in log space.
+the training texts, one edge over the whole word. The vocabulary's own scores weight the pieces: they are ranks, and
+rank r has weight 1 / (r + 10). A text's probability is the sum over the classes of texts, such as languages, whatever
+its own is, of the product over its words and its end; a word's is the sum over its segmentations, by the
+forward recursion in log space.
+
+Three things are learned from the training rows: how often each piece is expected in the distinct training words under
+the vocabulary's weights, which is added to these weights as to a prior; the relative frequency of each
+whole-word edge in each class; and the chance of a new word in each class (words seen once among all tokens), which
+is the share of the pieces.
 """
 
 from __future__ import annotations
@@ -16,25 +18,25 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.hashing import BASE, BYTE, INVERSE, powers
 from sluice.llm.storage import written
 
 #: The end token among the words; no word holds a newline.
 END = b"\n"
 #: Words whose counts and likelihoods each executor keeps; the others are joined.
 COMMON_WORDS = 300_000
-#: Classes of texts (the largest; the rest are one more).
-CLASSES = 7
-#: Added to the expected count of each piece.
-SMOOTHING = 0.1
-#: Words of equal length worked on at once.
-_GROUP = 20_000
+#: Occurrences that the vocabulary's own scores count for, in all, beside the expected ones.
+PRIOR = 5_000.0
+#: Bytes of a word whose edges are held at once on the way back.
+_STRETCH = 1 << 14
+_NONE = -1e300
 
 
 def read_vocabulary(model_file: str) -> tuple[list[bytes], np.ndarray]:
@@ -54,76 +56,55 @@ def read_vocabulary(model_file: str) -> tuple[list[bytes], np.ndarray]:
 
 
 class Lattice:
-    """Forward and backward recursions over the segmentations of many words at once."""
+    """Forward and backward recursions over all segmentations of a word, position by position, in log space.
+
+    An Aho-Corasick automaton of the pieces gives the edges that end at each byte, so a word costs as much as it has
+    edges, and memory for one number a byte, however long it is.
+    """
 
     def __init__(self, pieces: list[bytes], log_p: np.ndarray):
-        self.log_p = np.append(log_p, -np.inf)  # the last stands for no piece
-        self.longest = max(map(len, pieces))
-        data = np.frombuffer(b"".join(pieces), np.uint8)
-        sizes = np.array([len(p) for p in pieces])
-        stops = np.cumsum(sizes)
-        sums, down = self._sums(data)
-        code = (sums[stops] - sums[stops - sizes]) * down[stops - sizes]
-        order = np.argsort(code)
-        self._code, self._piece, self._size = code[order], order, sizes[order]
-        self._maybe = np.zeros(1 << 22, bool)
-        self._maybe[code >> np.uint64(42)] = True
-
-    @staticmethod
-    def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = len(data)
-        return np.concatenate([[np.uint64(0)], np.cumsum(BYTE[data] * powers(BASE, n), dtype=np.uint64)]), powers(INVERSE, n + 1)
-
-    def _lookup(self, code: np.ndarray, size: int) -> np.ndarray:
-        found = np.full(code.shape, len(self.log_p) - 1, np.int32)
-        maybe = np.nonzero(self._maybe[code >> np.uint64(42)])
-        sought = code[maybe]
-        at = np.minimum(np.searchsorted(self._code, sought), len(self._code) - 1)
-        good = (self._code[at] == sought) & (self._size[at] == size)
-        found[maybe] = np.where(good, self._piece[at], len(self.log_p) - 1)
-        return found
-
-    def _by_length(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, dict[tuple[int, int], np.ndarray]]]:
-        """Groups of words of one length with the piece of each (start, size)."""
-        sizes = np.array([len(w) + 1 for w in words])
-        order = np.argsort(sizes, kind="stable")
-        cuts = np.flatnonzero(np.diff(sizes[order])) + 1
-        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)]):
-            for k in range(lo, hi, step := max(1, _GROUP // max(1, int(sizes[order[lo]]) // 12))):
-                group = order[k : min(hi, k + step)]
-                n = int(sizes[group[0]])
-                data = np.frombuffer(b"".join(b" " + words[i] for i in group.tolist()), np.uint8)
-                sums, down = self._sums(data)
-                base = np.arange(len(group)) * n
-                yield group, {(s, m): self._lookup((sums[base + s + m] - sums[base + s]) * down[base + s], m) for s in range(n) for m in range(1, min(self.longest, n - s) + 1)}
-
-    def _forward(self, n: int, count: int, lp: dict[tuple[int, int], np.ndarray]) -> list[np.ndarray]:
-        alpha = [np.zeros(count)]
-        for e in range(1, n + 1):
-            alpha.append(np.logaddexp.reduce([alpha[e - m] + lp[e - m, m] for m in range(1, min(self.longest, e) + 1)], axis=0))
+        self.n, self._longest, self._edges = len(pieces), max(map(len, pieces)), ahocorasick.Automaton()
+        for k, (piece, weight) in enumerate(zip(pieces, np.asarray(log_p, float).tolist())):
+            self._edges.add_word(piece.decode("latin-1"), (len(piece), weight, k))  # one character a byte
+        self._edges.make_automaton()
+
+    def _forward(self, text: str) -> list[float]:
+        """Log probability of each prefix."""
+        alpha = [0.0] + [_NONE] * len(text)
+        for at, (size, weight, _) in self._edges.iter(text):
+            alpha[at + 1] = _add(alpha[at + 1], alpha[at + 1 - size] + weight)
         return alpha
 
     def log_likelihood(self, words: list[bytes]) -> np.ndarray:
         """Natural log of each word's probability, all segmentations together."""
-        out = np.empty(len(words))
-        for group, pieces in self._by_length(words):
-            n = len(words[group[0]]) + 1
-            out[group] = self._forward(n, len(group), {k: self.log_p[p] for k, p in pieces.items()})[n]
-        return out
+        return np.array([self._forward(" " + w.decode("latin-1"))[-1] for w in words], float)
 
     def expected_counts(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """How often each piece is expected in the words, counted as often as given."""
-        out = np.zeros(len(self.log_p))
-        for group, pieces in self._by_length(words):
-            n, lp = len(words[group[0]]) + 1, {k: self.log_p[p] for k, p in pieces.items()}
-            alpha = self._forward(n, len(group), lp)
-            beta = {n: np.zeros(len(group))}
-            for s in range(n - 1, -1, -1):
-                beta[s] = np.logaddexp.reduce([beta[s + m] + lp[s, m] for m in range(1, min(self.longest, n - s) + 1)], axis=0)
-            for (s, m), p in pieces.items():
-                share = np.exp(alpha[s] + lp[s, m] + beta[s + m] - alpha[n]) * counts[group]
-                out += np.bincount(p, share, minlength=len(out))
-        return out[:-1]
+        out = [0.0] * self.n
+        for word, count in zip(words, counts.tolist()):
+            text = " " + word.decode("latin-1")
+            alpha, beta = self._forward(text), [_NONE] * len(text) + [0.0]
+            for lo in range((len(text) - 1) // _STRETCH * _STRETCH, -1, -_STRETCH):
+                for at, (size, weight, k) in reversed(self._ends_within(text, lo)):
+                    rest = beta[at + 1] + weight
+                    out[k] += count * math.exp(min(0.0, alpha[at + 1 - size] + rest - alpha[-1]))
+                    beta[at + 1 - size] = _add(beta[at + 1 - size], rest)
+        return np.array(out)
+
+    def _ends_within(self, text: str, lo: int) -> list[tuple[int, tuple[int, float, int]]]:
+        """Edges that end in a stretch of the text, so that a long word's edges are never all held."""
+        if len(text) <= _STRETCH:
+            return list(self._edges.iter(text))
+        begin = max(0, lo - self._longest)
+        return [(begin + at, edge) for at, edge in self._edges.iter(text[begin : lo + _STRETCH]) if begin + at >= lo]
+
+
+def _add(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))."""
+    if a < b:
+        a, b = b, a
+    return a + math.log1p(math.exp(b - a)) if b - a > -40.0 else a
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -158,11 +139,13 @@ def word_counts(texts: DataFrame, n_classes: int = 1) -> DataFrame:
 
 
 def train(counts: DataFrame, pieces: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, float]:
-    """Natural-log probabilities of the pieces and of a word's end, from all distinct words.
+    """Natural-log probabilities of the pieces (first pieces of a word; further ones) and of a word's end.
 
-    Each task sums the expected counts of its words; what reaches the driver is one number a piece.
+    The vocabulary's weights are a prior of PRIOR occurrences; the pieces expected under them in all distinct words are
+    added. Words are dealt out over all tasks; what reaches the driver is one number a piece.
     """
-    start = counts.sparkSession.sparkContext.broadcast((pieces, np.log(weights / weights.sum())))
+    spark, prior = counts.sparkSession, weights / weights.sum()
+    start = spark.sparkContext.broadcast((pieces, np.log(prior)))
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, total, n = Lattice(*start.value), np.zeros(len(start.value[0])), 0
@@ -173,14 +156,14 @@ def train(counts: DataFrame, pieces: list[bytes], weights: np.ndarray) -> tuple[
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()], pa.int64()), pa.array([float(n), *total[some].tolist()])], names=["piece", "n"])
 
-    words = counts.where(F.col("word") != F.lit(END)).select("word")
+    words = counts.where(F.col("word") != F.lit(END)).select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     sums = words.mapInArrow(expect, "piece bigint, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas().set_index("piece")["n"]
     n_words = float(sums.pop(-1)) if -1 in sums.index else 0.0
-    expected = np.full(len(pieces), SMOOTHING)
+    expected = PRIOR * prior
     expected[sums.index.to_numpy(int)] += sums.to_numpy(float)
     first = np.array([p[:1] == b" " for p in pieces])
-    rest = expected[~first].sum() + n_words + SMOOTHING
-    return np.log(np.where(first, expected / expected[first].sum(), expected / rest)), math.log((n_words + SMOOTHING) / rest)
+    rest = expected[~first].sum() + n_words + 1
+    return np.log(np.where(first, expected / expected[first].sum(), expected / rest)), math.log((n_words + 1) / rest)
 
 
 class Mixture:
@@ -204,8 +187,10 @@ def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", te
     Tokens are lower-cased (A-Z) words and one end. Rows whose crc32(id as text) mod modulus is ``fold``
     are held out of training; a null id isn't. Null text has the end alone. ``score`` is the model's log10
     probability of the text, ``base_score`` that of add-one smoothed word counts. ``class_col`` (null: a class
-    of its own; None: one class for all) is read for training alone. Without training rows counts are 0 and
-    the pieces keep smoothing alone. Repeated rows stay rows and count each time.
+    of its own; None: one class for all) is read for training alone; each of its values is a class, one row of which
+    reaches the driver and each of which takes one number a row, so it is meant for columns such as a language.
+    Without training rows counts are 0 and the pieces keep the vocabulary's weights alone. Repeated rows stay rows
+    and count each time.
 
     Words up to a count that ``common_words`` of them reach go with the code to every executor (a bounded
     table with exact counts); rarer ones meet their counts in a join, where each is scored once.
@@ -213,12 +198,9 @@ def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", te
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % modulus == fold, F.lit(False))
     label = F.coalesce(F.col(class_col).cast("string"), F.lit("")) if class_col else F.lit("")
-    sizes = docs.where(~held).groupBy(label.alias("label")).count().orderBy(F.desc("count"), "label").limit(CLASSES).collect()
-    names = [r["label"] for r in sizes]
-    k = F.lit(len(names))
-    for i, name in enumerate(names):
-        k = F.when(label == name, i).otherwise(k)
-    each = [f"c{i}" for i in range(len(names) + 1)]
+    names = sorted(r["label"] for r in docs.where(~held).select(label.alias("label")).distinct().collect()) or [""]
+    k = F.array_position(F.array(*map(F.lit, names)), label).cast("int") - 1
+    each = [f"c{i}" for i in range(len(names))]
     counts = written(word_counts(docs.where(~held).select(k.alias("k"), F.col(text_col).alias("text")), len(each)), "words")
     sums = counts.agg(F.sum("c").alias("n"), F.count("c").alias("v"), *[F.sum(c).alias(f"n{c}") for c in each], *[F.count(F.when(F.col(c) == 1, 1)).alias(f"o{c}") for c in each], *[F.sum(F.when(F.col("word") == F.lit(END), F.col(c))).alias(f"d{c}") for c in each]).first().asDict()
     total = lambda kind: np.array([float(sums[f"{kind}{c}"] or 0) for c in each])
@@ -231,13 +213,19 @@ def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", te
         if reached > common_words:
             least = row["c"] + 1
             break
-    frequent = counts.where(F.col("c") >= least).toPandas()
+    model = spark.sparkContext.broadcast((pieces, log_p, log_stop, mixture))
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(*model.value[:2])
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            yield batch.append_column("spelled", pa.array(np.where([w == END for w in words], -np.inf, lattice.log_likelihood(words) + log_stop) if words else [], pa.float64()))
+
+    some = counts.where(F.col("c") >= least)
+    frequent = some.mapInArrow(spelled, f"word binary, c bigint, {', '.join(f'{c} bigint' for c in each)}, spelled double").toPandas()
     words = [bytes(w) for w in frequent["word"]]
-    by_pieces = Lattice(pieces, log_p).log_likelihood(words) + log_stop if words else np.zeros(0)
-    by_pieces[[w == END for w in words]] = -np.inf
-    likely = mixture.log10(frequent[each].to_numpy(float), by_pieces)
+    likely = mixture.log10(frequent[each].to_numpy(float), frequent["spelled"].to_numpy(float))
     common = spark.sparkContext.broadcast((words, np.log10(frequent["c"].to_numpy(float) + 1), likely))
-    model = spark.sparkContext.broadcast((pieces, log_p, log_stop, mixture))
     no_end = mixture.log10(np.zeros((1, len(each))), np.zeros(1))[0]  # an end that training hasn't seen
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,19 +233,22 @@ def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", te
         place = dict(zip(known, range(len(known))))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                part, rows, likes, rare, times = batch.slice(at, 500), [], [], [], []
+                part, sums, rare, times = batch.slice(at, 500), [], [], []
                 for text in part.column(3).to_pylist():
                     found = Counter(_words(text))
                     found[END] = 1
-                    hits = [(place[w], c) for w, c in found.items() if w in place]
-                    ids, n = (np.array(x) for x in zip(*hits)) if hits else (np.zeros(0, int),) * 2
-                    rest = {w: c for w, c in found.items() if w not in place and w != END}
-                    rows.append((int(sum(found.values())), int(n.sum()), float(base[ids] @ n)))
-                    likes.append(n @ like[ids] + (0.0 if END in place else no_end))
-                    rare.append(list(rest))
-                    times.append(list(rest.values()))
-                cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64()))]
-                cols += [pa.array(c) for c in np.array(likes).T.copy()]
+                    keys = list(found)
+                    ids = np.fromiter(map(place.get, keys, repeat(-1)), np.int64, len(keys))
+                    n = np.fromiter(found.values(), np.int64, len(keys))
+                    new = np.flatnonzero(ids < 0).tolist()
+                    rest = [keys[k] for k in new if keys[k] != END]
+                    at_known = ids >= 0
+                    m, ids = n[at_known], ids[at_known]
+                    sums.append((n.sum(), m.sum(), base[ids] @ m, m @ like[ids] + (0.0 if END in place else no_end)))
+                    rare.append(rest)
+                    times.append([found[w] for w in rest])
+                total, hit, b, likes = zip(*sums)
+                cols = [pa.array(total, pa.int64()), pa.array(hit, pa.int64()), pa.array(b, pa.float64()), *[pa.array(c) for c in np.array(likes).T.copy()]]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], *cols, pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))], names=columns)
 
     likes = [f"l{i}" for i in range(len(each))]
@@ -268,15 +259,19 @@ def score_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", te
     first = written(source.mapInArrow(local, f"row bigint, doc {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, {doubles}, rare array<binary>, times array<int>"), "scores")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, log_pieces, stop, mix = model.value
-        lattice = Lattice(known, log_pieces)
+        lattice, (_, _, stop, mix), spelled = Lattice(*model.value[:2]), model.value, {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            word, index = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+            found = batch.column(0).to_pylist()
+            if len(spelled) > 200_000:  # after a sorted join, equal words come one after another
+                spelled = {}
+            fresh = [w for w in dict.fromkeys(found) if w not in spelled]
+            spelled.update(zip(fresh, lattice.log_likelihood(fresh).tolist()))
+            pieces = np.fromiter(map(spelled.__getitem__, found), float, len(found)) + stop
             n, c = batch.column(2).to_numpy(), batch.column(3).fill_null(0).to_numpy().astype(float)
             by_class = np.stack([batch.column(4 + i).fill_null(0).to_numpy() for i in range(len(each))], 1).astype(float)
-            like = mix.log10(by_class, (lattice.log_likelihood(list(word)) + stop)[index]) * n[:, None]
+            like = mix.log10(by_class, pieces) * n[:, None]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n * (c > 0), pa.int64()), pa.array(np.log10(c + 1) * n), *[pa.array(x) for x in like.T.copy()]], names=["row", "k", "b", *likes])
 
     rare = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(F.col("w.rare").alias("word"), "row", F.col("w.times").cast("bigint").alias("n"))

@@ -7,8 +7,8 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 
-TOKENIZERS = "/opt/tokenizers"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 FOLDED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -24,8 +24,7 @@ def sha(data):
 def token_shards(docs):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(f"{TOKENIZERS}/byte_bpe_50k.json")
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     out, start = {}, 0
     for i, text in sorted(docs):
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
@@ -60,7 +59,7 @@ def byte_bpe(docs, pattern):
 
     from sluice.llm.bpe import read_ranks
 
-    with open(f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", "rb") as f:
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(f.read()), special_tokens={})
     out = {}
     for i, text in docs:
@@ -126,3 +125,58 @@ def word_counts(docs):
         if zlib.crc32(str(i).encode()) % 7 != 2:
             c.update([*WORDS.findall(lower(text)), "\n"])
     return c
+
+
+def _edges(word, weights, longest):
+    return [(i, j, word[i:j]) for i in range(len(word)) for j in range(i + 1, min(len(word), i + longest) + 1) if word[i:j] in weights]
+
+
+def _prefixes(word, weights, longest):
+    """Chance of each prefix over its segmentations, in exact order of its ends."""
+    chance = [1.0] + [0.0] * len(word)
+    for i, j, piece in sorted(_edges(word, weights, longest), key=lambda e: (e[1], e[0])):
+        chance[j] += chance[i] * weights[piece]
+    return chance
+
+
+def lattice_scores(docs, labels, pieces, prior, occurrences):
+    """log10 probability of every text by the lattice model, trained on the rows that aren't held out.
+
+    docs: (id, text); labels: class of each id; prior: the vocabulary's weights, which sum to 1.
+    """
+    import math
+    from collections import Counter
+
+    weights, longest = dict(zip(pieces, prior)), max(map(len, pieces))
+    turned = {p[::-1]: x for p, x in weights.items()}
+    words = lambda t: [w.encode() for w in WORDS.findall(lower(t))]
+    train = [(labels[i], words(t)) for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2]
+    expected = {p: occurrences * w for p, w in weights.items()}
+    distinct = {w for _, ws in train for w in ws}
+    for w in distinct:
+        text = b" " + w
+        ahead, back = _prefixes(text, weights, longest), _prefixes(text[::-1], turned, longest)
+        for i, j, piece in _edges(text, weights, longest):
+            expected[piece] += ahead[i] * weights[piece] * back[len(text) - j] / ahead[-1]
+    first = sum(x for p, x in expected.items() if p[:1] == b" ")
+    rest = sum(x for p, x in expected.items() if p[:1] != b" ") + len(distinct) + 1
+    model, stop = {p: x / (first if p[:1] == b" " else rest) for p, x in expected.items()}, (len(distinct) + 1) / rest
+    counts, texts = {}, Counter()
+    for k, ws in train:
+        counts.setdefault(k, Counter()).update([*ws, "end"])
+        texts[k] += 1
+    out, spelled = {}, {}
+    for i, t in docs:
+        chances = []
+        for k, c in counts.items():
+            n = sum(c.values())
+            new = min(0.5, max(1e-4, sum(x == 1 for x in c.values()) / n))
+            log = math.log10((texts[k] + 1) / (len(train) + len(texts))) + math.log10((1 - new) * c["end"] / n)
+            for w in words(t):
+                if w not in spelled:
+                    spelled[w] = _prefixes(b" " + w, model, longest)[-1] * stop
+                log += math.log10((1 - new) * c[w] / n + new * spelled[w])
+            chances.append(log)
+        top = max(chances)
+        out[i] = top + math.log10(sum(10 ** (x - top) for x in chances))
+    return out
