@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+    """The folder that driver and executors share: the one the cluster names in ``spark.checkpoint.dir``.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset (tests,
-    local mode) a temporary folder of this machine is made and set.
+    Where that is unset, a temporary folder of this machine is made and set, but only if the session runs on this
+    machine alone (a local master). Anywhere else executors would write to disks of their own, so it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
