@@ -1,6 +1,6 @@
 """Sharding by a two-pass external shuffle.
 
-Pass one scatters rows over buckets by a seeded hash of their id; the number of buckets follows the
+Pass one scatters rows over buckets by a seeded hash of id and text; the number of buckets follows the
 measured size of the table, so a bucket fits the memory of a task. Pass two puts each bucket into
 random order with a Fisher-Yates shuffle and writes it. Buckets in order of number make one random
 order of all rows; row p of that order goes to shard p mod n, so shard sizes differ by one row at most.
@@ -41,8 +41,8 @@ def shuffle_to_buckets(docs: DataFrame, path: str, seed: int, id_col: str = "doc
     """Writes every row of the table, shuffled, under ``path`` and returns what was written.
 
     Adds ``bucket`` and ``bucket_row`` (place in the bucket, from 0) as last columns; input columns of
-    these names are replaced. All other columns stay. Rows keep whatever nulls they have; null ids
-    are scattered by their text; equal ids share a bucket. An empty table writes an empty one.
+    these names are replaced. All other columns stay. Rows keep whatever nulls they have. Rows are scattered by id
+    and text, so only rows equal in both must share a bucket. An empty table writes an empty one.
     The order depends on seed, ids and texts alone, not on how the input was split, so a task that
     runs again writes the same rows.
     """
@@ -50,7 +50,7 @@ def shuffle_to_buckets(docs: DataFrame, path: str, seed: int, id_col: str = "doc
     docs = docs.select(*rest)
     total = docs.select(F.sum(row_size(F.col(text_col)))).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
-    digest = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")))
+    digest = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(text_col))
     scattered = docs.withColumn("bucket", F.pmod(digest, F.lit(n)).cast("int"))
     ordered = scattered.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", id_col, F.xxhash64(text_col))
     schema = scattered.schema.add("bucket_row", "long")
@@ -87,11 +87,10 @@ def assign_shards(shuffled: DataFrame, n_shards: int = 24) -> DataFrame:
 
     Only a count for each bucket is gathered; the buckets' places are a running sum over these counts.
     """
-    first, total = [], 0
-    for row in shuffled.groupBy("bucket").count().orderBy("bucket").toLocalIterator():
-        first.append((row["bucket"], total))
-        total += row["count"]
-    places = shuffled.sparkSession.createDataFrame(first, "bucket int, _first bigint")
+    totals = shuffled.groupBy("bucket").count().orderBy("bucket").toArrow()
+    first = np.cumsum([0, *totals.column("count").to_pylist()])[:-1]
+    # a table of known size, so Spark sends it to all executors only while it is small
+    places = shuffled.sparkSession.createDataFrame(totals.drop_columns("count").append_column("_first", pa.array(first, pa.int64())))
     at = F.col("_first") + F.col("bucket_row")
     return shuffled.join(places, "bucket").withColumn("shard", F.pmod(at, F.lit(n_shards)).cast("int")).withColumn("slot", F.floor(at / n_shards).cast("bigint")).drop("_first")
 
