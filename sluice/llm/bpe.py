@@ -155,7 +155,11 @@ class TextCodec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe, self._find = MonoidBpe(ranks), regex.compile(pattern).findall
-        self._cache = ChunkCache(self._pieces, lambda text: self._pieces([text])[0], limit=400_000)
+        self._cache = ChunkCache(self._one_piece, self._pieces, lambda text: self._pieces([text])[0], limit=400_000)
+
+    def _one_piece(self, chunks: list[str]) -> list[bytes]:
+        encode = self.bpe.encode_piece
+        return [array("I", encode(x.encode())).tobytes() for x in chunks]
 
     def _pieces(self, chunks: list[str]) -> list[bytes]:
         encode, find, out = self.bpe.encode_piece, self._find, []

@@ -8,7 +8,9 @@ the same ids, and chunks repeat so often that a bounded cache answers most of th
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from itertools import chain
 
 
 def chunked(text: str) -> list[str]:
@@ -16,63 +18,67 @@ def chunked(text: str) -> list[str]:
     return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00") if "\x00" not in text else [text, ""]
 
 
-def safe(chunk: str) -> bool:
-    """Whether no white space stands at the chunk's edges but its one separator."""
-    rest = chunk[1:] if chunk[:1] == " " else chunk
-    return chunk == "\n" or bool(rest) and not rest[0].isspace() and not rest[-1].isspace()
-
-
 #: Fixed value: ASCII punctuation. A run of it after a letter is a piece of its own.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Characters from which a chunk isn't kept.
+_LONG = 200
+#: A chunk of Latin or Cyrillic letters, which is one piece, and the marks after it, which are another.
+_LETTERS = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ]+)([" + re.escape(_MARKS) + "]*)")
 
 
-def stem(chunk: str) -> str:
-    """The chunk without the run of marks at its end, if a letter stands before; else the chunk."""
-    rest = chunk.rstrip(_MARKS)
-    return rest if len(rest) < len(chunk) and rest[-1:].isalpha() else chunk
+def safe(chunk: str) -> bool:
+    """Whether no white space stands at the chunk's edges but its one separator."""
+    rest = chunk[1:] if chunk[:1] == " " else chunk
+    return chunk == "\n" or bool(rest) and not rest[0].isspace() and not rest[-1].isspace()
 
 
 class ChunkCache:
     """Encodes texts by chunk.
 
-    ``encode_safe`` maps a list of short safe chunks to a list of bytes, ``encode_whole`` any text. A text
-    with a long chunk or one that isn't safe is encoded as one. The cache holds at most ``limit`` chunks
-    and starts anew beyond. A new chunk that ends in marks after a letter is put together from two.
+    ``encode_letters`` maps a list of short chunks that are one piece each to a list of bytes, ``encode_safe`` any short
+    safe chunks, ``encode_whole`` any text. A text with a long chunk or one that isn't safe is encoded as one. The
+    cache holds at most ``limit`` chunks and starts anew beyond. A new chunk that ends in marks after a letter is
+    put together from two.
     """
 
-    def __init__(self, encode_safe: Callable[[list[str]], list[bytes]], encode_whole: Callable[[str], bytes], limit: int = 800_000):
-        self._safe, self._whole, self._limit, self._known = encode_safe, encode_whole, limit, {}
+    def __init__(self, encode_letters: Callable[[list[str]], list[bytes]], encode_safe: Callable[[list[str]], list[bytes]], encode_whole: Callable[[str], bytes], limit: int = 800_000):
+        self._letters, self._safe, self._whole, self._limit, self._known = encode_letters, encode_safe, encode_whole, limit, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Bytes of each text's ids, in order."""
         if len(self._known) > self._limit:
             self._known = {}
-        known, cut, missing = self._known, [], set()
-        for text in texts:
-            parts = chunked(text) if text else []
-            values = list(map(known.get, parts))
-            gaps = [k for k, v in enumerate(values) if v is None] if None in values else []
-            missing.update([parts[k] for k in gaps])
-            cut.append((parts, values, gaps))
-        short = [x for x in missing if len(x) < 200 and safe(x)]
-        known.update(dict.fromkeys([x for x in missing if len(x) < 200], False))
-        split = [(x, y, x[len(y) :]) for x in short if len(y := stem(x)) < len(x)]
-        alone = {x for x in short if len(stem(x)) == len(x)}
-        for _, y, z in split:
-            if not known.get(y):
-                alone.add(y)
-            if not known.get(z):
-                alone.add(z)
-        new = list(alone)
-        known.update(zip(new, self._safe(new)))
-        for x, y, z in split:
-            known[x] = known[y] + known[z]
-        out = []
-        for text, (parts, values, gaps) in zip(texts, cut):
-            for k in gaps:
-                values[k] = known.get(parts[k])
+        cut = [chunked(text) if text else [] for text in texts]
+        self._learn(set(chain.from_iterable(cut)).difference(self._known))
+        out, find = [], self._known.__getitem__
+        for text, parts in zip(texts, cut):
             try:
-                out.append(b"".join(values))
-            except TypeError:  # a long chunk, or one that isn't safe
+                out.append(b"".join(map(find, parts)))
+            except KeyError:  # a long chunk, or one that isn't safe
                 out.append(self._whole(text))
         return out
+
+    def _learn(self, missing: set[str]) -> None:
+        """Adds the missing chunks that are short and safe."""
+        known, split, letters, alone, is_plain = self._known, [], [], [], _LETTERS.fullmatch
+        for x in missing:
+            if len(x) >= _LONG:
+                continue
+            if plain := is_plain(x):
+                stem, marks = plain.groups()
+                letters.append(stem)
+            elif not safe(x):
+                continue
+            else:
+                stem = x.rstrip(_MARKS)
+                if not stem[-1:].isalpha():
+                    stem = x
+                marks = x[len(stem) :]
+                alone.append(stem)
+            if marks:
+                split.append((x, stem, marks))
+                alone.append(marks)
+        for chunks, encode in ((letters, self._letters), (alone, self._safe)):
+            new = list(set(chunks).difference(known))
+            known.update(zip(new, encode(new)))
+        known.update([(x, known[y] + known[z]) for x, y, z in split])

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Folder of the public tokenizers' files; a parameter of every function that reads one.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-#: Fixed value: the pattern that splits text before the merges of the rank files.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The pattern that splits text before the merges of the rank files.
+PATTERN = public_tokenizers.PATTERN
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file; a parameter of every operator that reads one."""
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +49,7 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.wavelet import encode_and_read
 
-    return encode_and_read(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", added_tokens=True)
+    return encode_and_read(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +71,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.bpe import digest_documents
 
-    return digest_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", PATTERN)
+    return digest_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), PATTERN)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +83,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.lattice import score_documents
 
-    return score_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return score_documents(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

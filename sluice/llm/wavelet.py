@@ -9,10 +9,11 @@ documents in ascending id order, their lengths, the planes and the counts.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,14 @@ class WaveletMatrix:
         """Planes and rank directories of the numbers."""
         planes, ranks = [], []
         for k in range(bits - 1, -1, -1):
-            one = (values >> k & 1).astype(bool)
+            one = (values & values.dtype.type(1 << k)) != 0
             packed = np.packbits(one, bitorder="little")
             per_byte = np.bitwise_count(packed)
             step = BLOCK_BITS // 8
             sums = np.add.reduceat(per_byte, np.arange(0, len(per_byte), step), dtype=np.uint32) if len(per_byte) else np.zeros(0, np.uint32)
             planes.append(packed.tobytes())
             ranks.append(np.concatenate([[0], np.cumsum(sums)]).astype("<u4").tobytes())
-            values = np.concatenate([values[~one], values[one]])
+            values = np.concatenate([np.compress(~one, values), np.compress(one, values)])
         return planes, ranks
 
     def _ones(self, k: int, i: int) -> int:
@@ -85,26 +86,35 @@ class WaveletMatrix:
 
     def select(self, value: int, j: int) -> int:
         """Position of occurrence j (from 0) of the number; -1 if there are fewer."""
+        return int(self.select_many(value, np.array([j]))[0])
+
+    def select_many(self, value: int, j: np.ndarray) -> np.ndarray:
+        """The same for many occurrences at once, a step for each plane."""
         lo, hi = self._range(value, 0, self.n)
-        if j < 0 or j >= hi - lo:
-            return -1
-        at = lo + j
+        good = (j >= 0) & (j < hi - lo)
+        at = lo + j[good]
         for k in range(len(self.planes) - 1, -1, -1):
             one = value >> len(self.planes) - 1 - k & 1
             at = self._find(k, one, at - self.zeros[k] if one else at)
-        return at
-
-    def _find(self, k: int, one: int, j: int) -> int:
-        """Position of digit number j (from 0) in plane k."""
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            ones = self._ones(k, mid + 1)
-            if (ones if one else mid + 1 - ones) > j:
-                hi = mid
-            else:
-                lo = mid + 1
-        return lo
+        out = np.full(len(j), -1, np.int64)
+        out[good] = at
+        return out
+
+    def _find(self, k: int, one: int, j: np.ndarray) -> np.ndarray:
+        """Positions of the digits number j (from 0) in plane k: the block by the rank directory, the place by a count inside."""
+        if not len(j):
+            return j
+        before = self.ranks[k].astype(np.int64)
+        before = before if one else np.arange(len(before)) * BLOCK_BITS - before
+        block = np.searchsorted(before, j, "right") - 1
+        size = BLOCK_BITS // 8
+        rows = np.zeros((len(j), size), np.uint8)
+        at = block[:, None] * size + np.arange(size)
+        inside = at < len(self.planes[k])
+        rows[inside] = self.planes[k][at[inside]]
+        bits = np.unpackbits(rows, axis=1, bitorder="little")
+        count = np.cumsum(bits if one else 1 - bits, axis=1, dtype=np.int16)
+        return block * BLOCK_BITS + np.argmax(count > (j - before[block])[:, None], axis=1)
 
     def to_numpy(self) -> np.ndarray:
         """All numbers, by undoing the planes from the last to the first."""
@@ -118,6 +128,13 @@ class WaveletMatrix:
         return values
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class _Encoder:
     """The tokenizer of a Python worker. New chunks are encoded many at a time, as one text.
 
@@ -138,7 +155,32 @@ class _Encoder:
         self._bytes = np.zeros(max(vocabulary.values()) + 2, np.int64)
         for token, i in vocabulary.items():  # one character of the byte-level alphabet is one byte
             self._bytes[i] = len(token)
-        self._cache = ChunkCache(self.many, self.whole, limit=1_000_000)
+        self._cache = ChunkCache(self._letters_by(content), self.many, self.whole, limit=1_000_000)
+
+    def _letters_by(self, content: str) -> Callable[[list[str]], list[bytes]]:
+        """The tokenizer's merges without its pattern, for chunks that are one piece each; the pattern costs more than the merges."""
+        from tokenizers import Tokenizer
+
+        parts = json.loads(content)
+        before = parts["pre_tokenizer"] or {}
+        if parts["normalizer"] or before.get("type") != "ByteLevel" or before["add_prefix_space"]:
+            return self.many
+        parts |= {"added_tokens": [], "post_processor": None, "decoder": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}}
+        merges, alphabet = Tokenizer.from_str(json.dumps(parts)), byte_alphabet() | {ord("\n"): " "}
+
+        def letters(chunks: list[str], size: int = 8_000) -> list[bytes]:
+            out = []
+            for k in range(0, len(chunks), size):
+                some = chunks[k : k + size]
+                text = "\n".join(some).encode().decode("latin-1").translate(alphabet)
+                ids = np.array(merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+                ends = np.cumsum(list(map(len, map(str.encode, some))))
+                stops = (2 * np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 2).tolist()
+                packed = ids.tobytes()
+                out += [packed[a:b] for a, b in zip([0, *stops], stops)]
+            return out
+
+        return letters
 
     def whole(self, text: str) -> bytes:
         return array("H", self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
@@ -161,7 +203,7 @@ class _Encoder:
             some = chunks[k : k + size]
             spaced = [x if x[0] in " \n" else "\n" + x for x in some]
             ids = np.array(self._tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, "<u2")
-            ends = np.cumsum([len(x.encode()) for x in spaced])
+            ends = np.cumsum(list(map(len, map(str.encode, spaced))))
             stops = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
             packed = ids.tobytes()
             starts = [0, *stops[:-1].tolist()]
@@ -183,14 +225,14 @@ class _Encoder:
         return found
 
 
-def write_token_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, shard_tokens: int = SHARD_TOKENS, added_tokens: bool = False) -> None:
+def write_token_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, shard_tokens: int = SHARD_TOKENS, added_tokens: bool = True) -> None:
     """Encodes every row, appends the end id, and writes shards in ascending id order under ``path``.
 
     Rows are dealt out by ranges of the id, before encoding, and sorted within a range; null ids come
     first. A null text counts as empty and holds the end id alone. Repeated rows are kept. Ids must be
     integers; the tokenizer's ids must be below 65,536. Other columns are left out. An empty table writes
-    no shard. With ``added_tokens`` the string of an added token, such as <|endoftext|>, is that token, as the
-    library has it by default; else it is ordinary text.
+    no shard. The string of an added token, such as <|endoftext|>, is that token, as the library has it by
+    default; without ``added_tokens`` it is ordinary text.
     """
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -239,11 +281,10 @@ def read_documents(spark, path: str, digest: bool = False) -> DataFrame:
     sum over the shards' totals. Ids are little-endian unsigned 32-bit integers.
     """
     shards = read_token_shards(spark, path)
-    first, total = [], 0
-    for row in shards.select("part", "piece", "n_tokens").orderBy("part", "piece").toLocalIterator():
-        first.append((row["part"], row["piece"], total))
-        total += row["n_tokens"]
-    places = spark.createDataFrame(first, "part int, piece int, _first bigint")
+    totals = shards.select("part", "piece", "n_tokens").orderBy("part", "piece").toArrow()
+    first = np.cumsum([0, *totals.column("n_tokens").to_pylist()])[:-1]
+    # a table of known size, so Spark sends it to all executors only while it is small
+    places = spark.createDataFrame(totals.drop_columns("n_tokens").append_column("_first", pa.array(first, pa.int64())))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,7 +323,7 @@ def find_token(spark, path: str, token: int) -> DataFrame:
             for row in batch.to_pylist():
                 matrix = WaveletMatrix(row["n_tokens"], row["planes"], row["ranks"])
                 for lo in range(0, n := matrix.rank(token, matrix.n), 10_000):
-                    at = [matrix.select(token, j) for j in range(lo, min(n, lo + 10_000))]
+                    at = matrix.select_many(token, np.arange(lo, min(n, lo + 10_000)))
                     same = [pa.array([row[k]] * len(at), pa.int32()) for k in ("part", "piece")]
                     yield pa.RecordBatch.from_arrays([*same, pa.array(at, pa.int64())], names=["part", "piece", "position"])
 

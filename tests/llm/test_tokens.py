@@ -36,7 +36,7 @@ def test_bpe_matches_library(spark, small):
 def test_bpe_odd_texts(spark):
     from sluice.llm.bpe import digest_documents, encode_documents
 
-    file, docs = f"{q.TOKENIZERS}/byte_bpe_multi_50k.tiktoken", documents(spark, ODD)
+    file, docs = q.tokenizer("byte_bpe_multi_50k.tiktoken"), documents(spark, ODD)
     want = brute.byte_bpe(list(enumerate(ODD)), q.PATTERN)
     assert rows(digest_documents(docs, file, q.PATTERN), "n_tokens", "ids_sha256", "decoded_sha256") == want
     full = encode_documents(docs, file, q.PATTERN).collect()
@@ -44,10 +44,36 @@ def test_bpe_odd_texts(spark):
     assert digest_documents(docs.limit(0), file, q.PATTERN).count() == 0
 
 
+def test_odd_unicode_equals_both_libraries():
+    """Cutting into chunks gives the libraries' ids on texts made to break it: odd spaces, marks, digits, cases, scripts."""
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from sluice.llm.bpe import TextCodec, read_ranks
+    from sluice.llm.wavelet import _Encoder
+
+    parts = [" ", " ", " ", "  ", "\n", "\n\n", "\t", "\u00a0", "\u2003", "\u3000", "\x00", "\x0b", "\x85", "'s", "'", "'ll", "n't", "...", ",", "!?", "###", "_", "-", "²", "Ⅷ", "٣", "12", "a1", "é", "ß", "Éa", "e\u0301", "ʰ", "ǅ",
+             "word", "Word", "wörd", "слово", "Ѐ\u0483", "日本", "한국", "ﬁ", "🙂", "👩\u200d👩", "\ufeff", "\u200b", "<|endoftext|>", "<|endof", "\U0002ebf0", "x" * 210]
+    rng = random.Random(11)
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(4_000)]
+    with open(q.tokenizer("byte_bpe_50k.json"), encoding="utf-8") as f:
+        content = f.read()
+    library, encoder = Tokenizer.from_str(content), _Encoder(content)
+    for added in (True, False):
+        library.encode_special_tokens = not added
+        want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts, added)] == want
+    with open(q.tokenizer("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        lines = f.read()
+    codec = TextCodec(read_ranks(lines), q.PATTERN)
+    exact = tiktoken.Encoding("own", pat_str=q.PATTERN, mergeable_ranks=read_ranks(lines), special_tokens={})
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == exact.encode_ordinary_batch(texts)
+
+
 def test_join_equals_direct_merge():
     from sluice.llm.bpe import MonoidBpe, read_ranks
 
-    with open(f"{q.TOKENIZERS}/byte_bpe_multi_50k.tiktoken", "rb") as f:
+    with open(q.tokenizer("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         bpe = MonoidBpe(read_ranks(f.read()))
     rng = random.Random(5)
     for _ in range(400):
@@ -66,14 +92,22 @@ def test_token_shards_odd_texts_and_lookups(spark):
     from sluice.llm.storage import new_path
 
     path = new_path(spark, "t")
-    w.write_token_shards(documents(spark, ODD).repartition(3), f"{q.TOKENIZERS}/byte_bpe_50k.json", path, shard_bytes=2000, shard_tokens=300)
+    w.write_token_shards(documents(spark, ODD).repartition(3), q.tokenizer("byte_bpe_50k.json"), path, shard_bytes=2000, shard_tokens=300)
     want = brute.token_shards(list(enumerate(ODD)))
     assert rows(w.read_documents(spark, path, digest=True), "start", "n_tokens", "ids_crc32") == want
     full = {r["doc_id"]: np.frombuffer(r["ids"], "<u4") for r in w.read_documents(spark, path).collect()}
     assert sum(r["n"] for r in w.count_token(spark, path, 0).collect()) == sum(int((x == 0).sum()) for x in full.values())
-    assert w.find_token(spark, path, 0).count() >= len(ODD)
+    firsts = {(r["part"], r["piece"]): r["n"] for r in w.read_token_shards(spark, path).selectExpr("part", "piece", "n_tokens AS n").collect()}
+    ids = np.concatenate([full[i] for i in sorted(full)])
+    for token in (0, int(ids[3]), 49_000):
+        places, before = [], 0
+        found = w.find_token(spark, path, token).collect()
+        for key in sorted(firsts):
+            places += [before + r["position"] for r in found if (r["part"], r["piece"]) == key]
+            before += firsts[key]
+        assert sorted(places) == np.flatnonzero(ids == token).tolist()
     empty = new_path(spark, "t")
-    w.write_token_shards(documents(spark, ODD).limit(0), f"{q.TOKENIZERS}/byte_bpe_50k.json", empty)
+    w.write_token_shards(documents(spark, ODD).limit(0), q.tokenizer("byte_bpe_50k.json"), empty)
     assert w.read_documents(spark, empty).count() == 0
 
 
@@ -82,7 +116,7 @@ def test_token_shards_with_added_tokens(spark, tmp_path):
 
     texts = [*ODD, "a<|endoftext|> b", "<|endoftext|><|endoftext|>\n<|endoftext", "plain text, <|endoftext |>", "one two"]
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
-    library, want, start = Tokenizer.from_file(f"{q.TOKENIZERS}/byte_bpe_50k.json"), {}, 0
+    library, want, start = Tokenizer.from_file(q.tokenizer("byte_bpe_50k.json")), {}, 0
     for i, t in enumerate(texts):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
         want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
