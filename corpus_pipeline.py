@@ -9,7 +9,7 @@ from sluice.llm.bpe import encode_documents
 from sluice.llm.decontaminate import remove_contaminated
 from sluice.llm.near import keep_one
 from sluice.llm.quality import keep_good
-from sluice.llm.queries import PATTERN, TOKENIZERS, quality_model, table
+from sluice.llm.queries import PATTERN, quality_model, table, tokenizer
 from sluice.llm.spans import remove_repeats
 from sluice.llm.storage import new_path
 from sluice.session import ship
@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (little-endian unsigned 32-bit), with the digest of the decoded bytes."""
     ship(spark)
-    encoded = encode_documents(docs, f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", PATTERN)
+    encoded = encode_documents(docs, tokenizer("byte_bpe_multi_50k.tiktoken"), PATTERN)
     return encoded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
