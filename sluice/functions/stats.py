@@ -22,10 +22,15 @@ def count_unique(ordered: Column, has_null: Column) -> Column:
     return (F.size(F.array_distinct(ordered)) + has_null).cast("bigint")
 
 
+#: A series whose deviation is no more than this share of its largest value is constant up to rounding.
+LEAST_SPREAD = 1e-9
+
+
 def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation; null for constant series."""
+    """Pearson correlation; null where a series is constant up to rounding (LEAST_SPREAD)."""
     a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    varies = lambda c: F.stddev_pop(c) > LEAST_SPREAD * F.greatest(F.abs(F.min(c)), F.abs(F.max(c)))
+    return F.when(varies(a) & varies(b), F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
 def first_by(x: Column, order: Column, where: Column | None = None) -> Column:

@@ -31,7 +31,8 @@ def minute_books(messages: DataFrame, top: int = TOP) -> DataFrame:
     """
     day = F.floor(F.col("ts") / DAY) * DAY
     rows = messages.withColumn("dt", day)
-    after = Window.partitionBy("symbol", "dt").orderBy("ts", "seq").rowsBetween(1, Window.unboundedFollowing)
+    # the next snapshot, as a running least value from the day's end: a frame that grows row by row
+    after = Window.partitionBy("symbol", "dt").orderBy(F.desc("ts"), F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("reset", F.min(F.when(F.col("action") == "snapshot", F.struct("ts", "seq"))).over(after))
     sides = [rows.select("symbol", "dt", "ts", "seq", "reset", "action", F.lit(s).alias("side"), F.explode(c).alias("l")) for s, c in (("bid", "bids"), ("ask", "asks"))]
     levels = sides[0].unionByName(sides[1]).select("symbol", "dt", "ts", "seq", "reset", "action", "side", F.col("l.price").alias("price"), F.col("l.size").alias("size")).where("price is not null and size is not null")
@@ -122,7 +123,7 @@ def live_books(messages: DataFrame, top: int = TOP) -> DataFrame:
     return messages.groupBy("symbol").applyInPandasWithState(fold, f"symbol string, ts bigint, asks {level}, bids {level}", state, "append", "NoTimeout")
 
 
-def snapshot_rows(books: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def snapshot_rows(books: DataFrame) -> DataFrame:
     """Bronze rows (instId, action, ts, asks, bids) with sides as JSON arrays of [price, size]."""
     pairs = lambda c: F.to_json(F.transform(c, lambda x: F.array(x["price"], x["size"])))
     return books.select(F.col("symbol").alias("instId"), F.lit("snapshot").alias("action"), "ts", pairs("asks").alias("asks"), pairs("bids").alias("bids"))

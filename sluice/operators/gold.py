@@ -45,10 +45,10 @@ def forward_fill(df: DataFrame, columns: list[str], order: str, keys: list[str]
     return filled.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_{c}")) for c in columns}).select(*df.columns)
 
 
-def as_of(left: DataFrame, right: DataFrame, time: str, values: list[str], bucket_ms: int = 86_400_000) -> DataFrame:
-    """Each left row with the values of the latest right row at or before it; time in epoch milliseconds."""
-    both = left.withColumn("_left", F.lit(1)).unionByName(right.select(time, *values).withColumn("_left", F.lit(0)), allowMissingColumns=True)
+def as_of(left: DataFrame, right: DataFrame, time: str, values: list[str], bucket_ms: int = 86_400_000, keys: list[str] | None = None) -> DataFrame:
+    """Each left row with the values of the latest right row of its keys at or before it; time in epoch milliseconds."""
+    both = left.withColumn("_left", F.lit(1)).unionByName(right.select(*(keys or []), time, *values).withColumn("_left", F.lit(0)), allowMissingColumns=True)
     both = both.withColumn("_bucket", F.floor(F.col(time) / bucket_ms)).withColumn("_order", F.struct(time, "_left"))
     packed = both.withColumn("_value", F.when(F.col("_left") == 0, F.struct(*values)))
-    filled = forward_fill(packed, ["_value"], "_order", bucket="_bucket").where("_left = 1")
+    filled = forward_fill(packed, ["_value"], "_order", keys, "_bucket").where("_left = 1")
     return filled.select(*[c for c in left.columns], *[F.col("_value")[v].alias(v) for v in values])

@@ -17,11 +17,14 @@ ob AS (SELECT 'BOOK' AS symbol, o_orderkey AS id, ((epoch_ms(o_orderdate) // {DA
   coalesce(asks, []) AS asks, coalesce(bids, []) AS bids FROM orders JOIN (SELECT l_orderkey,
     list([p, q] ORDER BY p, a, b, c, q) FILTER (l_linestatus = 'O') AS asks, list([p, q] ORDER BY -p, a, b, c, p, q) FILTER (l_linestatus = 'F') AS bids FROM li GROUP BY 1) s ON o_orderkey = l_orderkey
   WHERE o_orderkey % 10 <> 0)"""
-BF = OB + ", f1 AS (SELECT symbol, id, ts, asks, bids, bids[1][1] AS best_bid, asks[1][1] AS best_ask, " + ", ".join(f"coalesce(list_sum(list_transform({s}s[1:{k}], lambda x: x[2])), 0.0) AS sum_{s}_{k}" for s in ("bid", "ask") for k in (50, 20, 5)) + ", " + ", ".join(f"CASE WHEN len({s}s) >= 20 THEN {s}s[20][1] ELSE {s}s[1][1] END AS {s}_px_20, coalesce(list_sum(list_transform({s}s[1:50], lambda x: x[1] * x[2])), 0.0) AS total_money_{s}_50" for s in ("bid", "ask")) + """ FROM ob),
+FEATURE_SQL = ", f1 AS (SELECT symbol, id, ts, asks, bids, bids[1][1] AS best_bid, asks[1][1] AS best_ask, " + ", ".join(f"coalesce(list_sum(list_transform({s}s[1:{k}], lambda x: x[2])), 0.0) AS sum_{s}_{k}" for s in ("bid", "ask") for k in (50, 20, 5)) + ", " + ", ".join(f"CASE WHEN len({s}s) >= 20 THEN {s}s[20][1] ELSE {s}s[1][1] END AS {s}_px_20, coalesce(list_sum(list_transform({s}s[1:50], lambda x: x[1] * x[2])), 0.0) AS total_money_{s}_50" for s in ("bid", "ask")) + """ FROM ob),
 f2 AS (SELECT *, total_money_bid_50 + total_money_ask_50 AS total_money_50, sum_bid_50 + sum_ask_50 AS total_depth_50, best_ask - best_bid AS spread FROM f1),
 bf AS (SELECT *, total_money_50 / (total_depth_50 + 1e-9) AS weighted_mid_price, sum_bid_50 / (total_depth_50 + 1e-9) AS deep_imbalance, (sum_bid_5 + sum_ask_5) / (total_depth_50 + 1e-9) AS concentration,
   (ask_px_20 - best_ask) / (sum_ask_20 + 1e-9) AS impact_slope_ask, (best_bid - bid_px_20) / (sum_bid_20 + 1e-9) AS impact_slope_bid, total_money_50 / (total_depth_50 + 1e-9) - (best_ask + best_bid) / 2 AS book_pressure FROM f2)"""
 
+BF = OB + FEATURE_SQL
+DEEP = "ob AS (SELECT vec_id AS id, vec_id * 60000 AS ts, 'DEEP' AS symbol, " + ", ".join(f"list_transform(range(1, 65), lambda i: [1000.0::DOUBLE {o} i, abs(embedding[i]::DOUBLE)]) AS {s}" for o, s in (("+", "asks"), ("-", "bids"))) + " FROM embeddings)" + FEATURE_SQL
+
 
 def r(expression: str, name: str, digits: int = 4) -> str:
     """Rounded after a small shift, so that no result lies on the edge between two roundings; milliseconds to one digit."""
@@ -48,7 +51,8 @@ def nearest(x: str, q: str) -> str:
 
 
 def corr(x: str, y: str) -> str:
-    return f"CASE WHEN isnan(corr({x}, {y})) OR min({x}) FILTER ({y} IS NOT NULL) = max({x}) FILTER ({y} IS NOT NULL) OR min({y}) FILTER ({x} IS NOT NULL) = max({y}) FILTER ({x} IS NOT NULL) THEN NULL ELSE corr({x}, {y}) END"
+    varies = lambda a, b: f"stddev_pop({a}) FILTER ({b} IS NOT NULL) > 1e-9 * greatest(abs(min({a}) FILTER ({b} IS NOT NULL)), abs(max({a}) FILTER ({b} IS NOT NULL)))"
+    return f"CASE WHEN {varies(x, y)} AND {varies(y, x)} THEN corr({x}, {y}) END"
 
 
 def trades(interval: str, *groups: str) -> str:
@@ -130,20 +134,20 @@ MISPLACED = EV + f", mi AS (SELECT event_id, symbol, t, value, strftime(make_tim
 DATED = TR + ", d AS (SELECT symbol, t, strftime(make_timestamp(t * 1000), '%Y-%m-%d') AS dt FROM tr0)"
 INTERNAL = "gi AS (SELECT symbol, dt, t, lead(t) OVER (PARTITION BY symbol, dt ORDER BY t) AS nx FROM d)"
 BOUNDARY = "fl AS (SELECT symbol, dt, min(t) AS lo, max(t) AS hi FROM d GROUP BY symbol, dt), gb AS (SELECT *, lead(lo) OVER (PARTITION BY symbol ORDER BY dt) AS nx, lead(dt) OVER (PARTITION BY symbol ORDER BY dt) AS nd FROM fl)"
-MISSING = f"{KL}, {bars('5m', where='symbol = ' + chr(39) + 'U0' + chr(39))}, mis AS (SELECT ts_ms FROM unnest(generate_series({FIRST}, {LAST}, {STEP})) x(ts_ms) WHERE ts_ms NOT IN (SELECT ts_ms FROM b))"
+MISSING = f"{KL}, {bars('5m')}, mis AS (SELECT symbol, ts_ms FROM (SELECT DISTINCT symbol FROM b), unnest(generate_series({FIRST}, {LAST}, {STEP})) x(ts_ms) EXCEPT SELECT symbol, ts_ms FROM b)"
 
 
 def propagated(cascade: bool) -> str:
-    parts, names = [MISSING, "s_5m AS (SELECT ts_ms FROM mis)"], list(MS)
+    parts, names = [MISSING, "s_5m AS (SELECT symbol, ts_ms FROM mis)"], list(MS)
     for k, target in enumerate(names[1:], 1):
         sources = names[:k] if cascade else names[:1]
-        union = " UNION ".join(f"SELECT unnest(generate_series(ts_ms, ts_ms + {MS[target] - STEP}, {STEP})) AS ts_ms FROM s_{s}" for s in sources)
-        parts.append(f"s_{target} AS (SELECT DISTINCT ts_ms FROM ({union}) WHERE ts_ms <= {LAST})")
-    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT '{i}' AS \"interval\", ts_ms FROM s_{i}" for i in names)
+        union = " UNION ".join(f"SELECT symbol, unnest(generate_series(ts_ms, ts_ms + {MS[target] - STEP}, {STEP})) AS ts_ms FROM s_{s}" for s in sources)
+        parts.append(f"s_{target} AS (SELECT DISTINCT symbol, ts_ms FROM ({union}) WHERE ts_ms <= {LAST})")
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT symbol, '{i}' AS \"interval\", ts_ms FROM s_{i}" for i in names)
 
 
-H1 = f"WITH {KL}, {bars('1h', where='symbol = ' + chr(39) + 'U0' + chr(39))}"
-_OHLC = "make_timestamp((ts_ms - 3600000) * 1000) AS time, timestamp_dt, ts_ms, " + ", ".join(r(c, c) for c in ("open", "high", "low", "close"))
+H1 = f"WITH {KL}, {bars('1h')}"
+_OHLC = "symbol, make_timestamp((ts_ms - 3600000) * 1000) AS time, timestamp_dt, ts_ms, " + ", ".join(r(c, c) for c in ("open", "high", "low", "close"))
 
 
 def _gold() -> str:
@@ -156,11 +160,12 @@ def _gold() -> str:
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     sql = {f"klines_{i}": klines(i) for i in MS} | {f"trades_features_{i}": trades(i) for i in MS}
-    sql |= {"trades_volume_1h": trades("1h", "volume"), "trades_price_stats_1h": trades("1h", "price"), "trades_size_stats_1h": trades("1h", "size"), "trades_rate_1h": trades("1h", "rate", "count"), "trades_corr_1h": trades("1h", "corr"), "trades_ticks_1h": trades("1h", "ticks")}
+    sql |= {"trades_volume_1h": trades("1h", "volume"), "trades_price_stats_1h": trades("1h", "price"), "trades_size_stats_1h": trades("1h", "size"), "trades_side_stats_1h": trades("1h", "price", "size", "volume"), "trades_rate_1h": trades("1h", "rate", "count"), "trades_corr_1h": trades("1h", "corr"), "trades_ticks_1h": trades("1h", "ticks")}
     sql |= {"ob_window_stats_1h": book_windows("1h", False), "ob_window_stats_1d": book_windows("1d", False), "ob_window_corr_1d": book_windows("1d", True)}
     level = "SELECT id, ts, '{0}' AS side, unnest(range(len({0}))) ::INT AS position, unnest({0}) AS l FROM ob"
     sql["ob_levels"] = f"WITH {OB}, x AS ({level.format('bids')} UNION ALL {level.format('asks')}) SELECT id, ts, side, position, {r('l[1]', 'price')}, {r('l[2]', 'size')} FROM x"
     sql["ob_features"] = f"WITH {BF} SELECT id, ts, {', '.join(r(c, c) for c in FEATURES)} FROM bf"
+    sql["ob_features_deep"] = f"WITH {DEEP} SELECT id, ts, {', '.join(r(c, c) for c in FEATURES)} FROM bf"
     sql["book_snapshots_minute"] = BOOK
     for name, order in (("first", "arrival"), ("last", "arrival DESC")):
         sql[f"dedupe_keep_{name}"] = f"WITH {ARRIVALS} SELECT event_id, symbol, t, {r('value', 'value')}, arrival FROM ar QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY {order}) = 1"
@@ -173,18 +178,18 @@ def oracle_sql() -> dict[str, str]:
     sql["gaps_boundary"] = f"WITH {DATED}, {BOUNDARY} SELECT symbol, dt AS after, nd AS before, 'boundary' AS type, hi + 1 AS start, nx - 1 AS \"end\", {hours.format('hi')} FROM gb WHERE nx - hi > 60000"
     sql["gap_counts"] = f"WITH {DATED}, {INTERNAL}, {BOUNDARY}, u AS (SELECT 'internal' AS type, (nx - t) / 3600000 AS h FROM gi WHERE nx - t > 60000 UNION ALL SELECT 'boundary', (nx - hi) / 3600000 FROM gb WHERE nx - hi > 60000) SELECT type, count(*) AS gaps, {r('sum(h)', 'hours', 2)} FROM u GROUP BY type"
     sql["complete_days"] = f"WITH {KL} SELECT symbol, strftime(make_timestamp(open_time * 1000), '%Y-%m-%d') AS dt, count(*) AS n, count(*) = 1440 AS complete FROM kl GROUP BY ALL"
-    sql["silver_gaps_5m"] = f"WITH {MISSING} SELECT ts_ms FROM mis"
+    sql["silver_gaps_5m"] = f"WITH {MISSING} SELECT symbol, ts_ms FROM mis"
     sql["propagate_gaps_exact"], sql["propagate_gaps_cascade"] = propagated(False), propagated(True)
-    sql["gap_fill_1h"] = f"WITH {MISSING}, st AS (SELECT DISTINCT ts_ms FROM (SELECT unnest(generate_series(ts_ms, ts_ms + 3300000, {STEP})) AS ts_ms FROM mis) WHERE ts_ms <= {LAST}), h0 AS (SELECT *, unnest(generate_series((open_time + 60000) // {STEP} * {STEP} + {STEP}, (open_time + 3660000) // {STEP} * {STEP}, {STEP})) AS ts_ms FROM kl WHERE symbol = 'U0'), h AS (SELECT {BARS} FROM h0 GROUP BY symbol, ts_ms) SELECT symbol, timestamp_dt, ts_ms, {', '.join(r(c, c) for c in BAR_COLUMNS)} FROM h WHERE ts_ms IN (SELECT ts_ms FROM st)"
+    sql["gap_fill_1h"] = f"WITH {MISSING}, st AS (SELECT DISTINCT symbol, ts_ms FROM (SELECT symbol, unnest(generate_series(ts_ms, ts_ms + 3300000, {STEP})) AS ts_ms FROM mis) WHERE ts_ms <= {LAST}), h0 AS (SELECT *, unnest(generate_series((open_time + 60000) // {STEP} * {STEP} + {STEP}, (open_time + 3660000) // {STEP} * {STEP}, {STEP})) AS ts_ms FROM kl), h AS (SELECT {BARS} FROM h0 GROUP BY symbol, ts_ms) SELECT symbol, timestamp_dt, ts_ms, {', '.join(r(c, c) for c in BAR_COLUMNS)} FROM h SEMI JOIN st USING (symbol, ts_ms)"
     sql["upsert_merge"] = f"WITH {ARRIVALS}, nw AS (SELECT CASE WHEN event_id % 15 = 0 THEN event_id + 1000000000 ELSE event_id END AS event_id, symbol, CASE WHEN event_id % 20 <> 0 THEN value * 2 END AS value, arrival FROM ar WHERE event_id % 5 = 0), u AS (SELECT event_id, symbol, value, -1 AS arrival FROM ev UNION ALL SELECT * FROM nw) SELECT event_id, symbol, {r('value', 'value')}, arrival FROM u QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrival DESC) = 1"
     sql["gold_merge"] = _gold()
-    sql["funding_ffill"] = f"WITH {MISSING}, {FU} SELECT ts_ms, {r('close', 'close', 6)}, {r('last_value(funding_rate IGNORE NULLS) OVER (ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 'funding_rate', 6)} FROM b LEFT JOIN fu ON funding_time = ts_ms"
+    sql["funding_ffill"] = f"WITH {MISSING}, {FU} SELECT symbol, ts_ms, {r('close', 'close', 6)}, {r('last_value(funding_rate IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 'funding_rate', 6)} FROM b LEFT JOIN fu ON funding_time = ts_ms"
     sql["funding_asof"] = f"WITH {TR}, {FU} SELECT id AS trade_id, t AS created_time, {r('price', 'price', 6)}, {r('funding_rate', 'funding_rate', 6)} FROM tr0 ASOF LEFT JOIN fu ON t >= funding_time"
     sql["funding_range_copy"] = f"WITH {EV}, {FU} SELECT instrument_name, {r('funding_rate', 'funding_rate', 6)}, funding_time FROM fu WHERE funding_time BETWEEN {FIRST + 2 * DAY} AND {FIRST + 20 * DAY}"
     aligned = "FROM b WHERE ts_ms % 3600000 = 0"
     sql["ohlc_range"] = f"{H1} SELECT {_OHLC} {aligned} AND timestamp_dt BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'"
-    sql["ohlc_latest_n"] = f"{H1} SELECT {_OHLC} {aligned} ORDER BY ts_ms DESC LIMIT 50"
-    sql["ohlc_date_range"] = f"{H1} SELECT min(timestamp_dt) AS first_record, max(timestamp_dt) AS last_record FROM b"
-    sql["ohlc_statistics"] = f"{H1} SELECT count(*) AS total_records, min(timestamp_dt) AS first_record, max(timestamp_dt) AS last_record, {r('min(low)', 'all_time_low')}, {r('max(high)', 'all_time_high')} {aligned}"
-    sql["candle_change"] = f"{H1}, x AS (SELECT * {aligned} ORDER BY ts_ms DESC LIMIT 24), y AS (SELECT arg_max(close, ts_ms) AS close, arg_min(open, ts_ms) AS open, max(high) AS high, min(low) AS low FROM x) SELECT {', '.join(r(c, c) for c in ('close', 'open', 'high', 'low'))}, {r('close - open', 'change_abs')}, {r('(close - open) / open * 100', 'change_pct')} FROM y"
+    sql["ohlc_latest_n"] = f"{H1} SELECT {_OHLC} {aligned} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC) <= 50"
+    sql["ohlc_date_range"] = f"{H1} SELECT symbol, min(timestamp_dt) AS first_record, max(timestamp_dt) AS last_record FROM b GROUP BY symbol"
+    sql["ohlc_statistics"] = f"{H1} SELECT symbol, count(*) AS total_records, min(timestamp_dt) AS first_record, max(timestamp_dt) AS last_record, {r('min(low)', 'all_time_low')}, {r('max(high)', 'all_time_high')} {aligned} GROUP BY symbol"
+    sql["candle_change"] = f"{H1}, x AS (SELECT * {aligned} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts_ms DESC) <= 24), y AS (SELECT symbol, arg_max(close, ts_ms) AS close, arg_min(open, ts_ms) AS open, max(high) AS high, min(low) AS low FROM x GROUP BY symbol) SELECT symbol, {', '.join(r(c, c) for c in ('close', 'open', 'high', 'low'))}, {r('close - open', 'change_abs')}, {r('(close - open) / open * 100', 'change_pct')} FROM y"
     return sql

@@ -14,6 +14,7 @@ from sluice.operators.orderbook import book_features, book_windows
 from sluice.operators.trades import trade_windows
 from sluice.sources import fixtures as fx
 
+SYMBOL = ("symbol",)
 SPAN = {"first_end": fx.FIRST_MS, "last_end": fx.LAST_MS}
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,9 +47,17 @@ def ob_levels(spark, d):
     return rounded(out[0].unionByName(out[1]).select("id", "ts", "side", "position", F.get("l", F.lit(0)).alias("price"), F.get("l", F.lit(1)).alias("size")))
 
 
-def ob_features(spark, d):
+def _features(books):
     keep = "best_bid best_ask sum_bid_50 sum_bid_20 sum_bid_5 sum_ask_50 sum_ask_20 sum_ask_5 bid_px_20 ask_px_20 total_money_bid_50 total_money_ask_50 total_money_50 total_depth_50 spread weighted_mid_price deep_imbalance concentration impact_slope_ask impact_slope_bid book_pressure".split()
-    return rounded(book_features(fx.order_books(spark, d)).select("id", "ts", *keep))
+    return rounded(book_features(books).select("id", "ts", *keep))
+
+
+def ob_features(spark, d):
+    return _features(fx.order_books(spark, d))
+
+
+def ob_features_deep(spark, d):
+    return _features(fx.deep_books(spark, d))
 
 
 def _book_windows(interval: str, corr: bool) -> Query:
@@ -113,25 +122,25 @@ def complete_days(spark, d):
 
 
 def _bars_5m(spark, d):
-    return kline_windows(fx.klines(spark, d).where("symbol = 'U0'"), "5m", **SPAN)
+    return kline_windows(fx.klines(spark, d), "5m", **SPAN)
 
 
 def silver_gaps_5m(spark, d):
-    return silver.missing_ends(_bars_5m(spark, d), fx.FIRST_MS, fx.LAST_MS, "row_exists")
+    return silver.missing_ends(_bars_5m(spark, d), fx.FIRST_MS, fx.LAST_MS, "row_exists", SYMBOL)
 
 
 def _propagated(cascade: bool) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
-        missing = silver_gaps_5m(spark, d).select(F.lit("5m").alias("interval"), "ts_ms")
-        return silver.propagate(missing, fx.LAST_MS, cascade)
+        missing = silver_gaps_5m(spark, d).select("symbol", F.lit("5m").alias("interval"), "ts_ms")
+        return silver.propagate(missing, fx.LAST_MS, cascade, SYMBOL)
 
     return query
 
 
 def gap_fill_1h(spark, d):
-    stale = silver.propagate(silver_gaps_5m(spark, d).select(F.lit("5m").alias("interval"), "ts_ms"), fx.LAST_MS).where("interval = '1h'")
-    raw = fx.klines(spark, d).where("symbol = 'U0'").withColumn("close_time", F.col("open_time") + 60_000)
-    return rounded(silver.fill(raw, "close_time", "1h", stale, lambda rows, i: kline_windows(rows.drop("close_time"), i)))
+    stale = silver.propagate(silver_gaps_5m(spark, d).select("symbol", F.lit("5m").alias("interval"), "ts_ms"), fx.LAST_MS, keys=SYMBOL).where("interval = '1h'")
+    raw = fx.klines(spark, d).withColumn("close_time", F.col("open_time") + 60_000)
+    return rounded(silver.fill(raw, "close_time", "1h", stale, lambda rows, i: kline_windows(rows.drop("close_time"), i), SYMBOL))
 
 
 def upsert_merge(spark, d):
@@ -148,8 +157,8 @@ def gold_merge(spark, d):
 
 
 def funding_ffill(spark, d):
-    rows = _bars_5m(spark, d).select("ts_ms", "close").join(fx.funding(spark, d).select(F.col("funding_time").alias("ts_ms"), "funding_rate"), "ts_ms", "left")
-    return rounded(gold.forward_fill(rows.withColumn("dt", F.floor(F.col("ts_ms") / fx.DAY_MS)), ["funding_rate"], "ts_ms", bucket="dt").drop("dt"), 6)
+    rows = _bars_5m(spark, d).select("symbol", "ts_ms", "close").join(fx.funding(spark, d).select(F.col("funding_time").alias("ts_ms"), "funding_rate"), "ts_ms", "left")
+    return rounded(gold.forward_fill(rows.withColumn("dt", F.floor(F.col("ts_ms") / fx.DAY_MS)), ["funding_rate"], "ts_ms", ["symbol"], "dt").drop("dt"), 6)
 
 
 def funding_asof(spark, d):
@@ -162,27 +171,27 @@ def funding_range_copy(spark, d):
 
 
 def _bars_1h(spark, d):
-    return kline_windows(fx.klines(spark, d).where("symbol = 'U0'"), "1h", **SPAN)
+    return kline_windows(fx.klines(spark, d), "1h", **SPAN)
 
 
 def ohlc_range(spark, d):
-    return rounded(serving.ohlc_range(_bars_1h(spark, d), "1h", "2024-01-05 00:00:00", "2024-01-12 00:00:00"))
+    return rounded(serving.ohlc_range(_bars_1h(spark, d), "1h", "2024-01-05 00:00:00", "2024-01-12 00:00:00", keys=SYMBOL))
 
 
 def ohlc_latest_n(spark, d):
-    return rounded(serving.latest(_bars_1h(spark, d), "1h", 50))
+    return rounded(serving.latest(_bars_1h(spark, d), "1h", 50, SYMBOL))
 
 
 def ohlc_date_range(spark, d):
-    return serving.date_range(_bars_1h(spark, d))
+    return serving.date_range(_bars_1h(spark, d), SYMBOL)
 
 
 def ohlc_statistics(spark, d):
-    return rounded(serving.statistics(_bars_1h(spark, d), "1h"))
+    return rounded(serving.statistics(_bars_1h(spark, d), "1h", SYMBOL))
 
 
 def candle_change(spark, d):
-    return rounded(serving.change(serving.latest(_bars_1h(spark, d), "1h", 24)))
+    return rounded(serving.change(serving.latest(_bars_1h(spark, d), "1h", 24, SYMBOL), SYMBOL))
 
 
 def queries() -> dict[str, Query]:
@@ -190,10 +199,10 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"klines_{i}": _klines(i) for i in INTERVALS}
     found |= {
         "trades_volume_1h": _trades("1h", "volume"), "trades_price_stats_1h": _trades("1h", "price"), "trades_size_stats_1h": _trades("1h", "size"),
-        "trades_rate_1h": _trades("1h", "rate", "count"), "trades_corr_1h": _trades("1h", "corr"), "trades_ticks_1h": _trades("1h", "ticks"),
+        "trades_side_stats_1h": _trades("1h", "price", "size", "volume"), "trades_rate_1h": _trades("1h", "rate", "count"), "trades_corr_1h": _trades("1h", "corr"), "trades_ticks_1h": _trades("1h", "ticks"),
         "trades_features_5m": _trades("5m"), "trades_features_15m": _trades("15m"), "trades_features_1h": _trades("1h"), "trades_features_4h": _trades("4h"), "trades_features_1d": _trades("1d"),
         "ob_window_stats_1h": _book_windows("1h", False), "ob_window_stats_1d": _book_windows("1d", False), "ob_window_corr_1d": _book_windows("1d", True),
         "propagate_gaps_exact": _propagated(False), "propagate_gaps_cascade": _propagated(True),
     }
-    plain = (ob_levels, ob_features, book_snapshots_minute, dedupe_keep_first, dedupe_keep_last, duplicate_report, rearrange_daily, rearrange_monthly, misplaced_counts, gaps_internal, gaps_boundary, gap_counts, complete_days, silver_gaps_5m, gap_fill_1h, upsert_merge, gold_merge, funding_ffill, funding_asof, funding_range_copy, ohlc_range, ohlc_latest_n, ohlc_date_range, ohlc_statistics, candle_change)
+    plain = (ob_levels, ob_features, ob_features_deep, book_snapshots_minute, dedupe_keep_first, dedupe_keep_last, duplicate_report, rearrange_daily, rearrange_monthly, misplaced_counts, gaps_internal, gaps_boundary, gap_counts, complete_days, silver_gaps_5m, gap_fill_1h, upsert_merge, gold_merge, funding_ffill, funding_asof, funding_range_copy, ohlc_range, ohlc_latest_n, ohlc_date_range, ohlc_statistics, candle_change)
     return found | {f.__name__: f for f in plain}

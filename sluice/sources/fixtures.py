@@ -56,6 +56,12 @@ def order_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.join(sides, keyed.o_orderkey == sides.l_orderkey).select(F.lit("BOOK").alias("symbol"), F.col("o_orderkey").alias("id"), "ts", "action", "asks", "bids")
 
 
+def deep_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One book of 64 levels a side for each vector: prices step away from 1000, sizes are the vector's absolute values."""
+    side = lambda sign: F.to_json(F.transform("embedding", lambda x, i: F.array((1000.0 + sign * (i + 1)).cast("string"), F.abs(x.cast("double")).cast("string"))))
+    return table(spark, sf_dir, "embeddings").select(F.lit("DEEP").alias("symbol"), F.col("vec_id").alias("id"), (F.col("vec_id") * 60_000).alias("ts"), F.lit("snapshot").alias("action"), side(1).alias("asks"), side(-1).alias("bids"))
+
+
 def book_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as messages of 28 days: symbol, ts, seq, action, bids, asks."""
     day = F.pmod(F.floor(_millis("l_shipdate") / DAY_MS), F.lit(28)) * DAY_MS + FIRST_MS

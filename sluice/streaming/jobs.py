@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.timeutil import INTERVALS, STEP_MS, interval_ms, wall_clock
-from sluice.operators.bronze import keep_one
-from sluice.operators.silver import merge_by_key
 from sluice.sources import tables
 
 #: A stream holds raw rows of this span for its longest windows.
@@ -101,12 +99,3 @@ def stream_bars(stream: DataFrame, interval: str, lateness: str = "0 seconds") -
     end = F.unix_millis("w.end")
     return out.select("symbol", wall_clock(end).alias("timestamp_dt"), end.alias("ts_ms"), "open", "high", "low", "close", "mean", "std")
 
-
-def latest_rows(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Of equal keys the last in order."""
-    return keep_one(batch, keys, order)
-
-
-def merged(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The table after an upsert of the batch."""
-    return merge_by_key(existing, batch, keys)
