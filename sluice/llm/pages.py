@@ -3,8 +3,10 @@
 A page is cut into text blocks at block-level tags. A block is described by its words and link density,
 those of the blocks before and after it, whether it stands in a part of the page that isn't the article
 (navigation, header, footer, sidebar, advert, notice, form, comments) and whether the page marks
-an article around it. A decision tree fitted to a small labelled table (page_blocks.csv) says which blocks
-are main text.
+an article around it. A decision tree fitted to a small labelled table (page_blocks.csv: the blocks of hand-made
+pages of several layouts, in page order) says which blocks are main text.
+
+One forward scan reads a page; unclosed tags, quotes and elements cost no more than closed ones.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ import csv
 import html
 import io
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 from pkgutil import get_data
 
 import pyarrow as pa
@@ -29,24 +33,64 @@ SELF_CLOSING = {"p": BLOCK_TAGS - {"option"}, "li": {"li"}, "dt": {"dt", "dd"},
 ASIDE_TAGS = frozenset("nav header footer aside form menu select button dialog iframe".split())
 ARTICLE_TAGS = frozenset(["article", "main"])
 #: Words in class, id and role that mark a part of the page as something other than the article.
-ASIDE_WORDS = frozenset("ad ads adbox adsbygoogle advert adverts advertisement advertising banner sponsor sponsored promo promotion navigation nav navbar menu breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar sidenav aside widget related recommended share sharing social cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall search searchbox comment comments commentlist disqus reply replies respond discussion pagination pager form contentinfo complementary".split())
+ASIDE_WORDS = frozenset("ad ads adbox adsbygoogle advert adverts advertisement advertising banner sponsor sponsored promo promotion navigation nav navbar menu breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar sidenav aside widget related recommended share sharing social cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall teaser teasers trending popular search searchbox comment comments commentlist disqus reply replies respond discussion pagination pager form contentinfo complementary".split())
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "aside", "article")
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+#: Words that don't mark a part inside an article as something else: articles have headers of their own.
+ARTICLE_PARTS = frozenset("header masthead social form".split())
+
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""[>"']""")
+_RAW_END = {tag: re.compile(rf"</{tag}[^>]*>", re.I) for tag in (*RAW_TAGS, "title")}
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
-def _marked(attributes: str) -> bool:
-    """Whether class, id or role hold a word of ASIDE_WORDS."""
+def _marked(attributes: str, article: bool) -> bool:
+    """Whether class, id or role hold a word of ASIDE_WORDS (inside an article, other than ARTICLE_PARTS)."""
     for _, a, b, c in _ATTRIBUTE.findall(attributes):
-        value = a or b or c
-        if not ASIDE_WORDS.isdisjoint(_PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
+        found = ASIDE_WORDS.intersection(_PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
+        if found - ARTICLE_PARTS if article else found:
             return True
     return False
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of every tag; comments and declarations have no name.
+
+    A quoted value may hold ">". A tag or comment that the page's end cuts off takes the rest of the page. Every search starts
+    where the one before ended, so the scan is linear.
+    """
+    at, size, last_quote = 0, len(page), {q: page.rfind(q) for q in "\"'"}
+    last_end = page.rfind(">")
+    while (start := page.find("<", at)) >= 0:
+        name = _NAME.match(page, start + 1)
+        if not name:
+            if page.startswith("<!--", start):
+                stop = page.find("-->", start + 4)
+                at = stop + 3 if stop >= 0 else size
+            elif page[start + 1 : start + 2] in ("!", "?", "/"):
+                at = page.find(">", start) + 1 or size
+            else:
+                at = start + 1
+                continue
+            yield start, at, "", "", ""
+            continue
+        at = name.end()
+        while at <= last_end:
+            stop = _STOP.search(page, at)
+            at = stop.end()
+            if stop[0] == ">":
+                yield start, at, name[1], name[2].lower(), page[name.end() : at - 1]
+                break
+            if last_quote[stop[0]] >= at and page[name.end() : stop.start()].rstrip()[-1:] == "=":
+                at = page.find(stop[0], at) + 1
+        else:
+            yield start, size, name[1], "", ""
+            return
+
+
 class Block:
     """One text block with its features."""
 
@@ -58,22 +102,31 @@ class Block:
 
 
 def text_blocks(page: str) -> list[Block]:
-    """All blocks of a page with text, in order; tags that are never closed or opened are tolerated."""
+    """All blocks of a page with text, in order; tags that are never closed or opened are tolerated.
+
+    An advert or the like inside a line of text is a block of its own, and the text around it stays one block.
+    """
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # tag, aside, article: as they hold inside
+    # tag; aside and article as they hold inside; the text around an inline element of its own, and its linked words
+    stack: list[tuple[str, bool, bool, list[str] | None, int]] = [("", False, False, None, 0)]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = in_link = in_head = 0
-    last = page.rfind("<")
-    end = last if last > page.rfind(">") and re.match(r"<[/!?a-zA-Z]", page[last:]) else len(page)  # a tag that the page's end cuts off
 
-    def close() -> None:
-        nonlocal linked
-        if parts:
-            words = "".join(parts).split()
-            if words:
-                blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), stack[-1][1], stack[-1][2]))
-            parts.clear()
-        linked = 0
+    def flush() -> None:
+        nonlocal linked, parts
+        words = "".join(parts).split()
+        if words:
+            blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), stack[-1][1], stack[-1][2]))
+        parts, linked = [], 0
+
+    def pop() -> None:
+        nonlocal linked, parts
+        flush()
+        tag, _, _, around, before = stack.pop()
+        opened[tag] -= 1
+        if around is not None:
+            parts, linked = [*around, " "], before
 
     def text(raw: str) -> None:
         nonlocal linked
@@ -83,59 +136,53 @@ def text_blocks(page: str) -> list[Block]:
             if in_link:
                 linked += len(raw.split())
 
-    at, skip_to = 0, 0
-    for m in _TAG.finditer(page, 0, end):
-        if m.start() < skip_to:
+    at, end = 0, len(page)
+    for start, stop, slash, tag, attributes in tags(page):
+        if start < at:
             continue
-        text(page[at : m.start()])
-        at = m.end()
-        tag = m[2].lower() if m[2] else ""
+        text(page[at:start])
+        at = stop
         if not tag:
             continue
-        if m[1]:  # an end tag
-            if tag == "a":
-                in_link = 0
-            elif tag == "head":
-                in_head = 0
-            if tag in BLOCK_TAGS:
-                close()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+        if slash:
+            in_link = 0 if tag == "a" else in_link
+            in_head = 0 if tag == "head" else in_head
+            if opened[tag] > 0:
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
+            elif tag in BLOCK_TAGS:
+                flush()
             continue
-        if tag in RAW_TAGS:
-            if not m[3].endswith("/"):
-                stop = re.compile(rf"</{tag}[^>]*>", re.I).search(page, at, end)
-                at = skip_to = stop.end() if stop else end
+        if tag in _RAW_END:
+            if tag == "title" or not attributes.endswith("/"):
+                closing = _RAW_END[tag].search(page, at)
+                at = closing.end() if closing else end
             continue
-        if tag in ("head", "title"):
-            in_head = 1 if tag == "head" else in_head
-            if tag == "title":
-                stop = re.compile(r"</title[^>]*>", re.I).search(page, at, end)
-                at = skip_to = stop.end() if stop else end
+        if tag == "head":
+            in_head = 1
             continue
-        if tag == "body":
-            in_head = 0
-        if tag == "a":
-            in_link = 1
+        in_head = 0 if tag == "body" else in_head
+        in_link = 1 if tag == "a" else in_link
         if tag == "br":
             parts.append(" ")
         if tag in BLOCK_TAGS:
-            close()
+            flush()
             while stack[-1][0] in SELF_CLOSING and tag in SELF_CLOSING[stack[-1][0]]:
-                stack.pop()
-        if tag in VOID_TAGS or m[3].endswith("/"):
+                pop()
+            flush()
+        if tag in VOID_TAGS or attributes.endswith("/"):
             continue
-        aside = tag in ASIDE_TAGS or bool(m[3]) and tag not in ("a", "html", "body", "article", "main") and _marked(m[3])
+        _, was, article, _, _ = stack[-1]
+        aside = tag in ASIDE_TAGS and not (tag == "header" and article) or bool(attributes) and tag not in ("a", "html", "body", "article", "main") and _marked(attributes, article)
         if tag in BLOCK_TAGS or aside:
-            _, was, article = stack[-1]
-            if tag not in BLOCK_TAGS:
-                close()
-            stack.append((tag, was or aside, article or tag in ARTICLE_TAGS))
-    if at < end:
-        text(page[at:end])
-    close()
+            opened[tag] += 1
+            stack.append((tag, was or aside, article or tag in ARTICLE_TAGS, None if tag in BLOCK_TAGS else parts, linked))
+            parts, linked = [], 0
+    text(page[at:end])
+    while len(stack) > 1:
+        pop()
+    flush()
     return blocks
 
 
@@ -149,7 +196,8 @@ def features(blocks: list[Block]) -> list[tuple[float, ...]]:
 class DecisionTree:
     """A binary tree by Gini impurity on a small table of numbers."""
 
-    def __init__(self, rows: list[tuple[float, ...]], labels: list[int], depth: int = 6):
+    def __init__(self, rows: list[tuple[float, ...]], labels: list[int], depth: int = 9, least: int = 3):
+        self.least = least
         self.root = self._grow(rows, labels, depth)
 
     @staticmethod
@@ -166,7 +214,7 @@ class DecisionTree:
             left = 0
             for k in range(1, n):
                 left += pairs[k - 1][1]
-                if pairs[k][0] > pairs[k - 1][0]:
+                if pairs[k][0] > pairs[k - 1][0] and self.least <= k <= n - self.least:
                     cost = self._gini(k, left) + self._gini(n - k, ones - left)
                     if best is None or cost < best[0] - 1e-12:
                         best = (cost, f, (pairs[k][0] + pairs[k - 1][0]) / 2)
@@ -185,10 +233,14 @@ class DecisionTree:
 
 
 def read_labelled(content: str | None = None) -> tuple[list[tuple[float, ...]], list[int]]:
-    """Rows and labels of a labelled table in CSV; by default the one beside this module."""
+    """Rows and labels of a labelled table in CSV (page, words, linked, aside, article, main: blocks in page order); by default the one beside this module."""
     content = content if content is not None else get_data("sluice.llm", "page_blocks.csv").decode()
-    table = list(csv.DictReader(io.StringIO(content)))
-    return [tuple(float(r[f]) for f in FEATURES) for r in table], [int(r["main"]) for r in table]
+    rows, labels = [], []
+    for _, page in groupby(csv.DictReader(io.StringIO(content)), key=lambda r: r["page"]):
+        page = list(page)
+        rows += features([Block("", int(r["words"]), int(r["linked"]), r["aside"] == "1", r["article"] == "1") for r in page])
+        labels += [int(r["main"]) for r in page]
+    return rows, labels
 
 
 def main_text(page: str | None, tree: DecisionTree) -> str:

@@ -61,3 +61,39 @@ def test_nulls_and_empty_table(spark):
 def test_tree_agrees_with_its_table():
     rows, labels = p.read_labelled()
     assert sum(TREE.predict(r) == bool(x) for r, x in zip(rows, labels)) >= 0.95 * len(rows)
+
+
+def test_inline_adverts_and_headers_inside_articles():
+    assert text('<article><p>Hello world .. <span class="ad">Buy now cheap</span> more text follows.</p></article>') == "Hello world .. more text follows."
+    assert text('<article><header><h1>The title</h1></header><p>One two three.</p><span class="promo"><div>Buy <p>this</p></div></span><p>Four.</p></article>') == "The title\nOne two three.\nFour."
+    assert text(f'<body><header><h1>Site</h1></header><article class="social policy"><p>{LONG} <b class="ad">never closed</p><p>{LONG}</p></article>') == f"{LONG}\n{LONG}"
+
+
+def test_neighbours_decide():
+    """The same blocks of 12 words, 10 linked, and of 5 words, unlinked: by what stands around them."""
+    linked, short = '<div>read more <a href="/">about all of this and of that here and there</a></div>', "<div>five plain words stand here</div>"
+    long = f"<p>{LONG}</p>"
+    assert text(f"<main>{long}{linked}{long}</main>").count("\n") == 2
+    assert text(f"<div>{linked * 5}</div>") == ""
+    assert text(f"<div>{short}{long}{long}</div>").startswith("five plain words")
+    assert text(f"<div>{linked * 3}{short}{linked * 3}</div>") == ""
+
+
+def test_layouts_that_the_table_does_not_hold():
+    menu = "".join(f'<td><a href="/{k}">Item {k}</a></td>' for k in range(7))
+    old = f"<html><body><table><tr>{menu}</tr></table><center><font size=5>A page of the old days</font></center><font>{LONG}<br><br>{LONG} too.</font><hr><p>{LONG}, and so on.</p><table><tr>{menu}</tr></table><small>Last changed in 1999</small>"
+    assert text(old) == f"A page of the old days\n{LONG} {LONG} too.\n{LONG}, and so on."
+    cards = "".join(f'<div class="card"><a href="/{k}"><h3>Another story, number {k}</h3></a></div>' for k in range(6))
+    modern = f'<div id="root"><div class="topbar"><a href="/">Home</a></div><div><h1>On something new</h1><div>{LONG}.</div><ul><li>{LONG}; one</li><li>{LONG}; two</li></ul><div>{LONG}!</div></div><div>{cards}</div><div class="cookieConsent"><p>{LONG}</p></div></div>'
+    assert text(modern) == f"On something new\n{LONG}.\n{LONG}; one\n{LONG}; two\n{LONG}!"
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    n = 100_000
+    pages = ['<a "' * n, "<p " * n, "<div>" * n + "</b>" * n, "<a x='>" * n, '<b class="ad">' * n, "<p>" * n + "</div>" * n, "<!--" * n, "<span class=ad><div>" * n + "</span>" * n, "<a =" + '"' * n + ">"]
+    begin = time.time()
+    for page in pages:
+        text(page)
+    assert time.time() - begin < 40
