@@ -156,6 +156,26 @@ def test_contamination_odd_items(spark, block_words):
     assert got == brute.contamination(docs, items)
 
 
+@pytest.mark.parametrize("block_words", [8, 1000])
+def test_contaminated_spans_are_cut_to_the_byte(spark, block_words):
+    from sluice.llm.decontaminate import remove_contaminated
+
+    passage = "One two, three; FOUR five six seven eight nine ten eleven twelve thirteen fourteen"
+    items = [(1, passage.lower()), (2, "a short item here")]
+    docs = [
+        (1, f"Keep THIS, Please. {passage} -- And This, \u00e9h!", "x", None), (2, passage, "x", 5), (3, "Nothing of it.", None, 1), (None, None, "y", 2),
+        (5, "w " * 600 + passage, "z", 7), (5, "A short ITEM / here \u2014 a short item, here!", "z", 7),
+    ]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, `_` string, row int")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], (r["text"] or "")[:4]): r for r in remove_contaminated(df, bench, spans=True, length_col="row", block_words=block_words).collect()}
+    assert got[1, "Keep"]["text"] == "Keep THIS, Please.  -- And This, \u00e9h!" and got[1, "Keep"]["row"] == len(got[1, "Keep"]["text"])
+    assert got[3, "Noth"]["text"] == docs[2][1] and got[None, ""]["text"] is None and got[5, "w w "]["text"] == docs[4][1]
+    assert [r["text"] for k, r in got.items() if k[0] == 5 and k[1] != "w w "] == [" \u2014 !"] and len(got) == 5
+    dropped = remove_contaminated(df, bench, block_words=block_words).collect()
+    assert sorted((r["doc_id"] or 0) for r in dropped) == [0, 3, 5] and remove_contaminated(df.limit(0), bench, block_words=block_words).count() == 0
+
+
 def test_shards(spark, small):
     got = q.op6_sharding(spark, SF).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in small)
