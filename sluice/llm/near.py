@@ -4,8 +4,8 @@ Two small collections of minhash bands are computed, m bands each. A table key j
 with a band of the second, so m * m tables cost 2 * m bands of minhashes instead of m * m. Documents of
 equal shingle sets are one class and only its smallest id goes on. Within a table key, members are first
 held against one pivot and connected components of the verified links are formed. Keys whose members then
-still belong to several components are taken up again: their documents meet by the bands of the first
-collection, in blocks, and every pair across components that also shares a band of the second is verified,
+still belong to several components are taken up again, and only they: their documents meet under the table
+key, in blocks of bounded size, and every pair across components is verified under the first key that it shares,
 but for pairs that an exact bound from sizes and sketches rules out. No key is capped and no pair that
 shares a key and can be linked is passed over.
 """
@@ -31,9 +31,10 @@ BANDS, ROWS = 8, 2
 PIVOT_MEMBERS = 256
 #: Bins of the sketch (a power of two).
 BINS = 512
-#: Members of a block when documents of one band are compared with each other.
+#: Members of a block when documents of one table key are compared with each other.
 BLOCK = 384
 
+_SHORT, _ALL = int(MUL[11]), (1 << 64) - 1
 _LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 
@@ -64,9 +65,9 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.nda
     if len(short):
         first, extra = np.cumsum(count) - count, []
         for d in short.tolist():
-            x = np.uint64(count[d])
-            for w in words[first[d] : first[d] + count[d]]:
-                x = x * MUL[11] + w
+            x = int(count[d])
+            for w in words[first[d] : first[d] + count[d]].tolist():
+                x = (x * _SHORT + w) & _ALL
             extra.append(x)
         h, doc = np.concatenate([h, mix(np.array(extra, np.uint64))]), np.concatenate([doc, short])
     order = np.lexsort((h, doc))
@@ -203,9 +204,9 @@ def may_link(n: np.ndarray, m: int, marks: np.ndarray, mark: np.ndarray, num: in
 
 
 def _block_pairs(num: int, den: int):
-    """Rows (band, key, lo, hi, doc, n, label, block, bands, sketch) in order of the first four to pairs (a, b)."""
+    """Rows (table, key, lo, hi, doc, n, label, block, bands, sketch) in order of the first four to pairs (a, b)."""
 
-    def compare(rows: list[dict], lo: int, hi: int, band: int) -> pa.RecordBatch:
+    def compare(rows: list[dict], lo: int, hi: int, table: int) -> pa.RecordBatch:
         sides = [[r for r in rows if r["block"] == x] for x in (lo, hi)]
         out = ([], [])
         if sides[0] and sides[1]:
@@ -216,7 +217,8 @@ def _block_pairs(num: int, den: int):
                     cand[: k + 1] = False
                 at = np.flatnonzero(cand)
                 shared = bands[1][at] == bands[0][k]
-                at = at[(np.argmax(shared[:, :BANDS], 1) == band) & shared[:, BANDS:].any(1)]
+                one, two = shared[:, :BANDS], shared[:, BANDS:]
+                at = at[one.any(1) & two.any(1) & (np.argmax(one, 1) * BANDS + np.argmax(two, 1) == table)]
                 at = at[may_link(counts[1][at], counts[0][k], marks[1][at], marks[0][k], num, den)]
                 out[0].extend(np.minimum(docs[1][at], docs[0][k]).tolist())
                 out[1].extend(np.maximum(docs[1][at], docs[0][k]).tolist())
@@ -227,7 +229,7 @@ def _block_pairs(num: int, den: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 for r in batch.slice(at, 500).to_pylist():
-                    group = (r["band"], r["key"], r["lo"], r["hi"])
+                    group = (r["table"], r["key"], r["lo"], r["hi"])
                     if group != now and held:
                         yield compare(held, now[2], now[3], now[0])
                         held = []
@@ -239,20 +241,19 @@ def _block_pairs(num: int, den: int):
     return pairs
 
 
-def pairs_across(open_docs: DataFrame, signed: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) of all documents of different labels that share a band of each collection and may be linked.
+def pairs_across(members: DataFrame, signed: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of all documents of different labels that share a table key and may be linked.
 
-    ``open_docs`` has doc, label. A band's documents are dealt out over blocks of bounded size and blocks meet
-    in pairs; a pair is taken up under the first band that it shares.
+    ``members`` has table, key, doc, label, blocks: the members of keys with several labels. A key's documents are
+    dealt out over blocks of bounded size and blocks meet in pairs; a pair is taken up under the first key that it shares.
     """
-    spark = open_docs.sparkSession
-    rows = (open_docs.join(signed.select("doc", "n", "bands", "sketch").dropDuplicates(["doc"]), "doc")
-            .select("doc", "n", "label", "bands", "sketch", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "key")))
-    groups = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(groups, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    spark = members.sparkSession
+    facts = signed.select("doc", "n", "bands", "sketch").join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return met.select("band", "key", "lo", "hi", "doc", "n", "label", "block", "bands", "sketch").repartition(parts, "band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi", "doc").mapInArrow(_block_pairs(num, den), "a bigint, b bigint")
+    rows = met.select("table", "key", "lo", "hi", "doc", "label", "block").join(facts, "doc")
+    return rows.repartition(parts, "table", "key", "lo", "hi").sortWithinPartitions("table", "key", "lo", "hi", "doc").mapInArrow(_block_pairs(num, den), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -263,14 +264,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets' similarity is threshold[0] / threshold[1] at least, judged on the full sets. component_id is the
     smallest id that can be reached by links. Null and wordless texts have empty sets, are linked with
     nothing and kept. Rows with a null id are kept, without component. Rows that repeat an id count as
-    one document. Other columns aren't read.
+    one document. Ids must be integers. Other columns aren't read.
     """
     num, den = threshold
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("data"))
     signed = written(plain.mapInArrow(_signatures(width), "doc bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch binary"), "signatures")
     classes = written(signed.where("n > 0 and doc is not null").groupBy("d1", "d2").agg(F.min("doc").alias("rep")), "classes")
     tables = F.transform(F.sequence(F.lit(0), F.lit(BANDS * BANDS - 1)), lambda k: F.xxhash64(k, F.get("bands", F.floor(k / BANDS).cast("int")), F.get("bands", BANDS + k % BANDS)))
-    keys = signed.select("doc", "bands").join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", F.explode(tables).alias("key"))
+    keys = signed.select("doc", "bands").join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", F.posexplode(tables).alias("table", "key"))
     ends = keys.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").select("key", "pivot")
     buckets = written(keys.join(ends, "key"), "buckets")
     packed = plain.where("doc is not null").mapInArrow(_pack, "doc bigint, data binary")
@@ -279,11 +280,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = written(verified_links(tested, texts, width, num, den), "links")
     labels = components(links)
     label = labels.select(F.col("id").alias("doc"), "label")
-    labelled = buckets.select("key", "doc").join(label, "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
-    ends = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    open_docs = written(labelled.join(ends, "key", "left_semi").select("doc", "label").distinct(), "open")
-    if not open_docs.isEmpty():
-        fresh = written(pairs_across(open_docs, signed, num, den).join(tested, ["a", "b"], "left_anti"), "pairs")
+    labelled = buckets.select("table", "key", "doc").join(label, "doc", "left").select("table", "key", "doc", F.coalesce("label", "doc").alias("label"))
+    ends = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    members = written(labelled.join(ends, "key"), "open")
+    if not members.isEmpty():
+        fresh = written(pairs_across(members, signed, num, den).join(tested, ["a", "b"], "left_anti"), "pairs")
         found = written(verified_links(fresh, texts, width, num, den), "links")
         if not found.isEmpty():
             labels = components(links.unionByName(found))
@@ -298,5 +299,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
     Of rows that repeat an id all stay; documents without words or id all stay.
     """
-    gone = near_duplicates(docs, id_col, text_col, width, threshold).where("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    name = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name
+    gone = near_duplicates(docs, id_col, text_col, width, threshold).where("not kept").select(F.col(id_col).alias(name))
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")

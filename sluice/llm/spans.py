@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.hashing import BASE, BYTE, INVERSE, MUL, mix, powers
@@ -32,12 +32,15 @@ from sluice.llm.storage import written
 GRAM = 32
 #: Runs under one first digit beyond which pass three deals out single windows.
 HOT_RUNS = 4_096
+#: Parts that the runs under one first digit are dealt out over when they are marked as hot.
+SALTS = 64
 #: Bytes of text hashed at once.
 BLOCK = 1 << 19
 
 CLASS, GONE, OPEN = 0, 1, 2
 _ROW = "kind int, key bigint, sub bigint, doc bigint, at bigint, n bigint"
 
+
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the GRAM bytes from each position, by doubling."""
     h, size, level = BYTE[data], 1, 0
@@ -267,8 +270,9 @@ def repeated_runs(docs: DataFrame, packed: DataFrame, length: int = 100) -> Data
     spans = written(settled.select("kind", "key", "doc", "at", "n"), "spans")
     gone = spans.where(F.col("kind") == GONE).select("doc", "at", "n")
     open_runs = spans.where(F.col("kind") == OPEN).select("key", "doc", "at", "n")
-    hot = open_runs.groupBy("key").count().where(F.col("count") > HOT_RUNS).select("key", F.lit(True).alias("hot"))
-    asked = (open_runs.join(hot, "key", "left").groupBy("doc")
+    hot = open_runs.groupBy("key").count().where(F.col("count") > HOT_RUNS).select("key", F.lit(True).alias("hot"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = open_runs.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    asked = (salted.join(hot, ["key", "salt"], "left").groupBy("doc")
              .agg(F.collect_list(F.struct("key", "at", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,17 +318,17 @@ def covered(spans: list[dict] | None, size: int, length: int) -> list[tuple[int,
     return out
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, columns: list[str]) -> DataFrame:
-    """(doc, columns.., data packed, spans) of every row with an id."""
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, rest: Column | None = None) -> DataFrame:
+    """(doc, rest if given, data packed, spans) of every row with an id."""
     doc, data = F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("data")
     plain = docs.where(F.col(id_col).isNotNull()).select(doc, data)
     schema = "doc bigint, data binary"
     packed = plain.mapInArrow(_pack, schema)
     found = repeated_runs(plain.where(F.octet_length("data") >= length), packed, length)
     lists = found.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    if columns:
-        rest = docs.where(F.col(id_col).isNotNull()).select(doc, F.struct(*columns).alias("rest"), data)
-        packed = rest.mapInArrow(_pack, rest.schema)
+    if rest is not None:
+        whole = docs.where(F.col(id_col).isNotNull()).select(doc, rest.alias("rest"), data)
+        packed = whole.mapInArrow(_pack, whole.schema)
     return packed.join(lists, "doc", "left")
 
 
@@ -350,7 +354,7 @@ def digest_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                     rows.append((doc, len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(),) * 4 + (pa.string(),))], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    done = _with_spans(docs, id_col, text_col, length, []).mapInArrow(digest, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    done = _with_spans(docs, id_col, text_col, length).mapInArrow(digest, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     text = F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b""))
     size = F.octet_length(text).cast("bigint")
     without = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast("bigint").alias("doc"), size.alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"))
@@ -361,10 +365,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """The same rows and columns, texts without their removed bytes.
 
     A character that loses one of its bytes goes as a whole. ``length_col`` is set to the new number of
-    characters. Null texts stay null; empty results stay as rows with empty text.
+    characters. Null texts stay null; empty results and rows with a null id stay as they are. Ids must be integers.
+    Columns may have any names.
     """
-    names = docs.columns
-    schema = docs.schema
+    names, schema = docs.columns, docs.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -377,11 +381,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("rest")), pa.array(texts, pa.string())], names=["rest", "text"])
 
     keep = [c for c in names if c != text_col]
-    inner = docs.select(F.struct(*keep, F.col(text_col).isNull().alias("_null")).alias("rest")).schema["rest"].dataType.simpleString()
-    marked = docs.withColumn("_null", F.col(text_col).isNull())
-    done = _with_spans(marked, id_col, text_col, length, [*keep, "_null"]).mapInArrow(cut, f"rest {inner}, text string")
-    text = F.when(F.col("rest._null"), F.lit(None)).otherwise(F.col("text"))
-    cols = {c: F.col(f"rest.`{c}`") for c in keep} | {text_col: text}
+    rest = F.struct(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).isNull().alias("empty"))
+    inner = docs.select(rest.alias("rest")).schema["rest"].dataType.simpleString()
+    done = _with_spans(docs, id_col, text_col, length, rest).mapInArrow(cut, f"rest {inner}, text string")
+    text = F.when(F.col("rest.empty"), F.lit(None)).otherwise(F.col("text"))
+    cols = {c: F.col(f"rest.row.`{c}`") for c in keep} | {text_col: text}
     if length_col:
         cols[length_col] = F.char_length(text).cast(schema[length_col].dataType)
     done = done.select(*(cols[c].alias(c) for c in names))

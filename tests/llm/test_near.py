@@ -46,6 +46,18 @@ def test_chains(spark, seed, monkeypatch):
     assert kept == {i for i, x in brute.near_groups(docs).items() if x[2]}
 
 
+def test_recall_on_all_documents(spark):
+    """Every component of the given corpus is found; README has the figures of the larger one."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    assert rows(q.op10_minhash(spark, "/root/testdata/sf0.01"), *COLUMNS) == brute.near_groups(docs)
+
+
+def test_clashing_names(spark):
+    text = " ".join(f"w{k}" for k in range(50))
+    df = spark.createDataFrame([(1, text, "a", 1), (2, text, "b", 2), (3, None, "c", 3)], "doc_id bigint, text string, _gone string, label int")
+    assert sorted((r["doc_id"], r["_gone"]) for r in near.keep_one(df).collect()) == [(1, "a"), (3, "c")]
+
+
 def test_nulls_repeats_and_empty(spark):
     text = " ".join(f"w{k}" for k in range(50))
     df = spark.createDataFrame([(None, text), (None, text), (4, text), (4, text), (9, text)], "doc_id bigint, text string")
@@ -71,6 +83,6 @@ def test_block_pairs_drop_no_link():
     sets = [common, [*common, *[(k + 5) * step + 7 for k in range(150)]], [*common[:400], *[(k + 5) * step + 9 for k in range(450)]]]
     h, owner = np.array([x for s in sets for x in s], np.uint64), np.repeat(np.arange(3), [len(s) for s in sets])
     bands = [list(range(2 * near.BANDS))] * 3
-    rows = [{"band": 0, "key": 0, "lo": 0, "hi": 0, "doc": k, "n": len(s), "label": k, "block": 0, "bands": bands[k], "sketch": m.tobytes()} for k, (s, m) in enumerate(zip(sets, near.sketches(h, owner, 3)))]
+    rows = [{"table": 0, "key": 0, "lo": 0, "hi": 0, "doc": k, "n": len(s), "label": k, "block": 0, "bands": bands[k], "sketch": m.tobytes()} for k, (s, m) in enumerate(zip(sets, near.sketches(h, owner, 3)))]
     out = [r for b in near._block_pairs(85, 100)([pa.RecordBatch.from_pylist(rows)]) for r in b.to_pylist()]
     assert out == [{"a": 0, "b": 1}]

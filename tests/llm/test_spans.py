@@ -69,11 +69,11 @@ def test_small_steps_settle_the_same():
 
 def test_remove_repeats_keeps_columns(spark):
     docs = odd_documents(9)
-    df = spark.createDataFrame([(t, i, f"s{i}", len(t or "")) for i, t in docs], "text string, doc_id bigint, data string, n_chars bigint")
+    df = spark.createDataFrame([(t, i, f"s{i}", len(t or ""), f"n{i}") for i, t in docs], "text string, doc_id bigint, data string, n_chars bigint, _null string")
     got = s.remove_repeats(df, length_col="n_chars").collect()
     want = brute.repeated_spans(docs)
     assert len(got) == len(docs)
     for r in got:
         size, removed, _, _ = want[r["doc_id"]]
-        assert r["data"] == f"s{r['doc_id']}" and r["n_chars"] == (len(r["text"]) if r["text"] is not None else None)
+        assert r["data"] == f"s{r['doc_id']}" and r["_null"] == f"n{r['doc_id']}" and r["n_chars"] == (len(r["text"]) if r["text"] is not None else None)
         assert len((r["text"] or "").encode()) <= size - removed
