@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.sources.tables import delete
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the one the cluster names in ``spark.checkpoint.dir``.
@@ -23,9 +27,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths that this process has given out and not deleted.
+_given: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that the steps inside wrote, once they are done: their results must be written elsewhere by then."""
+    before = len(_given)
+    yield
+    for path in _given[before:]:
+        delete(spark, path)
+    del _given[before:]
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:

@@ -68,3 +68,23 @@ def test_stages(spark):
 
     whole = p.run(spark, SF).collect()
     assert sorted(whole, key=lambda r: r["doc_id"]) == sorted(five, key=lambda r: r["doc_id"])
+
+
+def test_odd_rows_pass_every_stage(spark):
+    """Null texts and ids, repeated rows and ids, clashing names, and an empty table."""
+    good = spark.read.parquet(f"{SF}/documents.parquet").orderBy("n_chars", ascending=False).limit(2).collect()
+    rows = [(10, None, "en", 1, "a", 0, "p"), (None, None, None, None, None, None, None), (11, "", "en", 2, "b", 0, "q"), (None, good[0]["text"], "en", 3, "c", 5, "r")]
+    rows += [(12, good[1]["text"], "en", 4, "d", 9, "s")] * 2 + [(12, "another text with this id", "en", 4, "d", 9, "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, label int, _gone string, n_chars bigint, `_null` string")
+    for name, stage in p.STAGES:
+        empty = stage(spark, docs.limit(0), SF)
+        out = stage(spark, docs, SF)
+        assert empty.count() == 0
+        if name == "byte_bpe":
+            assert out.count() == len(rows)
+        else:
+            assert out.columns == docs.columns and empty.columns == docs.columns
+            ids = [r["doc_id"] for r in out.collect()]
+            assert set(ids) <= {None, 10, 11, 12}
+            if name != "quality":
+                assert len(ids) == len(rows)
