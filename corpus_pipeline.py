@@ -1,4 +1,8 @@
-"""From raw documents to token ids: quality, near-duplicates, repeated spans, benchmark passages, encoding."""
+"""From raw documents to token ids: quality, near-duplicates, repeated spans, benchmark passages, encoding.
+
+Every stage takes null texts (as empty ones), null and repeated ids (such rows are judged each by itself, and none is lost as a
+duplicate of another with its id), empty tables and further columns of any name; all but the last keep every column.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +15,9 @@ from sluice.llm.near import keep_one
 from sluice.llm.quality import keep_good
 from sluice.llm.queries import PATTERN, quality_model, table, tokenizer
 from sluice.llm.spans import remove_repeats
-from sluice.llm.storage import new_path
+from sluice.llm.storage import cleared, new_path
 from sluice.session import ship
+from sluice.sources.tables import delete
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +62,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; each stage's rows are written and read again by the next, its working tables deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with cleared(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
