@@ -22,11 +22,13 @@ def kline_windows(klines: DataFrame, interval: str, time: str = "close_time", fi
         F.min(F.struct(order.alias("o"), F.col("open").alias("v"))).alias("first"), F.max(F.struct(order.alias("o"), F.col("close").alias("v"))).alias("last"),
         F.max("high").alias("high"), F.min("low").alias("low"), F.count("close").alias("n"), F.avg("close").alias("m"), (F.var_pop("close") * F.count("close")).alias("m2"),
     )
+    # from here on a pane's number orders its first and last bar, so the wide aggregate has fixed-width buffers and needs no sort
+    panes = panes.withColumn("first", F.col("first.v")).withColumn("last", F.col("last.v"))
     centre = panes.groupBy("symbol").agg(F.avg("m").alias("centre"))
     rows = expand_windows(panes.join(centre, "symbol"), F.col("pane") - 1, interval, STEP_MS, first_end, last_end)
     n, d = F.col("n"), F.col("m") - F.col("centre")
     merged = rows.groupBy("symbol", "ts_ms").agg(
-        F.min("first")["v"].alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max("last")["v"].alias("close"),
+        F.min_by("first", "pane").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("last", "pane").alias("close"),
         F.sum("n").alias("n"), F.sum(n * d).alias("s1"), F.sum(F.col("m2") + n * d * d).alias("s2"), F.first("centre").alias("centre"),
     )
     spread = F.greatest(F.lit(0.0), F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"))
