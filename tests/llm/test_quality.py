@@ -44,3 +44,20 @@ def test_odd_rows(spark):
     assert len(got) == 5 and all(0 <= r["tail_probability"] <= 1 for r in got)
     assert m.keep_good(docs, model, keep_from=0.0).count() == 5 and m.keep_good(docs, model, keep_from=2.0).count() == 0
     assert m.score_quality(docs.limit(0), m.fit_quality(docs.limit(0), labels.limit(0))).count() == 0
+
+
+def test_scores_against_a_plain_version(spark):
+    """Each document by itself, its words in a plain dictionary of weights, the cumulative links by hand."""
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", m.rating(F.col("quality"), F.col("toxic")).alias("grade"))
+    model = m.fit_quality(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in m.score_quality(docs, model).collect():
+        _, feature = m.document_features([(texts[r["doc_id"]] or "").encode()])
+        score = sum(model.weights[k] for k in set(feature.tolist()))
+        chances = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert math.isclose(r["score"], score, rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(r["expected_grade"], sum(chances), rel_tol=1e-9) and math.isclose(r["tail_probability"], chances[-1], rel_tol=1e-9)
+        assert r["kept"] == (chances[-1] >= m.KEEP_FROM)
