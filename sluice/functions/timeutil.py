@@ -27,15 +27,48 @@ def next_boundary(t: Column, step_ms: int = STEP_MS) -> Column:
     return floor_to(t, step_ms) + step_ms
 
 
+def _ends(lo: Column, hi: Column, step_ms: int, first_end: int | None, last_end: int | None) -> Column:
+    lo = lo if first_end is None else F.greatest(lo, F.lit(first_end))
+    hi = hi if last_end is None else F.least(hi, F.lit(last_end))
+    return F.when(lo <= hi, F.sequence(lo, hi, F.lit(step_ms))).otherwise(F.array().cast("array<bigint>"))
+
+
 def expand_windows(df: DataFrame, time: Column, interval: str, step_ms: int = STEP_MS, first_end: int | None = None, last_end: int | None = None) -> DataFrame:
     """One row for each window [end - interval, end) that holds the row, with its end as ``ts_ms``.
 
     A row stands in interval / step windows. Ends are cut to first_end..last_end before any row is made.
     """
     lo, hi = floor_to(time, step_ms) + step_ms, floor_to(time + interval_ms(interval), step_ms)
-    lo = lo if first_end is None else F.greatest(lo, F.lit(first_end))
-    hi = hi if last_end is None else F.least(hi, F.lit(last_end))
-    return df.withColumn("ts_ms", F.explode(F.when(lo <= hi, F.sequence(lo, hi, F.lit(step_ms))).otherwise(F.array().cast("array<bigint>"))))
+    return df.withColumn("ts_ms", F.explode(_ends(lo, hi, step_ms, first_end, last_end)))
+
+
+#: Windows of more panes than this are put together from blocks of so many panes and single panes at their edges.
+BLOCK = 12
+
+
+def with_units(df: DataFrame, time: Column, interval: str, step_ms: int = STEP_MS) -> DataFrame:
+    """Each row once for the pane that holds it and, for windows of more than BLOCK panes, once for the aligned block of panes.
+
+    ``unit`` is the unit's length in ms, ``unit_end`` its end. Aggregates by unit are what cover_windows takes.
+    """
+    sizes = [step_ms] if interval_ms(interval) <= BLOCK * step_ms else [step_ms, BLOCK * step_ms]
+    rows = df.withColumn("unit", F.explode(F.array(*[F.lit(s).cast("bigint") for s in sizes])))
+    return rows.withColumn("unit_end", time - F.pmod(time, F.col("unit")) + F.col("unit"))
+
+
+def cover_windows(units: DataFrame, interval: str, step_ms: int = STEP_MS, first_end: int | None = None, last_end: int | None = None) -> DataFrame:
+    """One row for each window and unit of its cover, with the window's end as ``ts_ms``.
+
+    A window's cover has each of its panes once: whole blocks inside it, and the panes that stand in no such block.
+    A day is 24 blocks, or 23 and 12 panes, in place of 288 panes.
+    """
+    span, block, end = interval_ms(interval), BLOCK * step_ms, F.col("unit_end")
+    ends = lambda lo, hi: _ends(lo, hi, step_ms, first_end, last_end)
+    if span <= block:
+        return units.withColumn("ts_ms", F.explode(ends(end, end + (span - step_ms))))
+    block_end = end + F.pmod(-end, F.lit(block))
+    edge = F.concat(ends(end, block_end - step_ms), ends(block_end + (span - block + step_ms), end + (span - step_ms)))
+    return units.withColumn("ts_ms", F.explode(F.when(F.col("unit") == block, ends(end, end + (span - block))).otherwise(edge)))
 
 
 def wall_clock(ts_ms: Column) -> Column:

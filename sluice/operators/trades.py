@@ -1,12 +1,17 @@
-"""Trade features over hop windows: 91 columns a window."""
+"""Trade features over hop windows: 91 columns a window.
+
+Trades are reduced to panes of five minutes and blocks of an hour, from which windows are put together: one row a unit
+for all that merges, and one row for each different value of a unit for quantiles and distinct counts. So a busy symbol costs
+no more rows a window than its units and its different values, and no window's trades are held together.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import stats as S
-from sluice.functions.timeutil import STEP_MS, expand_windows, interval_ms, wall_clock, with_previous
+from sluice.functions.timeutil import STEP_MS, cover_windows, interval_ms, wall_clock, with_previous, with_units
 
 SIDES = {"trade": None, "buy": "buy", "sell": "sell"}
 QUANTILES = ("0.25", "0.50", "0.75")
@@ -26,18 +31,28 @@ def _of(side: str, x: Column) -> Column:
     return x if SIDES[side] is None else F.when(F.col("side") == side, x)
 
 
-def _distribution(name: str, side: str) -> dict[str, Column]:
-    x = _of(side, F.col(name))
-    out = {f"{name}_mean_{side}": F.avg(x), f"{name}_std_{side}": F.stddev_samp(x), f"{name}_min_{side}": F.min(x), f"{name}_max_{side}": F.max(x)}
-    out |= {f"{name}_skew_{side}": F.skewness(x), f"{name}_kurtosis_{side}": F.kurtosis(x)}
-    within = F.lit(True) if SIDES[side] is None else F.col("side") == side
-    has_null = F.max(F.when(within & F.col(name).isNull(), 1).otherwise(0))
-    return out | {f"_{name}_{side}": S.sorted_values(x), f"_null_{name}_{side}": has_null}
-
+def _value_ranks(units: DataFrame, names: list[str], interval: str, first_end: int | None, last_end: int | None) -> DataFrame:
+    """Quantiles by nearest rank, and distinct values (null is one), of each window and side.
 
-def _ranks(name: str, side: str) -> dict[str, Column]:
-    ordered = F.col(f"_{name}_{side}")
-    return {f"{name}_{q}_{side}": S.nearest_rank(ordered, float(q)) for q in QUANTILES} | {f"nunique_{name}_{side}": S.count_unique(ordered, F.col(f"_null_{name}_{side}"))}
+    Different values of a unit are counted, counts of equal values of a window added, and ranks found by a running
+    sum in order of value, which Spark sorts on disk if it must. All steps after the cover share one shuffle.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names]))
+    counts = units.select("symbol", "unit", "unit_end", "side", pairs.alias("v")).groupBy("symbol", "unit", "unit_end", "v.name", "v.value")
+    counts = counts.agg(*[F.count(_of(s, F.lit(1))).alias(f"n_{s}") for s in SIDES])
+    covered = cover_windows(counts, interval, STEP_MS, first_end, last_end).repartition("symbol", "ts_ms")
+    merged = covered.groupBy("symbol", "ts_ms", "name", "value").agg(*[F.sum(f"n_{s}").alias(f"n_{s}") for s in SIDES])
+    whole = Window.partitionBy("symbol", "ts_ms", "name")
+    ordered = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    valued = lambda s: F.when(F.col("value").isNotNull(), F.col(f"n_{s}")).otherwise(0)
+    ranked = merged.withColumns({f"all_{s}": F.sum(valued(s)).over(whole) for s in SIDES} | {f"to_{s}": F.sum(valued(s)).over(ordered) for s in SIDES})
+    out = {}
+    for name in names:
+        for s in SIDES:
+            here, size = F.col("name") == name, F.col(f"all_{s}")
+            out |= {f"{name}_{q}_{s}": F.min(F.when(here & (size > 0) & (F.col(f"to_{s}") > F.round(F.lit(float(q)) * (size - 1))), F.col("value"))) for q in QUANTILES}
+            out[f"nunique_{name}_{s}"] = F.count(F.when(here & (F.col(f"n_{s}") > 0), 1))
+    return ranked.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in out.items()])
 
 
 def trade_windows(trades: DataFrame, interval: str, groups: tuple[str, ...] = GROUPS, first_end: int | None = None, last_end: int | None = None) -> DataFrame:
@@ -49,35 +64,80 @@ def trade_windows(trades: DataFrame, interval: str, groups: tuple[str, ...] = GR
     ready = trades.withColumn("turnover", F.col("price") * F.col("size"))
     if {"ticks", "rate"} & set(groups):
         ready = prepare_trades(trades)
-    rows = expand_windows(ready, F.col("created_time"), interval, STEP_MS, first_end, last_end)
-    t, start = F.col("created_time"), F.col("ts_ms") - interval_ms(interval)
-    order = F.struct("created_time", "trade_id")
-    aggs: dict[str, Column] = {"trade_count": F.count(F.lit(1)).cast("bigint")}
-    late: dict[str, Column] = {}
+    t, end, order = F.col("created_time"), F.col("unit_end"), F.struct("created_time", "trade_id")
+    span = interval_ms(interval)
+    if first_end is not None:
+        ready = ready.where(t >= first_end - span)
+    if last_end is not None:
+        ready = ready.where(t < last_end)
+    units = with_units(ready, t, interval)
+    unit_start, start = end - F.col("unit"), F.col("ts_ms") - span
+    taken: dict[str, Column] = {"_rows": F.count(F.lit(1))}  # of a unit's trades
+    seen: dict[str, Column] = {}  # of a unit, from a window
+    merged: dict[str, Column] = {"trade_count": F.sum("_rows")}  # of a window's units
+    out: dict[str, Column] = {"trade_count": F.col("trade_count")}
+    series: list[S.Moments | S.PairMoments] = []
+
+    def add(name: str, by_unit: Column, of_units=F.sum) -> None:
+        taken[f"_{name}"], merged[name], out[name] = by_unit, of_units(F.col(f"_{name}")), F.col(name)
+
+    for side in SIDES:
+        taken[f"_rows_{side}"] = F.count(_of(side, F.lit(1)))
     if "volume" in groups:
         for side in ("buy", "sell"):
-            aggs |= {f"volume_{side}": S.total(_of(side, F.col("size"))), f"turnover_{side}": S.total(_of(side, F.col("turnover"))), f"count_{side}": F.count(_of(side, F.col("side")))}
+            add(f"volume_{side}", S.total(_of(side, F.col("size"))))
+            add(f"turnover_{side}", S.total(_of(side, F.col("turnover"))))
+            add(f"count_{side}", F.count(_of(side, F.col("side"))))
     if "ticks" in groups:
-        change = F.when(F.col("p_time") >= start, F.col("price") - F.col("p_price"))
-        aggs |= {"count_tick_up": F.count(F.when(change > 0, 1)), "count_tick_down": F.count(F.when(change < 0, 1))}
+        # of a unit's trades only the first has its predecessor outside; it counts where that one is in the window
+        change, inner = F.col("price") - F.col("p_price"), F.col("p_time") >= unit_start
+        taken |= {"_edge_time": F.max(F.when(~inner, F.col("p_time"))), "_edge_change": F.max(F.when(~inner, change))}
+        for name, test in (("up", lambda c: c > 0), ("down", lambda c: c < 0)):
+            taken[f"_tick_{name}"] = F.count(F.when(inner & test(change), 1))
+            seen[f"_tick_{name}"] = F.col(f"_tick_{name}") + F.when((F.col("_edge_time") >= start) & test(F.col("_edge_change")), 1).otherwise(0)
+            merged[f"count_tick_{name}"] = F.sum(f"_tick_{name}")
+            out[f"count_tick_{name}"] = F.col(f"count_tick_{name}")
+    valued = [n for n in ("price", "size") if n in groups]
     for side in SIDES:
         where = None if SIDES[side] is None else F.col("side") == side
         if "price" in groups:
-            aggs |= {f"price_first_{side}": S.first_by(F.col("price"), order, where), f"price_last_{side}": S.last_by(F.col("price"), order, where)}
-            aggs |= _distribution("price", side)
-            late |= _ranks("price", side)
-        if "size" in groups:
-            aggs |= _distribution("size", side)
-            late |= _ranks("size", side)
+            for name, by_order, by_unit in (("first", S.first_by, F.min_by), ("last", S.last_by, F.max_by)):
+                taken[f"_{name}_{side}"] = by_order(F.col("price"), order, where)
+                merged[f"price_{name}_{side}"] = by_unit(F.col(f"_{name}_{side}"), F.when(F.col(f"_rows_{side}") > 0, end))
+                out[f"price_{name}_{side}"] = F.col(f"price_{name}_{side}")
+        for name in valued:
+            m = S.Moments(f"{name}_{side}", shape=True)
+            series.append(m)
+            taken |= m.taken(_of(side, F.col(name)))
+            out |= {f"{name}_mean_{side}": m.mean, f"{name}_std_{side}": m.std, f"{name}_min_{side}": m.least, f"{name}_max_{side}": m.largest, f"{name}_skew_{side}": m.skew, f"{name}_kurtosis_{side}": m.kurtosis}
         if "rate" in groups:
-            before = F.col("p_time" if side == "trade" else "p_side_time")
-            gap = _of(side, F.when(before >= start, (t - before).cast("double")))
-            aggs |= {f"rate_mean_ms_{side}": F.avg(gap), f"rate_std_ms_{side}": F.stddev_samp(gap), f"rate_max_ms_{side}": F.max(gap), f"rate_min_ms_{side}": F.min(gap)}
+            before, m = _of(side, F.col("p_time" if side == "trade" else "p_side_time")), S.Moments(f"gap_{side}")
+            series.append(m)
+            inner, edge = before >= unit_start, F.col(f"_gap_{side}_edge")
+            taken |= m.taken(F.when(inner, (t - before).cast("double"))) | {f"_gap_{side}_before": F.max(F.when(~inner, before)), f"_gap_{side}_edge": F.max(F.when(~inner, (t - before).cast("double")))}
+            seen |= m.joined_by(F.when(F.col(f"_gap_{side}_before") >= start, edge))
+            out |= {f"rate_mean_ms_{side}": m.mean, f"rate_std_ms_{side}": m.std, f"rate_max_ms_{side}": m.largest, f"rate_min_ms_{side}": m.least}
     if "corr" in groups:
-        age = (F.col("ts_ms") - t).cast("double")
-        aggs |= {"corr_price_size_trade": S.safe_corr(F.col("price"), F.col("size")), "corr_price_time_trade": S.safe_corr(F.col("price"), age), "corr_size_time_trade": S.safe_corr(F.col("size"), age)}
+        age = (end - t).cast("double")
+        for name, x, y in (("price_size", F.col("price"), F.col("size")), ("price_time", F.col("price"), age), ("size_time", F.col("size"), age)):
+            p = S.PairMoments(name)
+            series.append(p)
+            taken |= p.taken(x, y)
+            if name.endswith("time"):
+                seen |= p.y.moved(F.col("ts_ms") - end)
+            out[f"corr_{name}_trade"] = p.corr
     if "count" in groups:
-        aggs["last_trade_time_ms"] = F.max(t)
-    out = rows.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in aggs.items()]).withColumns(late)
-    keep = [c for c in out.columns if c[0] != "_" and c not in ("symbol", "ts_ms")]
-    return out.select("symbol", wall_clock(F.col("ts_ms")).alias("timestamp_dt"), "ts_ms", *[F.col(f"`{c}`") for c in keep])
+        add("last_trade_time_ms", F.max(t), F.max)
+    by_unit = units.groupBy("symbol", "unit", "unit_end").agg(*[c.alias(n) for n, c in taken.items()])
+    rows = cover_windows(by_unit, interval, STEP_MS, first_end, last_end).withColumns(seen)
+    if series:
+        window = Window.partitionBy("symbol", "ts_ms")
+        rows = rows.withColumns({n: c for m in series for n, c in m.centre(window).items()})
+    merged |= {n: c for m in series for n, c in m.merged().items()}
+    windows = rows.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in merged.items()])
+    windows = windows.select("symbol", "ts_ms", *[c.alias(n) for n, c in out.items()])
+    if valued:
+        ranks = _value_ranks(units, valued, interval, first_end, last_end).withColumnsRenamed({"symbol": "_symbol", "ts_ms": "_ts_ms"})
+        windows = windows.join(ranks, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("ts_ms") == F.col("_ts_ms")), "left").drop("_symbol", "_ts_ms")
+    keep = [c for c in windows.columns if c not in ("symbol", "ts_ms")]
+    return windows.select("symbol", wall_clock(F.col("ts_ms")).alias("timestamp_dt"), "ts_ms", *[F.col(f"`{c}`") for c in keep])
