@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import stats as S
-from sluice.functions.timeutil import STEP_MS, expand_windows, interval_ms, wall_clock, with_previous
+from sluice.functions.timeutil import STEP_MS, cover_windows, interval_ms, wall_clock, with_previous, with_units
 
 EPSILON = 1e-9
 
@@ -61,33 +61,62 @@ STATISTICS = {
 def book_windows(books: DataFrame, interval: str, first_end: int | None = None, last_end: int | None = None) -> DataFrame:
     """One row for each symbol and window with snapshots: symbol, timestamp_dt, ts_ms and 77 columns.
 
-    ``books`` has symbol, ts (ms), action, asks, bids. Snapshots of one instant go by their levels' text.
+    ``books`` has symbol, ts (ms), action, asks, bids. Snapshots of one instant go by their levels' text. Snapshots are
+    reduced to panes and hour blocks first; only the values that quantiles need come to a window one for each snapshot.
     """
+    t, end, span = F.col("ts"), F.col("unit_end"), interval_ms(interval)
     features = book_features(books)
     kept = ["symbol", "ts", "_tie", *(f for f, _ in STATISTICS.values())]
     ready = features.withColumn("_tie", F.xxhash64("bids", "asks")).select(*kept)
     ready = with_previous(ready, ["symbol"], "ts", ["ts", "_tie"], {"p_time": "ts"})
-    rows = expand_windows(ready, F.col("ts"), interval, STEP_MS, first_end, last_end)
-    order, start = F.struct("ts", "_tie"), F.col("ts_ms") - interval_ms(interval)
-    plain = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "skew": F.skewness, "kurtosis": F.kurtosis, "sum": S.total, "first": lambda x: S.first_by(x, order), "last": lambda x: S.last_by(x, order)}
-    aggs, late = {}, {}
+    if first_end is not None:
+        ready = ready.where(t >= first_end - span)
+    if last_end is not None:
+        ready = ready.where(t < last_end)
+    order, start = F.struct("ts", "_tie"), F.col("ts_ms") - span
+    taken = {"_rows": F.count(F.lit(1)), "_last_time": F.max(t)}  # of a unit's snapshots
+    merged = {"snapshot_count": F.sum("_rows"), "last_update_time_ms": F.max("_last_time")}  # of a window's units
+    series, out = [], {}
     for prefix, (feature, kinds) in STATISTICS.items():
-        x = F.col(feature)
+        m, x = S.Moments(prefix, shape="skew" in kinds), F.col(feature)
+        series.append(m)
+        taken |= m.taken(x)
+        read = {"mean": m.mean, "std": m.std, "min": m.least, "max": m.largest, "skew": m.skew, "kurtosis": m.kurtosis}
         for kind in kinds:
-            if kind in plain:
-                aggs[f"{prefix}_{kind}"] = plain[kind](x)
+            name = f"{prefix}_{kind}"
+            if kind in read:
+                out[name] = read[kind]
+            elif kind in ("sum", "first", "last"):
+                by_row = {"sum": S.total(x), "first": S.first_by(x, order), "last": S.last_by(x, order)}
+                by_unit = {"sum": F.sum(f"_{name}"), "first": F.min_by(f"_{name}", end), "last": F.max_by(f"_{name}", end)}
+                taken[f"_{name}"], merged[name], out[name] = by_row[kind], by_unit[kind], F.col(name)
             else:
-                aggs[f"_{prefix}"] = S.sorted_values(x)
-                late[f"{prefix}_{kind}"] = S.nearest_rank(F.col(f"_{prefix}"), float(kind))
-    gap = F.when(F.col("p_time") >= start, (F.col("ts") - F.col("p_time")).cast("double"))
-    age = (F.col("ts_ms") - F.col("ts")).cast("double")
-    wmp, slope = F.col("weighted_mid_price"), (F.col("impact_slope_ask") + F.col("impact_slope_bid")) / 2
-    aggs |= {
-        "snapshot_count": F.count(F.lit(1)), "rate_mean_ms": F.avg(gap), "rate_std_ms": F.stddev_samp(gap), "rate_min_ms": F.min(gap), "rate_max_ms": F.max(gap),
-        "corr_wmp_imbal": S.safe_corr(wmp, F.col("deep_imbalance")), "corr_wmp_depth": S.safe_corr(wmp, F.col("total_depth_50")), "corr_wmp_pressure": S.safe_corr(wmp, F.col("book_pressure")), "corr_wmp_time": S.safe_corr(wmp, age),
-        "corr_spread_imbal": S.safe_corr(F.col("spread"), F.col("deep_imbalance")), "corr_spread_impact": S.safe_corr(F.col("spread"), slope), "corr_conc_time": S.safe_corr(F.col("concentration"), age), "corr_pressure_time": S.safe_corr(F.col("book_pressure"), age),
-        "last_update_time_ms": F.max("ts"),
+                taken[f"_{prefix}_values"] = F.collect_list(x)
+                merged[f"_{prefix}_values"] = F.sort_array(F.flatten(F.collect_list(f"_{prefix}_values")))
+                out[name] = S.nearest_rank(F.col(f"_{prefix}_values"), float(kind))
+    # of a unit's snapshots only the first has its predecessor outside; the gap counts where that one is in the window
+    gap, inner, rate = (t - F.col("p_time")).cast("double"), F.col("p_time") >= end - F.col("unit"), S.Moments("gap")
+    taken |= rate.taken(F.when(inner, gap)) | {"_gap_before": F.max(F.when(~inner, F.col("p_time"))), "_gap_edge": F.max(F.when(~inner, gap))}
+    seen = rate.joined_by(F.when(F.col("_gap_before") >= start, F.col("_gap_edge")))
+    series.append(rate)
+    out |= {"snapshot_count": F.col("snapshot_count"), "rate_mean_ms": rate.mean, "rate_std_ms": rate.std, "rate_min_ms": rate.least, "rate_max_ms": rate.largest}
+    age, wmp, slope = (end - t).cast("double"), F.col("weighted_mid_price"), (F.col("impact_slope_ask") + F.col("impact_slope_bid")) / 2
+    pairs = {
+        "wmp_imbal": (wmp, F.col("deep_imbalance")), "wmp_depth": (wmp, F.col("total_depth_50")), "wmp_pressure": (wmp, F.col("book_pressure")), "wmp_time": (wmp, age), "spread_imbal": (F.col("spread"), F.col("deep_imbalance")),
+        "spread_impact": (F.col("spread"), slope), "conc_time": (F.col("concentration"), age), "pressure_time": (F.col("book_pressure"), age),
     }
-    out = rows.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in aggs.items()]).withColumns(late)
-    keep = [c for c in out.columns if c[0] != "_" and c not in ("symbol", "ts_ms")]
-    return out.select("symbol", wall_clock(F.col("ts_ms")).alias("timestamp_dt"), "ts_ms", *[F.col(f"`{c}`") for c in keep])
+    for name, (x, y) in pairs.items():
+        p = S.PairMoments(name)
+        series.append(p)
+        taken |= p.taken(x, y)
+        if name.endswith("_time"):
+            seen |= p.y.moved(F.col("ts_ms") - end)
+        out[f"corr_{name}"] = p.corr
+    out["last_update_time_ms"] = F.col("last_update_time_ms")
+    by_unit = with_units(ready, t, interval).groupBy("symbol", "unit", "unit_end").agg(*[c.alias(n) for n, c in taken.items()])
+    window = Window.partitionBy("symbol", "ts_ms")
+    rows = cover_windows(by_unit, interval, STEP_MS, first_end, last_end).withColumns(seen)
+    rows = rows.withColumns({n: c for m in series for n, c in m.centre(window).items()})
+    merged |= {n: c for m in series for n, c in m.merged().items()}
+    windows = rows.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in merged.items()])
+    return windows.select("symbol", wall_clock(F.col("ts_ms")).alias("timestamp_dt"), "ts_ms", *[c.alias(n) for n, c in out.items()])
