@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions import stats as S
-from sluice.functions.timeutil import expand_windows, interval_ms, with_previous
+from sluice.functions.timeutil import cover_windows, expand_windows, interval_ms, with_previous, with_units
 from sluice.operators import book, bronze, gold, serving, silver
 from sluice.operators.klines import kline_windows, kline_windows_direct
 from sluice.operators.orderbook import book_features, book_windows
@@ -22,6 +22,27 @@ def one(df):
     return df.collect()[0]
 
 
+@pytest.mark.parametrize("interval", ["5m", "1h", "4h", "1d"])
+def test_units_cover_a_window_once(spark, interval):
+    first = 1_704_067_200_000
+    df = spark.createDataFrame([(k, first + 97_001 * k) for k in range(700)], "k bigint, t bigint")
+    want = {(r["k"], r["ts_ms"]) for r in expand_windows(df, F.col("t"), interval, first_end=first + M5, last_end=first + 40_000_000).collect()}
+    units = with_units(df, F.col("t"), interval).groupBy("unit", "unit_end").agg(F.collect_list("k").alias("ks"))
+    got = [(r["k"], r["ts_ms"]) for r in cover_windows(units, interval, first_end=first + M5, last_end=first + 40_000_000).select("ts_ms", F.explode("ks").alias("k")).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_windows_of_nulls_ties_and_constants(spark):
+    first = 1_704_067_200_000
+    rows = [("A", 1, "buy", 0.1, 1.0, first), ("A", 2, "buy", 0.1, 1.0, first), ("A", 3, "sell", 0.1, None, first + 4 * M5), ("A", 4, None, None, 2.0, first + 20 * M5), (None, 5, "buy", 3.0, 1.0, first), ("A", 6, "buy", 9.0, 1.0, None)]
+    got = {(r["symbol"], r["ts_ms"]): r for r in trade_windows(spark.createDataFrame(rows, TRADE), "4h").collect()}
+    r = got["A", first + 30 * M5]
+    assert (r["trade_count"], r["price_skew_trade"], r["price_std_trade"], r["nunique_price_trade"], r["price_0.50_trade"], r["price_last_trade"], r["corr_price_time_trade"]) == (4, None, 0.0, 2, 0.1, None, None)
+    assert (r["nunique_size_trade"], r["rate_max_ms_trade"], r["count_tick_up"], r["price_0.25_sell"], r["nunique_price_sell"]) == (3, 16.0 * M5, 0, 0.1, 1)
+    assert got[None, first + M5]["price_mean_buy"] == 3.0 and got[None, first + M5]["price_0.50_buy"] == 3.0
+    assert trade_windows(spark.createDataFrame([], TRADE), "1d").count() == 0
+
+
 def test_nearest_rank(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (9.0,), (None,)], "x double").agg(S.sorted_values(F.col("x")).alias("v"))
     assert one(df.select(*[S.nearest_rank(F.col("v"), q).alias(str(i)) for i, q in enumerate((0.25, 0.5, 0.75))])) == (2.0, 4.0, 4.0)
