@@ -96,3 +96,17 @@ def table_info(spark: SparkSession, name: str) -> DataFrame:
 
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Names of the catalogue's tables, in order; temporary views aren't tables."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
+
+
+def read_sql(spark: SparkSession, query: str, **parameters) -> DataFrame:
+    """Rows of a query over catalogue tables; ``:name`` in it stands for a parameter's value."""
+    return spark.sql(query, args=parameters)

@@ -136,3 +136,21 @@ def test_live_books(spark, tmp_path):
     q.stop()
     got = {(r["ts"] - day) // 60_000: [x["price"] for x in r["bids"]] for r in spark.table("live").collect()}
     assert got == {0: [2.0, 1.0], 2: [2.0]}
+
+
+def test_catalogue(spark, tmp_path):
+    day = 86_400_000
+    spark.sql(f"CREATE DATABASE sluice_test LOCATION '{tmp_path}/db'")
+    try:
+        rows = spark.createDataFrame([(1, 0, 1.5), (2, day, None), (3, 2 * day, 2.5)], "id bigint, ts_ms bigint, x double")
+        rows.limit(0).createOrReplaceTempView("sluice_view")
+        tables.save_table(rows, "sluice_test.windows")
+        assert tables.list_tables(spark, "sluice_test") == ["windows"]
+        assert tables.table_exists(spark, "sluice_test.windows") and not tables.table_exists(spark, "sluice_test.other")
+        assert "dt" in {r["col_name"] for r in tables.table_info(spark, "sluice_test.windows").collect()}
+        assert [r["id"] for r in tables.read_sql(spark, "SELECT id FROM sluice_test.windows WHERE ts_ms >= :since ORDER BY id", since=day).collect()] == [2, 3]
+        tables.drop_table(spark, "sluice_test.windows")
+        assert tables.list_tables(spark, "sluice_test") == []
+    finally:
+        spark.catalog.dropTempView("sluice_view")
+        spark.sql("DROP DATABASE sluice_test CASCADE")
