@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sluice.llm.middle import MARKS, PLAIN, SUFFIX_FIRST
 from sluice.llm.rules import CHARACTER_CLASSES, COMMON_WORDS, LEAST_CHARACTERS, LEAST_WORDS, MAX_CHARACTER_DISTANCE, MAX_WORD_DISTANCE
 
 
@@ -42,5 +43,19 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   NOT base_failed AND NOT ((word_chars >= {LEAST_CHARACTERS} AND character_distance > {MAX_CHARACTER_DISTANCE}) OR (n_words >= {LEAST_WORDS} AND word_distance > {MAX_WORD_DISTANCE})) AS kept, character_distance, word_distance FROM j"""
 
 
+def fill_in_middle() -> str:
+    """Operator 11. The restored text is the text itself: that is what the operator's round trip must give."""
+    group = lambda k: f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)"
+    marked = " OR ".join(f"contains(t, {_quoted(m)})" for m in MARKS)
+    p, s, m = map(_quoted, MARKS)
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+c AS (SELECT *, length(t) AS n, {group(0)} % (length(t) + 1) AS c1, {group(1)} % (length(t) + 1) AS c2,
+  CASE WHEN t = '' OR {marked} OR {group(2)} % 100 >= {100 - PLAIN} THEN 'plain' WHEN {group(3)} % 100 < {SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM c),
+o AS (SELECT *, substr(t, 1, a) AS x, substr(t, a + 1, b - a) AS y, substr(t, b + 1) AS z FROM p)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN {p} || x || {s} || z || {m} || y ELSE {s} || z || {p} || x || {m} || y END) AS output_sha256, sha256(t) AS restored_sha256 FROM o"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_divergence_rules": divergence_rules()}
+    return {"op3_divergence_rules": divergence_rules(), "op11_fill_in_middle": fill_in_middle()}
