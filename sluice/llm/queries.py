@@ -99,6 +99,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.conversations import repair_damaged
+
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of the subpackage by name."""
     return {name: f for name, f in sorted(globals().items(), key=lambda x: (len(x[0].split("_")[0]), x[0])) if name[:2] == "op" and name[2].isdigit()}
