@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sluice.llm.conversations import DELETE, INSERT, REROLE, TRUNCATED
 from sluice.llm.middle import MARKS, PLAIN, SUFFIX_FIRST
 from sluice.llm.rules import CHARACTER_CLASSES, COMMON_WORDS, LEAST_CHARACTERS, LEAST_WORDS, MAX_CHARACTER_DISTANCE, MAX_WORD_DISTANCE
 
@@ -57,5 +58,38 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS pre
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN {p} || x || {s} || z || {m} || y ELSE {s} || z || {p} || x || {m} || y END) AS output_sha256, sha256(t) AS restored_sha256 FROM o"""
 
 
+def conversation_repair() -> str:
+    """Operator 13: costs to go by recursion from the last row to the first, then the edits one by one."""
+    after, never = (2, 2, 3, 2), 1 << 40
+    table = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT))"
+    crc = "xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: ascii(k[i])::BIGINT), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"
+    way = lambda ok, cost, edit, k: f"{{'c': CASE WHEN {ok} THEN {cost} + g[{k + 1}].c ELSE {never} END, 'a': '{edit}' || g[{k + 1}].a}}"
+    edits = lambda q: "list_sort([" + ", ".join([way("true", DELETE, "D", q), way("NOT must", f"{REROLE} + extra", "R", after[q]), way(f"NOT must AND r = '{'a' if q == 2 else 'u'}'", "extra", "K", after[q]), *([way("NOT must AND r = 's'", "extra", "K", 1)] if q == 0 else [])]) + "])[1]"
+    more = lambda b, q, n: f"{{'c': {n * INSERT} + {b}[{q + 1}].c, 'a': '{'I' * n}' || {b}[{q + 1}].a}}"
+    closed = lambda b: "[" + ", ".join(f"list_sort([{more(b, q, 0)}, {more(b, after[q], 1)}, {more(b, after[after[q]], 2)}])[1]" for q in range(4)) + "]"
+    end = "[" + ", ".join(f"{{'c': {c}::BIGINT, 'a': ''}}" for c in (0, never, never, 0)) + "]"
+    inner = "[^ \\t\\n\\x0B\\f\\r]"
+    return f"""WITH RECURSIVE crc AS (SELECT {table} AS crc),
+k AS (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+f AS (SELECT conv_id, turn, {crc} % 20 AS fault, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM k, crc),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy FROM f WHERE fault <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]', '', 'g') AS dense, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS r FROM d),
+s AS (SELECT *, CASE WHEN dense = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN dense[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM n),
+y AS (SELECT *, fault IN ('blank', 'duplicate') AS must, CASE WHEN fault = 'truncated' THEN {TRUNCATED} ELSE 0 END AS extra FROM s),
+c AS (SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM y GROUP BY conv_id),
+t AS (SELECT conv_id, rows AS i, {closed(end)} AS g FROM c UNION ALL
+  SELECT conv_id, i, {closed('b')} AS g FROM (SELECT t.conv_id, t.i - 1 AS i, [{', '.join(map(edits, range(4)))}] AS b FROM t JOIN y ON y.conv_id IS NOT DISTINCT FROM t.conv_id AND y.i = t.i)),
+a AS (SELECT conv_id, g[1].c AS cost, g[1].a AS audit FROM t WHERE i = 0),
+w AS (SELECT conv_id, audit, 1 AS place, 0 AS state, 0 AS i, []::VARCHAR[] AS lines FROM a UNION ALL
+  SELECT w.conv_id, audit, place + 1, CASE WHEN e = 'D' THEN state WHEN e = 'K' AND r = 's' THEN 1 WHEN state = 2 THEN 3 ELSE 2 END, CASE WHEN e = 'I' THEN w.i ELSE w.i + 1 END,
+  CASE WHEN e = 'D' THEN lines ELSE list_append(lines, CASE WHEN e = 'K' THEN role WHEN state = 2 THEN 'assistant' ELSE 'user' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END) END
+  FROM (SELECT *, audit[place] AS e FROM w WHERE place <= length(audit)) w LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM w.conv_id AND y.i = w.i + 1),
+l AS (SELECT conv_id, coalesce(array_to_string(lines, chr(10)), '') AS whole FROM w WHERE place = length(audit) + 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN l ON l.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_divergence_rules": divergence_rules(), "op11_fill_in_middle": fill_in_middle()}
+    return {"op3_divergence_rules": divergence_rules(), "op11_fill_in_middle": fill_in_middle(), "op13_conversation_repair": conversation_repair()}
