@@ -183,23 +183,28 @@ def damage(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     return rows.select("conv", "turn", "role", "text", F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("col")
 
 
+def _key(*parts: str) -> Column:
+    """Digest of values, of which none runs into the next."""
+    texts = [F.col(c).cast("string") for c in parts]
+    return F.unhex(F.md5(F.encode(F.concat(*[F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]), "UTF-8")))
+
+
 def _units(rows: DataFrame) -> DataFrame:
     """Equal rows as one with their number, and whether the first of them is the first of its role and text in the conversation."""
-    digest = F.unhex(F.md5(F.encode("text", "UTF-8")))
-    equal = rows.groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n")).withColumn("digest", digest)
-    seen = rows.select("conv", "turn", "role", digest.alias("digest")).groupBy("conv", "role", "digest").agg(F.min("turn").alias("least"), F.max(F.col("turn").isNull()).alias("open"))
-    seen = seen.select(F.col("conv").alias("_conv"), F.when(~F.col("open"), F.col("least")).alias("_turn"), F.col("role").alias("_role"), F.col("digest").alias("_digest"))
-    same = F.col("conv").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")) & (F.col("role") == F.col("_role")) & (F.col("digest") == F.col("_digest"))
+    keyed = rows.withColumn("row", _key("conv", "turn", "role", "text"))
+    equal = keyed.groupBy("row").agg(*[F.any_value(c).alias(c) for c in ("conv", "turn", "role", "text")], F.count(F.lit(1)).alias("n"))
+    early = F.struct(F.col("turn").isNotNull(), "turn")
+    seen = keyed.select("turn", "row", _key("conv", "role", "text").alias("same")).groupBy("same").agg(F.min_by("row", early).alias("row"))
     last = F.regexp_extract("text", "([^ \\t-\\r])[ \\t-\\r]*\\z", 1)
-    return equal.join(seen, same, "left").select(
-        "conv", "turn", "role", "digest", "text", "n", F.col("_digest").isNotNull().alias("first"),
+    return equal.join(seen.select("row", F.lit(True).alias("first")), "row", "left").select(
+        "conv", "turn", "role", F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("digest"), "text", "n", F.col("first").isNotNull().alias("first"),
         (last == "").alias("blank"), (~last.isin(".", "!", "?")).alias("truncated"),
     )
 
 
-_SEGMENT = "part int, seq bigint, symbols string, roles array<string>, texts array<string>, blank bigint, duplicate bigint, truncated bigint, illegal bigint, head string, tail string, turns bigint, first_turn bigint, last_turn bigint"
+_SEGMENT = "part int, seq bigint, whole boolean, symbols string, roles array<string>, texts array<string>, blank bigint, duplicate bigint, truncated bigint, illegal bigint, head string, tail string, turns bigint, first_turn bigint, last_turn bigint"
 _ARROW = pa.schema([
-    ("part", pa.int32()), ("seq", pa.int64()), ("symbols", pa.string()), ("roles", pa.list_(pa.string())), ("texts", pa.list_(pa.string())), *[(c, pa.int64()) for c in ("blank", "duplicate", "truncated", "illegal")],
+    ("part", pa.int32()), ("seq", pa.int64()), ("whole", pa.bool_()), ("symbols", pa.string()), ("roles", pa.list_(pa.string())), ("texts", pa.list_(pa.string())), *[(c, pa.int64()) for c in ("blank", "duplicate", "truncated", "illegal")],
     ("head", pa.string()), ("tail", pa.string()), *[(c, pa.int64()) for c in ("turns", "first_turn", "last_turn")],
 ])
 _LEGAL = {"su", "ua", "au"}
@@ -208,7 +213,8 @@ _LEGAL = {"su", "ua", "au"}
 class _Segment:
     """Rows of one conversation, one after the other."""
 
-    def __init__(self, conv: object) -> None:
+    def __init__(self, conv: object, begins: bool) -> None:
+        self.begins = begins  # the conversation begins with it, for sure
         self.conv, self.symbols, self.roles, self.texts, self.size = conv, [], [], [], 0
         self.counts = dict.fromkeys(("blank", "duplicate", "truncated", "illegal", "turns"), 0)
         self.head = self.tail = self.first_turn = self.last_turn = None
@@ -236,8 +242,8 @@ class _Segment:
     def full(self, rows: int) -> bool:
         return len(self.symbols) >= rows or self.size >= SEGMENT_BYTES
 
-    def row(self, part: int, seq: int) -> dict:
-        return {"part": part, "seq": seq, "symbols": "".join(self.symbols), "roles": self.roles, "texts": self.texts, "head": self.head, "tail": self.tail, "first_turn": self.first_turn, "last_turn": self.last_turn, **self.counts}
+    def row(self, part: int, seq: int, ends: bool) -> dict:
+        return {"part": part, "seq": seq, "whole": self.begins and ends, "symbols": "".join(self.symbols), "roles": self.roles, "texts": self.texts, "head": self.head, "tail": self.tail, "first_turn": self.first_turn, "last_turn": self.last_turn, **self.counts}
 
 
 def _batch(rows: list[tuple[object, dict]], kind: pa.DataType) -> pa.RecordBatch:
@@ -246,24 +252,25 @@ def _batch(rows: list[tuple[object, dict]], kind: pa.DataType) -> pa.RecordBatch
 
 
 def _cut(rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows to segments of at most so many rows."""
+    """Sorted rows to segments of at most so many rows. A conversation at the edge of a partition may go on in the next one."""
     part, seq, ready, size, open_, kind = TaskContext.get().partitionId(), 0, [], 0, None, None
     for batch in batches:
         kind = batch.schema.field("conv").type
         for conv, turn, role, text, n, first, blank, truncated in zip(*[batch[c].to_pylist() for c in ("conv", "turn", "role", "text", "n", "first", "blank", "truncated")], strict=True):
             for k in range(n):
                 fault = "blank" if blank else "duplicate" if k or not first else "truncated" if truncated else None
-                if open_ is not None and (open_.conv != conv or open_.full(rows)):
-                    ready.append((open_.conv, open_.row(part, seq)))
+                other = open_ is not None and open_.conv != conv
+                if open_ is not None and (other or open_.full(rows)):
+                    ready.append((open_.conv, open_.row(part, seq, other)))
                     seq, size, open_ = seq + 1, size + open_.size, None
                     if size > SEGMENT_BYTES or len(ready) > 500:
                         yield _batch(ready, kind)
                         ready, size = [], 0
                 if open_ is None:
-                    open_ = _Segment(conv)
+                    open_ = _Segment(conv, other)
                 open_.add(turn, role, text, fault)
     if open_ is not None:
-        ready.append((open_.conv, open_.row(part, seq)))
+        ready.append((open_.conv, open_.row(part, seq, False)))
     if ready:
         yield _batch(ready, kind)
 
@@ -290,44 +297,47 @@ def _chain(found: list[dict]) -> tuple[list[tuple[int, int]], int]:
 
 
 _FACTS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+_STATS = ("blank", "duplicate", "truncated", "illegal", "head", "tail", "turns", "first_turn", "last_turn")
+_STATES = ("q", "k", "at", "of", "closing", *_FACTS)
+_STATE_TYPES = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * len(_FACTS))
+
+
+def _weighed(matrix: list[tuple[int, str]]) -> tuple[list[int], list[int]]:
+    """Costs, and the ranks of the audits from each state."""
+    return [c for c, _ in matrix], [sorted(a for _, a in matrix[j - j % 4 : j - j % 4 + 4]).index(matrix[j][1]) for j in range(16)]
+
+
+def _solved(found: list[dict]) -> list[tuple]:
+    """What _STATES names, for each segment of a conversation in order."""
+    ways, cost = _chain(found)
+    total = lambda c: sum(s[c] for s in found)
+    turns = [s for s in found if s["turns"]]
+    shared = sum(a["last_turn"] == b["first_turn"] for a, b in zip(turns, turns[1:]))
+    gaps = turns[-1]["last_turn"] - turns[0]["first_turn"] + 1 - (total("turns") - shared) if turns else 0
+    seams = sum(a["tail"] + b["head"] not in _LEGAL for a, b in zip(found, found[1:]))
+    facts = (gaps, total("blank"), total("duplicate"), total("truncated"), total("illegal") + seams, cost)
+    return [(q, k, at, len(found), _FINAL[k] if at + 1 == len(found) else "", *facts) for at, (q, k) in enumerate(ways)]
 
 
 def _states(cut: DataFrame, rules: list[tuple]) -> DataFrame:
-    """(part, seq, q, k, at, of, closing, facts of the conversation) of each segment."""
-    stats = ["blank", "duplicate", "truncated", "illegal", "head", "tail", "turns", "first_turn", "last_turn"]
+    """(part, seq) and _STATES of each segment."""
     kinds = {"head": "string", "tail": "string"}
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrices = Matrices(rules)
         for batch in batches:
-            costs, ranks = [], []
-            for symbols in batch["symbols"].to_pylist():
-                m = matrices.of(symbols)
-                costs.append([c for c, _ in m])
-                ranks.append([sorted(a for _, a in m[4 * (j // 4) : 4 * (j // 4) + 4]).index(m[j][1]) for j in range(16)])
-            kept = [batch[c] for c in ("conv", "part", "seq", *stats)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(costs, pa.list_(pa.int64())), pa.array(ranks, pa.list_(pa.int64()))], names=["conv", "part", "seq", *stats, "costs", "ranks"])
+            weights = [_weighed(matrices.of(symbols)) for symbols in batch["symbols"].to_pylist()]
+            kept = [batch[c] for c in ("conv", "part", "seq", *_STATS)]
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array([w[k] for w in weights], pa.list_(pa.int64())) for k in (0, 1)]], names=["conv", "part", "seq", *_STATS, "costs", "ranks"])
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for found in batch["found"].to_pylist():
-                ways, cost = _chain(found)
-                total = lambda c: sum(s[c] for s in found)  # noqa: B023, E731
-                turns = [s for s in found if s["turns"]]
-                shared = sum(a["last_turn"] == b["first_turn"] for a, b in zip(turns, turns[1:]))
-                gaps = turns[-1]["last_turn"] - turns[0]["first_turn"] + 1 - (total("turns") - shared) if turns else 0
-                seams = sum(a["tail"] + b["head"] not in _LEGAL for a, b in zip(found, found[1:]))
-                facts = (gaps, total("blank"), total("duplicate"), total("truncated"), total("illegal") + seams, cost)
-                for at, (s, (q, k)) in enumerate(zip(found, ways, strict=True)):
-                    out.append((s["part"], s["seq"], q, k, at, len(found), _FINAL[k] if at + 1 == len(found) else "", *facts))
-            names = ("part", "seq", "q", "k", "at", "of", "closing", *_FACTS)
-            types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 6]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(types)], names=list(names))
-
-    schema = f"conv {cut.schema['conv'].dataType.simpleString()}, part int, seq bigint, {', '.join(f'{c} {kinds.get(c, 'bigint')}' for c in stats)}, costs array<bigint>, ranks array<bigint>"
-    weighed = cut.select("conv", "part", "seq", "symbols", *stats).mapInArrow(weigh, schema)
-    lists = weighed.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", "seq", "costs", "ranks", *stats))).alias("found")).select("found")
+            out = [(s["part"], s["seq"], *states) for found in batch["found"].to_pylist() for s, states in zip(found, _solved(found), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate((pa.int32(), pa.int64(), *_STATE_TYPES))], names=["part", "seq", *_STATES])
+
+    schema = f"conv {cut.schema['conv'].dataType.simpleString()}, part int, seq bigint, {', '.join(f'{c} {kinds.get(c, 'bigint')}' for c in _STATS)}, costs array<bigint>, ranks array<bigint>"
+    weighed = cut.select("conv", "part", "seq", "symbols", *_STATS).mapInArrow(weigh, schema)
+    lists = weighed.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("part", "seq", "costs", "ranks", *_STATS))).alias("found")).select("found")
     return lists.mapInArrow(chain, "part int, seq bigint, q int, k int, at bigint, of bigint, closing string, " + ", ".join(f"{c} bigint" for c in _FACTS))
 
 
@@ -347,32 +357,42 @@ def _lines(audit: str, q: int, symbols: str, roles: list[str], texts: list[str])
     return out
 
 
-def repaired_segments(rows: DataFrame, segment_rows: int = SEGMENT) -> DataFrame:
+def repaired_segments(rows: DataFrame, segment_rows: int = SEGMENT) -> tuple[DataFrame, DataFrame]:
     """(conv, at, of, audit, lines, facts): for each segment of a conversation, in order by ``at``, its edits and what they leave.
 
     ``lines`` are (role, text) rows. The facts, equal in all ``of`` segments of a conversation: gaps, blank, duplicate, truncated, illegal, cost.
+    Two tables: of conversations that lie whole in one segment, which are solved where they are, and of all others, whose segments are chained first.
     """
     cut = segments(rows, segment_rows)
     rules = grammar(cut)
-    states = _states(cut, rules)
-    joined = cut.select("conv", "part", "seq", "symbols", "roles", "texts").join(states, ["part", "seq"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrices = Matrices(rules)
         for batch in batches:
-            audits, lines = [], []
-            for symbols, roles, texts, q, k, closing in zip(*[batch[c].to_pylist() for c in ("symbols", "roles", "texts", "q", "k", "closing")], strict=True):
-                audits.append(matrices.of(symbols)[4 * q + k][1] + closing)
-                lines.append([{"role": r, "text": t} for r, t in _lines(audits[-1], q, symbols, roles, texts)])
+            symbols = batch["symbols"].to_pylist()
+            if "q" in batch.schema.names:
+                states = list(zip(*[batch[c].to_pylist() for c in _STATES], strict=True))
+            else:
+                states = []
+                for s, *stats in zip(symbols, *[batch[c].to_pylist() for c in _STATS], strict=True):
+                    costs, ranks = _weighed(matrices.of(s))
+                    states += _solved([{"costs": costs, "ranks": ranks, **dict(zip(_STATS, stats, strict=True))}])
+            audits = [matrices.of(s)[4 * state[0] + state[1]][1] + state[4] for s, state in zip(symbols, states, strict=True)]
+            lines = [[{"role": r, "text": t} for r, t in _lines(audit, state[0], s, roles, texts)] for audit, state, s, roles, texts in zip(audits, states, symbols, batch["roles"].to_pylist(), batch["texts"].to_pylist(), strict=True)]
             kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
-            yield pa.RecordBatch.from_arrays([batch["conv"], batch["at"], batch["of"], pa.array(audits, pa.string()), pa.array(lines, kind), *[batch[c] for c in _FACTS]], names=["conv", "at", "of", "audit", "lines", *_FACTS])
+            given = {c: pa.array([state[j] for state in states], _STATE_TYPES[j]) for j, c in enumerate(_STATES)}
+            yield pa.RecordBatch.from_arrays([batch["conv"], given["at"], given["of"], pa.array(audits, pa.string()), pa.array(lines, kind), *[given[c] for c in _FACTS]], names=["conv", "at", "of", "audit", "lines", *_FACTS])
 
-    return joined.mapInArrow(build, f"conv {rows.schema['conv'].dataType.simpleString()}, at bigint, of bigint, audit string, lines array<struct<role: string, text: string>>, " + ", ".join(f"{c} bigint" for c in _FACTS))
+    schema = f"conv {rows.schema['conv'].dataType.simpleString()}, at bigint, of bigint, audit string, lines array<struct<role: string, text: string>>, " + ", ".join(f"{c} bigint" for c in _FACTS)
+    parts = cut.where("NOT whole")
+    chained = parts.select("conv", "part", "seq", "symbols", "roles", "texts").join(_states(parts, rules), ["part", "seq"]).drop("part", "seq")
+    return cut.where("whole").select("conv", "symbols", "roles", "texts", *_STATS).mapInArrow(build, schema), chained.mapInArrow(build, schema)
 
 
 def repair(rows: DataFrame) -> DataFrame:
     """Repaired rows of (conv, turn, role, text) rows: (conv, at, place, role, text), ordered by ``at`` and ``place`` within a conversation."""
-    return repaired_segments(rows).select("conv", "at", F.posexplode("lines").alias("place", "line")).select("conv", "at", "place", "line.role", "line.text")
+    whole, chained = repaired_segments(rows)
+    return whole.unionByName(chained).select("conv", "at", F.posexplode("lines").alias("place", "line")).select("conv", "at", "place", "line.role", "line.text")
 
 
 def digest_repairs(rows: DataFrame, segment_rows: int = SEGMENT) -> DataFrame:
@@ -382,11 +402,12 @@ def digest_repairs(rows: DataFrame, segment_rows: int = SEGMENT) -> DataFrame:
     own, a null turn comes first). Rows of one turn go by role, then by the text's digest; equal rows are duplicates of one another.
     An audit is as long as its conversation, so it and a digest are made by one task, which reads segments in order and holds the audit alone.
     """
-    made = written(repaired_segments(rows, segment_rows), "repaired")
     line = F.transform("lines", lambda x: F.concat(x["role"], F.lit(":"), x["text"]))
-    made = made.withColumn("chunk", F.array_join(line, "\n")).withColumn("some", F.size("lines") > 0)
     facts = [F.col(c) for c in _FACTS]
-    alone = made.where("of = 1").select("conv", *facts, "audit", F.sha2("chunk", 256).alias("repaired_sha256"))
+    whole, chained = repaired_segments(rows, segment_rows)
+    joined = lambda df: df.withColumn("chunk", F.array_join(line, "\n")).withColumn("some", F.size("lines") > 0)
+    chained = joined(written(chained, "repaired"))
+    alone = joined(whole).unionByName(chained.where("of = 1")).select("conv", *facts, "audit", F.sha2("chunk", 256).alias("repaired_sha256"))
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, audit, lines = hashlib.sha256(), [], False
@@ -404,8 +425,8 @@ def digest_repairs(rows: DataFrame, segment_rows: int = SEGMENT) -> DataFrame:
             take = pa.array([d[0] for d in done], pa.int64())
             yield pa.RecordBatch.from_arrays([batch[c].take(take) for c in ("conv", *_FACTS)] + [pa.array([d[k] for d in done], pa.string()) for k in (1, 2)], names=["conv", *_FACTS, "audit", "repaired_sha256"])
 
-    chained = made.where("of > 1").repartition("conv").sortWithinPartitions("conv", "at")
-    return alone.unionByName(chained.select("conv", "at", "of", "audit", "chunk", "some", *facts).mapInArrow(stream, alone.schema))
+    parts = chained.where("of > 1").repartition("conv").sortWithinPartitions("conv", "at")
+    return alone.unionByName(parts.select("conv", "at", "of", "audit", "chunk", "some", *facts).mapInArrow(stream, alone.schema))
 
 
 def repair_damaged(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", segment_rows: int = SEGMENT) -> DataFrame:
