@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.hashing import BASE, BYTE, INVERSE, MUL, mix, powers
+from sluice.llm.rowkeys import free_name, with_ids, with_keys
 from sluice.llm.storage import written
 
 #: Bands in each collection and minhashes in a band: a pair at similarity 0.85 shares no key with
@@ -263,11 +264,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``width``-word shingles, or the whole sequence of a shorter text. Two documents are linked if their
     sets' similarity is threshold[0] / threshold[1] at least, judged on the full sets. component_id is the
     smallest id that can be reached by links. Null and wordless texts have empty sets, are linked with
-    nothing and kept. Rows with a null id are kept, without component. Rows that repeat an id count as
-    one document. Ids must be integers. Other columns aren't read.
+    nothing and kept. Rows with a null id are kept, without component. Equal rows count as one document; different texts
+    of one id are documents of their own (of which all but one come behind all ids in order, see rowkeys). Ids must be
+    integers. Other columns aren't read.
     """
-    num, den = threshold
-    plain = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("data"))
+    key = free_name(docs)
+    keyed, keys = with_keys(docs, id_col, text_col, key)
+    found = with_ids(_judged(keyed, key, text_col, width, *threshold), ["doc", "component_id"], keys)
+    return found.select(F.col("doc").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, key_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+    """(doc, n_shingles, component_id, kept) by key."""
+    plain = docs.select(F.col(key_col).alias("doc"), F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("data"))
     signed = written(plain.mapInArrow(_signatures(width), "doc bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch binary"), "signatures")
     classes = written(signed.where("n > 0 and doc is not null").groupBy("d1", "d2").agg(F.min("doc").alias("rep")), "classes")
     tables = F.transform(F.sequence(F.lit(0), F.lit(BANDS * BANDS - 1)), lambda k: F.xxhash64(k, F.get("bands", F.floor(k / BANDS).cast("int")), F.get("bands", BANDS + k % BANDS)))
@@ -291,14 +300,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = classes.join(labels, classes.rep == labels.id, "left").select("d1", "d2", F.coalesce("label", "rep").alias("label"))
     result = signed.select("doc", "n", "d1", "d2").join(nodes, ["d1", "d2"], "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("label", "doc"))
-    return result.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"))
+    return result.select("doc", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """The documents with all their columns, one of each group: the one with the smallest id.
 
-    Of rows that repeat an id all stay; documents without words or id all stay.
+    Equal rows stay or go together; of different texts of one id each is judged by itself. Documents without words or id all stay.
     """
-    name = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name
-    gone = near_duplicates(docs, id_col, text_col, width, threshold).where("not kept").select(F.col(id_col).alias(name))
-    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
+    key = free_name(docs)
+    keyed, _ = with_keys(docs, id_col, text_col, key)
+    gone = _judged(keyed, key, text_col, width, *threshold).where("not kept").select(F.col("doc").alias(key + "gone"))
+    return keyed.join(gone, F.col(key) == F.col(key + "gone"), "left_anti").drop(key)

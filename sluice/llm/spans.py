@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.hashing import BASE, BYTE, INVERSE, MUL, mix, powers
+from sluice.llm.rowkeys import free_name, with_ids, with_keys
 from sluice.llm.storage import written
 
 #: Bytes of the short grams (a power of two).
@@ -337,9 +338,12 @@ def digest_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
     A byte is removed if a string of ``length`` bytes that covers it also starts earlier, in a smaller id
     or earlier in the same document. Null text counts as empty. Rows with a null id are judged on
-    nothing: they lose no byte. Rows that repeat an id are one document to the ordering, whose copies
-    get the same spans; ids are meant to be unique. Other columns aren't read.
+    nothing: they lose no byte. Equal rows are one document, whose copies get the same spans; different texts of one
+    id are documents of their own (of which all but one come behind all ids in order, see rowkeys). Ids must be integers.
+    Other columns aren't read.
     """
+    key = free_name(docs)
+    docs, keys = with_keys(docs, id_col, text_col, key)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -354,21 +358,22 @@ def digest_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                     rows.append((doc, len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(),) * 4 + (pa.string(),))], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    done = _with_spans(docs, id_col, text_col, length).mapInArrow(digest, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    done = _with_spans(docs, key, text_col, length).mapInArrow(digest, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     text = F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b""))
     size = F.octet_length(text).cast("bigint")
     without = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast("bigint").alias("doc"), size.alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"))
-    return done.unionByName(without).withColumnRenamed("doc", id_col)
+    return with_ids(done, ["doc"], keys).unionByName(without).withColumnRenamed("doc", id_col)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """The same rows and columns, texts without their removed bytes.
 
     A character that loses one of its bytes goes as a whole. ``length_col`` is set to the new number of
-    characters. Null texts stay null; empty results and rows with a null id stay as they are. Ids must be integers.
-    Columns may have any names.
+    characters. Null texts stay null; empty results and rows with a null id stay as they are. Equal rows and different
+    texts of one id count as in digest_repeats. Ids must be integers. Columns may have any names.
     """
-    names, schema = docs.columns, docs.schema
+    names, schema, key = docs.columns, docs.schema, free_name(docs)
+    docs, _ = with_keys(docs, id_col, text_col, key)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -383,10 +388,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     keep = [c for c in names if c != text_col]
     rest = F.struct(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).isNull().alias("empty"))
     inner = docs.select(rest.alias("rest")).schema["rest"].dataType.simpleString()
-    done = _with_spans(docs, id_col, text_col, length, rest).mapInArrow(cut, f"rest {inner}, text string")
+    done = _with_spans(docs, key, text_col, length, rest).mapInArrow(cut, f"rest {inner}, text string")
     text = F.when(F.col("rest.empty"), F.lit(None)).otherwise(F.col("text"))
     cols = {c: F.col(f"rest.row.`{c}`") for c in keep} | {text_col: text}
     if length_col:
         cols[length_col] = F.char_length(text).cast(schema[length_col].dataType)
     done = done.select(*(cols[c].alias(c) for c in names))
-    return done.unionByName(docs.where(F.col(id_col).isNull()))
+    return done.unionByName(docs.where(F.col(id_col).isNull()).drop(key))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline as p
 from sluice.llm import queries as q
+from sluice.llm.near import near_duplicates
 from sluice.llm.quality import score_quality
+from sluice.llm.spans import digest_repeats
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -88,3 +92,32 @@ def test_odd_rows_pass_every_stage(spark):
             assert set(ids) <= {None, 10, 11, 12}
             if name != "quality":
                 assert len(ids) == len(rows)
+
+
+def words(seed, n=60):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+
+def test_ids_with_several_texts(spark):
+    """Long texts of one id are documents of their own: none is emptied or dropped for another's sake, in any stage."""
+    one, two, three, four = words(1), words(2), words(3), words(4)
+    rows = [(0, one), (1, one), (1, two), (2, three), (2, two), (3, four), (3, four), (9, three), (9, four), (9, words(5))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "cast(0 AS bigint) AS n_chars")
+    got = lambda df: sorted((r["doc_id"], r["text"]) for r in df.collect())
+
+    kept = got(p.near_duplicates(spark, docs, SF))
+    assert {t for _, t in kept} == {t for _, t in rows}, "each different text stays once"
+    assert len(set(kept)) == len({t for _, t in rows}) and kept.count((3, four)) in (0, 2)
+
+    cut = p.repeated_spans(spark, docs, SF).collect()
+    assert len(cut) == len(rows)
+    left = [r["text"] for r in cut if r["text"]]
+    assert set(left) == {t for _, t in rows}
+    assert all(left.count(t) == (2 if t == four and (3, four) in [(r["doc_id"], r["text"]) for r in cut] else 1) for t in set(left))
+    digests = digest_repeats(docs).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in digests) == sorted((r["doc_id"], 0 if r["text"] else 419) for r in cut)
+    assert sorted(r["doc_id"] for r in near_duplicates(docs).collect()) == sorted(i for i, _ in rows)
+    for name, stage in p.STAGES:
+        if name in ("decontamination", "byte_bpe"):
+            assert stage(spark, docs, SF).count() == len(rows)
