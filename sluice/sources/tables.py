@@ -65,6 +65,14 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.repartition("symbol", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "dt").parquet(path)
 
 
+def swap(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """As overwrite, for rows that may come from the table itself: they are staged first."""
+    stage = f"{path}-stage-{uuid.uuid4().hex}"
+    overwrite(rows, stage)
+    overwrite(spark.read.schema(rows.schema).parquet(stage), path)
+    delete(spark, stage)
+
+
 def merge(spark: SparkSession, path: str, new: DataFrame, schema: str, keys: list[str], time: str, period: str = "day", arrival: Column | None = None) -> None:
     """Upsert by key within symbol: only partitions that new rows touch are read and rewritten.
 
@@ -73,11 +81,7 @@ def merge(spark: SparkSession, path: str, new: DataFrame, schema: str, keys: lis
     new = new.withColumn("dt", period_label(F.col(time), period))
     touched = new.select("symbol", "dt").distinct()
     old = read(spark, path, schema).join(touched, ["symbol", "dt"], "left_semi")
-    merged = merge_by_key(old, new.select(*old.columns), ["symbol", "dt", *keys], arrival)
-    stage = f"{path}-stage-{uuid.uuid4().hex}"
-    overwrite(merged, stage)
-    overwrite(spark.read.schema(merged.schema).parquet(stage), path)
-    delete(spark, stage)
+    swap(spark, path, merge_by_key(old, new.select(*old.columns), ["symbol", "dt", *keys], arrival))
 
 
 def write_csv(df: DataFrame, path: str, order: str) -> None:

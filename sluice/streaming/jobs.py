@@ -7,15 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.timeutil import INTERVALS, STEP_MS, interval_ms, wall_clock
 from sluice.sources import tables
+from sluice.streaming.recent import changed_panes, in_panes
 
 #: A stream holds raw rows of this span for its longest windows.
-KEEP_MS = 2 * 86_400_000
+DAY_MS = 86_400_000
+KEEP_MS = 2 * DAY_MS
 
 
 def parse(stream: DataFrame, schema: str, column: str = "value") -> DataFrame:
@@ -41,39 +43,90 @@ def to_bronze(stream: DataFrame, path: str, schema: str, keys: list[str], time:
 
 def to_silver(
     stream: DataFrame, root: str, schema: str, keys: list[str], time: str, aggregate: Callable[[DataFrame, str, int, int], DataFrame], checkpoint: str,
-    intervals: tuple[str, ...] = INTERVALS, late_ms: int = 0, **trigger,
+    intervals: tuple[str, ...] = INTERVALS, late_ms: int = 0, units: Callable[[DataFrame], DataFrame] | None = None, initial: DataFrame | None = None,
+    revise: bool = True, keep_ms: int = KEEP_MS, **trigger,
 ) -> StreamingQuery:
-    """Windows of all intervals whenever event time passes a five-minute boundary.
-
-    A batch is merged into a raw table of the last two days (of equal keys the latest row). Then all windows
-    that end after the boundary reached before and not after the new one are computed by
-    ``aggregate(rows, interval, first_end, last_end)`` and merged into root/interval by symbol and ts_ms. Boundaries
-    that a burst skips are emitted too. Rows later than ``late_ms`` count in windows still to come.
+    """Windows of all intervals whenever event time passes a five-minute boundary, and again when late rows change them.
+
+    Rows are state by symbol and pane (see recent.changed_panes): of equal ``keys`` the latest, for ``keep_ms`` behind the newest row. A trigger gives out
+    the panes that it changed; they are reduced by ``units`` (rows with ``pane`` to rows with symbol and pane; rows themselves without it) and replace
+    what root/recent held of them, in partitions of an hour. Then ``aggregate(units, interval, first_end, last_end)`` makes the windows that end after the
+    boundary reached before and not after the new one, boundaries that a burst skips included, and with ``revise`` those emitted before
+    that hold a changed pane. They are merged into root/interval by symbol and ts_ms. A trigger so costs what its changed panes and the recent hours
+    of the windows over them cost, whatever came before; partitions of no more use are deleted when the date changes. root/changes has the panes changed by each batch. ``initial`` are raw rows of the
+    days before (a bronze table's latest partitions): a stream that starts from them gives the windows of one that ran all along.
     """
-
-    def sink(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        tables.merge(spark, f"{root}/raw", batch, schema, keys, time)
-        raw = tables.read(spark, f"{root}/raw", schema)
-        newest = raw.agg(F.max(time)).first()[0]
-        reached = (newest - late_ms) // STEP_MS * STEP_MS
-        done = _state(spark, f"{root}/state")
-        oldest = done + STEP_MS if done is not None else raw.agg(F.min(time)).first()[0] // STEP_MS * STEP_MS + STEP_MS
-        if reached < oldest:
+    if initial is not None:
+        initial = initial.select(*stream.columns)
+
+    def replaced(spark: SparkSession, new: DataFrame, panes: DataFrame) -> None:
+        """Puts whole panes in the place of what root/recent has of them."""
+        new = new.withColumn("dt", _hour(F.col("pane")))
+        old = tables.read(spark, f"{root}/recent", ", ".join(f"`{c}` {t}" for c, t in new.dtypes if c not in ("symbol", "dt")))
+        hours = panes.select("symbol", _hour(F.col("pane")).alias("dt")).distinct()
+        kept = old.join(F.broadcast(hours), ["symbol", "dt"], "left_semi").join(panes, ["symbol", "pane"], "left_anti") if tables.exists(spark, f"{root}/recent") else None
+        tables.swap(spark, f"{root}/recent", new if kept is None else new.unionByName(kept.select(*new.columns)))
+
+    def sink(batch: DataFrame, number: int) -> None:
+        spark, seen, stage = batch.sparkSession, Observation(), f"{root}/stage"
+        made = batch.observe(seen, F.max(time).alias("newest"))
+        (made if units is None else units(made)).write.mode("overwrite").parquet(stage)  # the only action on the state
+        done, before, since = _state(spark, f"{root}/state")
+        if done is None and initial is not None and not initial.isEmpty():
+            known = in_panes(initial, time)
+            new = known if units is None else units(known)
+            replaced(spark, new, new.select("symbol", "pane").distinct())
+            before, least = initial.agg(F.max(time), F.min(time)).first()
+            since = least // STEP_MS * STEP_MS
+            done = (before - late_ms) // STEP_MS * STEP_MS
+        newest = seen.get.get("newest")
+        if newest is None:
             return
-        from_day = F.date_format(F.timestamp_millis(F.lit(oldest - KEEP_MS)), "yyyy-MM-dd")
-        for interval in intervals:
-            rows = raw.where((F.col("dt") >= from_day) & (F.col(time) >= oldest - interval_ms(interval)) & (F.col(time) < reached)).drop("dt")
-            _upsert_windows(spark, f"{root}/{interval}", aggregate(rows, interval, oldest, reached))
-        spark.createDataFrame([(reached,)], "reached bigint").coalesce(1).write.mode("append").parquet(f"{root}/state")
-
-    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
-
-
-def _state(spark: SparkSession, path: str) -> int | None:
-    return spark.read.schema("reached bigint").parquet(path).agg(F.max("reached")).first()[0] if tables.exists(spark, path) else None
+        new = spark.read.parquet(stage)
+        new.select("symbol", "pane").distinct().write.mode("overwrite").parquet(f"{root}/changes/batch={number}")
+        panes = spark.read.parquet(f"{root}/changes/batch={number}")
+        replaced(spark, new, panes)
+        newest = max(newest, before or newest)
+        reached, first = (newest - late_ms) // STEP_MS * STEP_MS, panes.agg(F.min("pane")).first()[0]
+        oldest = first if done is None else done + STEP_MS
+        begin = min(oldest, first) if revise else oldest
+        for interval in intervals if begin <= reached else ():
+            span = interval_ms(interval)
+            recent = spark.read.parquet(f"{root}/recent").where((F.col("dt") >= _hour(F.lit(begin - span))) & F.col("pane").between(begin - span + STEP_MS, reached)).drop("dt")
+            stale = panes.select("symbol", F.explode(F.sequence("pane", F.col("pane") + (span - STEP_MS), F.lit(STEP_MS))).alias("ts_ms")).distinct()
+            stale = stale.where(F.col("ts_ms") - span >= (since or 0)).withColumn("_stale", F.lit(True))
+            windows = aggregate(recent, interval, begin, reached)
+            wanted = windows.join(stale, ["symbol", "ts_ms"], "left").where((F.col("ts_ms") >= oldest) | F.col("_stale")) if revise else windows
+            _upsert_windows(spark, f"{root}/{interval}", wanted.select(*windows.columns))
+        if newest // DAY_MS > (before or newest) // DAY_MS:
+            _forget(spark, f"{root}/recent", newest - keep_ms - max(map(interval_ms, intervals)))
+        spark.createDataFrame([(max(reached, done or reached), newest, since)], _STATE).coalesce(1).write.mode("append").parquet(f"{root}/state")
+
+    panes = changed_panes(stream, keys, time, keep_ms, initial)
+    return panes.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def _hour(pane: Column) -> Column:
+    """The hour in which a pane lies, as the name of a partition."""
+    return F.date_format(F.timestamp_millis(pane - 1), "yyyy-MM-dd-HH")
+
+
+def _forget(spark: SparkSession, path: str, before_ms: int) -> None:
+    """Deletes the partitions of the hours before."""
+    label = spark.range(1).select(_hour(F.lit(before_ms + 1))).first()[0]
+    old = spark.read.parquet(path).where(F.col("dt") < label).select("symbol", "dt").distinct()
+    for r in old.collect():  # one row a symbol and hour of the days that go
+        tables.delete(spark, f"{path}/symbol={r['symbol']}/dt={r['dt']}")
+
+
+_STATE = "reached bigint, newest bigint, since bigint"
+
+
+def _state(spark: SparkSession, path: str) -> tuple[int | None, int | None, int | None]:
+    """The boundary reached, the newest time seen, and where the rows known from before begin."""
+    if not tables.exists(spark, path):
+        return None, None, None
+    return tuple(spark.read.schema(_STATE).parquet(path).agg(F.max("reached"), F.max("newest"), F.max("since")).first())
 
 
 def _upsert_windows(spark: SparkSession, path: str, new: DataFrame) -> None:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import tarfile
 import zipfile
 
 from pyspark.sql import functions as F
 
 from sluice.operators import book
-from sluice.operators.klines import kline_windows
+from sluice.operators.klines import kline_panes, kline_windows, windows_of_panes
 from sluice.sources import connectors, fixtures, tables
 from sluice.sources.schemas import KLINES, TRADES
 from sluice.streaming import jobs
@@ -154,3 +155,95 @@ def test_catalogue(spark, tmp_path):
     finally:
         spark.catalog.dropTempView("sluice_view")
         spark.sql("DROP DATABASE sluice_test CASCADE")
+
+
+DAY = 86_400_000
+FIRST = 1_704_067_200_000
+
+
+def _bar_stream(spark, bars, path):
+    return spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).json(path)
+
+
+def _bars_to_silver(stream, root, check, **more):
+    """Windows of bars from panes that the sink keeps."""
+    made = lambda panes, i, lo, hi: windows_of_panes(panes, i, lo, hi)
+    q = jobs.to_silver(stream, root, KLINES, ["open_time"], "open_time", made, check, ("5m", "1h", "1d"), units=lambda rows: kline_panes(rows, "open_time"), availableNow=True, **more)
+    q.awaitTermination()
+
+
+def _silver(spark, root, interval):
+    rows = spark.read.parquet(f"{root}/{interval}").collect()
+    assert len({(r["symbol"], r["ts_ms"]) for r in rows}) == len(rows)
+    return {(r["symbol"], r["ts_ms"]): (r["open"], r["high"], r["low"], r["close"], round(r["mean"], 9)) for r in rows}
+
+
+def _batch(bars, interval, reached):
+    return {(r["symbol"], r["ts_ms"]): (r["open"], r["high"], r["low"], r["close"], round(r["mean"], 9)) for r in kline_windows(bars, interval, "open_time", last_end=reached).collect()}
+
+
+def _write(path, rows, n):
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/{n:03}.json", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+    os.utime(f"{path}/{n:03}.json", (n + 1, n + 1))
+
+
+def test_stream_revises_windows_for_late_rows_and_restarts(spark, tmp_path):
+    """Rows that come hours late, and second versions of rows, give the windows of a batch over what came last; also after a restart."""
+    bars = fixtures.klines(spark, SF.replace("0.001", "0.01")).where(F.col("open_time") < FIRST + 2 * DAY).orderBy("open_time")
+    rows = [r.asDict() for r in bars.collect()]
+    late = rows[5::9]
+    files = [[r for r in rows[: len(rows) // 2] if r not in late], [r for r in rows[len(rows) // 2 : -40] if r not in late], late, [*rows[-40:], {**rows[3], "close": 1e6}]]
+    path, root = f"{tmp_path}/in", f"{tmp_path}/silver"
+    for n, part in enumerate(files[:2]):
+        _write(path, part, n)
+    _bars_to_silver(_bar_stream(spark, bars, path), root, f"{tmp_path}/check")
+    for n, part in enumerate(files[2:], 2):
+        _write(path, part, n)
+    _bars_to_silver(_bar_stream(spark, bars, path), root, f"{tmp_path}/check")
+    final = spark.createDataFrame([{**r, "close": 1e6} if r == rows[3] else r for r in rows], bars.schema)
+    reached = spark.read.parquet(f"{root}/state").agg(F.max("reached")).first()[0]
+    assert reached > FIRST + DAY
+    for interval in ("5m", "1h", "1d"):
+        assert _silver(spark, root, interval) == _batch(final, interval, reached)
+    assert spark.read.parquet(f"{root}/changes").groupBy("batch").count().count() == 4
+    fixed = f"{tmp_path}/fixed"
+    _bars_to_silver(_bar_stream(spark, bars, path), fixed, f"{tmp_path}/check2", revise=False)
+    assert _silver(spark, fixed, "1h") != _batch(final, "1h", reached)
+
+
+def test_stream_forgets_old_rows(spark, tmp_path):
+    """State and recent panes end some days behind the newest row; a row beyond that changes nothing."""
+    bars = fixtures.klines(spark, SF.replace("0.001", "0.01")).where(F.col("open_time") < FIRST + 9 * DAY).orderBy("open_time")
+    rows = [r.asDict() for r in bars.collect()]
+    path, root = f"{tmp_path}/in", f"{tmp_path}/silver"
+    for n in range(3):
+        _write(path, [r for r in rows if n * 3 * DAY <= r["open_time"] - FIRST < (n + 1) * 3 * DAY and r != rows[7]], n)
+    _write(path, [rows[7]], 3)
+    _bars_to_silver(_bar_stream(spark, bars, path), root, f"{tmp_path}/check")
+    kept = spark.read.parquet(f"{root}/recent").agg(F.min("pane")).first()[0]
+    assert kept >= rows[-1]["open_time"] - 4 * DAY
+    reached = spark.read.parquet(f"{root}/state").agg(F.max("reached")).first()[0]
+    without = spark.createDataFrame([r for r in rows if r != rows[7]], bars.schema)
+    for interval in ("5m", "1d"):
+        assert _silver(spark, root, interval) == _batch(without, interval, reached)
+    held = spark.read.format("statestore").option("stateVarName", "rows").option("flattenCollectionTypes", True).load(f"{tmp_path}/check")
+    assert 0 < held.count() < len(rows) / 2
+
+
+def test_warm_start_equals_a_run_from_the_beginning(spark, tmp_path):
+    bars = fixtures.klines(spark, SF.replace("0.001", "0.01")).where(F.col("open_time") < FIRST + 3 * DAY).orderBy("open_time")
+    rows = [r.asDict() for r in bars.collect()]
+    cut = FIRST + 2 * DAY + 12_345_678
+    before, after = [r for r in rows if r["open_time"] < cut and r != rows[-200]], [r for r in rows if r["open_time"] >= cut]
+    after = [*after, rows[-200]] if rows[-200]["open_time"] < cut else after  # a late row of the days before
+    all_along, warm = f"{tmp_path}/all", f"{tmp_path}/warm"
+    _write(f"{tmp_path}/one", before, 0)
+    _write(f"{tmp_path}/one", after, 1)
+    _write(f"{tmp_path}/two", after, 0)
+    _bars_to_silver(_bar_stream(spark, bars, f"{tmp_path}/one"), all_along, f"{tmp_path}/c1")
+    _bars_to_silver(_bar_stream(spark, bars, f"{tmp_path}/two"), warm, f"{tmp_path}/c2", initial=spark.createDataFrame(before, bars.schema))
+    for interval in ("5m", "1h", "1d"):
+        whole, got = _silver(spark, all_along, interval), _silver(spark, warm, interval)
+        assert got.items() <= whole.items() and {k for k in whole if k[1] > cut} <= got.keys()
