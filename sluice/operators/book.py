@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 MINUTE, DAY = 60_000, 86_400_000
 #: Levels a side that a snapshot keeps.
@@ -19,6 +20,29 @@ def top_levels(levels, side: str, k: int = TOP):
     return F.slice(F.sort_array(positive, asc=side == "ask"), 1, k)
 
 
+#: Height of the tree over a day's minutes: nodes of 1 to 1,024 minutes.
+HEIGHT = 11
+
+
+def _books_of_nodes(held: DataFrame, top: int) -> DataFrame:
+    """(symbol, dt, ts, asks, bids) of levels (symbol, dt, side, price, size) that are valid at the minutes from lo to hi (ms)."""
+    minute = lambda c: ((F.col(c) - F.col("dt")) / MINUTE).cast("bigint")
+    nodes = []
+    for h in range(HEIGHT):
+        size = 1 << h
+        left, right = F.floor((minute("lo") + size - 1) / size), F.floor((minute("hi") + 1) / size)
+        node = lambda n: F.struct(F.lit(h).alias("h"), n.alias("n"))  # noqa: B023, E731
+        nodes += [F.when((left < right) & (left % 2 == 1), node(left)), F.when((left < right) & (right % 2 == 1), node(right - 1))]
+    spread = held.select("symbol", "dt", "side", "price", "size", F.explode(F.array_compact(F.array(*nodes))).alias("node"))
+    best = Window.partitionBy("symbol", "dt", "side", "node").orderBy(F.when(F.col("side") == "ask", F.col("price")).otherwise(-F.col("price")))
+    kept = spread.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    lists = kept.groupBy("symbol", "dt", "side", "node").agg(F.collect_list(F.struct("price", "size")).alias("levels"))
+    size = F.expr("shiftleft(1L, node.h)")
+    minutes = F.sequence(F.col("node.n") * size, F.least((F.col("node.n") + 1) * size - 1, F.lit(DAY // MINUTE - 1)))
+    at = lists.select("symbol", "dt", "side", "levels", F.explode(minutes).alias("m"))
+    return at.groupBy("symbol", "dt", (F.col("dt") + F.col("m") * MINUTE).alias("ts")).agg(*[top_levels(F.flatten(F.collect_list(F.when(F.col("side") == s, F.col("levels")))), s, top).alias(f"{s}s") for s in ("ask", "bid")])
+
+
 def minute_books(messages: DataFrame, top: int = TOP) -> DataFrame:
     """(symbol, dt, ts, asks, bids): 1,440 books a day, each made of the messages before its minute.
 
@@ -26,8 +50,9 @@ def minute_books(messages: DataFrame, top: int = TOP) -> DataFrame:
     (price, size)). A snapshot replaces the book, an update sets levels or deletes those of size 0. Minutes
     before the first book hold the first one; a day without a snapshot in time has none.
 
-    A level is valid from its message to the next one for its price or the next snapshot; validity meets the
-    minutes it covers, so books of a day are built in parallel and nothing runs through the messages in order.
+    A level is valid from its message to the next one for its price or the next snapshot. The minutes it covers are at most 20 nodes of a binary
+    tree over the day's minutes; a node keeps its ``top`` best levels a side, and a minute's book comes from the eleven nodes above it. So
+    a level that stands all day costs a few rows and not 1,440, a book is never gathered whole, and nothing runs through the messages in order.
     """
     day = F.floor(F.col("ts") / DAY) * DAY
     rows = messages.withColumn("dt", day)
@@ -44,8 +69,7 @@ def minute_books(messages: DataFrame, top: int = TOP) -> DataFrame:
     last = F.least(F.floor(F.col("end") / MINUTE) * MINUTE, F.col("dt") + DAY - MINUTE)
     begins = rows.where(F.col("action") == "snapshot").groupBy("symbol", "dt").agg((F.floor(F.min("ts") / MINUTE) * MINUTE + MINUTE).alias("begin")).where(F.col("begin") < F.col("dt") + DAY)
     held = valid.join(begins, ["symbol", "dt"]).withColumn("lo", F.greatest(first, F.col("begin"))).withColumn("hi", last).where("lo <= hi")
-    at = held.select("symbol", "dt", F.explode(F.sequence("lo", "hi", F.lit(MINUTE))).alias("ts"), "side", F.struct("price", "size").alias("level"))
-    books = at.groupBy("symbol", "dt", "ts").agg(*[top_levels(F.collect_list(F.when(F.col("side") == s, F.col("level"))), s, top).alias(f"{s}s") for s in ("ask", "bid")])
+    books = _books_of_nodes(held, top)
     grid = begins.select("symbol", "dt", "begin", F.explode(F.sequence("dt", F.col("dt") + DAY - MINUTE, F.lit(MINUTE))).alias("minute")).withColumn("ts", F.greatest("minute", "begin"))
     none = F.array().cast("array<struct<price:double,size:double>>")
     return grid.join(books, ["symbol", "dt", "ts"], "left").select("symbol", "dt", F.col("minute").alias("ts"), F.coalesce("asks", none).alias("asks"), F.coalesce("bids", none).alias("bids"))
@@ -88,39 +112,70 @@ def minute_books_by_day(messages: DataFrame, top: int = TOP) -> DataFrame:
     return rows.groupBy("symbol", "dt").applyInPandas(run, f"symbol string, dt bigint, ts bigint, asks {level}, bids {level}")
 
 
-def live_books(messages: DataFrame, top: int = TOP) -> DataFrame:
-    """(symbol, ts, asks, bids) of a stream of messages: a book at each minute that had messages.
+class LiveBook(StatefulProcessor):
+    """One symbol's book as state, a row a price; a message touches its own levels alone."""
 
-    As a live feed does it: a minute's book holds the deltas through its end, is emitted when a message of a later
-    minute comes, is labelled with the finished minute; a snapshot doesn't reset the book and silent minutes
-    have none. State is one book a symbol. Messages come in order of ts, seq within a trigger.
-    """
-    level = "array<struct<price:double,size:double>>"
-    state = "minute bigint, side array<string>, price array<double>, size array<double>"
-
-    def fold(key: tuple, parts: Iterator[pd.DataFrame], group) -> Iterator[pd.DataFrame]:
-        minute, book = None, {"bids": {}, "asks": {}}
-        if group.exists:
-            minute, side, price, size = group.get
-            for s, p, z in zip(side, price, size):
-                book[s][p] = z
-        out = []
-        for row in pd.concat(list(parts)).sort_values(["ts", "seq"], kind="stable").itertuples():
+    def __init__(self, top: int, silent: bool) -> None:
+        self.top, self.silent = top, silent
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.levels = handle.getMapState("levels", "side string, price double", "size double")
+        self.minute = handle.getValueState("minute", "minute bigint")
+
+    def _shot(self) -> tuple[list, list]:
+        book: dict[str, list] = {"asks": [], "bids": []}
+        for (side, price), (size,) in self.levels.iterator():
+            book[side].append({"price": price, "size": size})
+        return tuple(sorted(book[s], key=lambda x: x["price"], reverse=s == "bids")[: self.top] for s in ("asks", "bids"))
+
+    def _frame(self, symbol: str, out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({"symbol": [symbol] * len(out), "ts": [x[0] for x in out], "asks": [x[1] for x in out], "bids": [x[2] for x in out]})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        minute, out = self.minute.get()[0] if self.minute.exists() else None, []
+        for row in pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable").itertuples():
             now = int(row.ts) // MINUTE * MINUTE
             if minute is not None and now > minute:
-                out.append((minute, *([{"price": p, "size": book[s][p]} for p in sorted(book[s], reverse=s == "bids")[:top]] for s in ("asks", "bids"))))
+                shot = self._shot()
+                out += [(m, *shot) for m in range(minute, now if self.silent else minute + 1, MINUTE)]
             minute = now if minute is None else max(minute, now)
-            for s in ("bids", "asks"):
-                for x in getattr(row, s):
+            for side in ("bids", "asks"):
+                for x in getattr(row, side):
                     if x["size"] > 0:
-                        book[s][x["price"]] = x["size"]
+                        self.levels.updateValue((side, float(x["price"])), (float(x["size"]),))
                     else:
-                        book[s].pop(x["price"], None)
-        flat = [(s, p, z) for s in book for p, z in book[s].items()]
-        group.update((minute, [x[0] for x in flat], [x[1] for x in flat], [x[2] for x in flat]))
-        yield pd.DataFrame({"symbol": key[0], "ts": [x[0] for x in out], "asks": [x[1] for x in out], "bids": [x[2] for x in out]})
+                        self.levels.removeKey((side, float(x["price"])))
+        self.minute.update((minute,))
+        if self.silent:
+            self.handle.registerTimer(minute + MINUTE)
+        yield self._frame(key[0], out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        minute, end = self.minute.get()[0], timerValues.getCurrentWatermarkInMs() // MINUTE * MINUTE
+        if minute + MINUTE <= end:  # else messages have come since the timer was set
+            shot = self._shot()
+            yield self._frame(key[0], [(m, *shot) for m in range(minute, end, MINUTE)])
+            self.minute.update((end,))
+            self.handle.registerTimer(end + MINUTE)
+
+    def close(self) -> None:
+        pass
+
 
-    return messages.groupBy("symbol").applyInPandasWithState(fold, f"symbol string, ts bigint, asks {level}, bids {level}", state, "append", "NoTimeout")
+def live_books(messages: DataFrame, top: int = TOP, silent: bool = False, delay: str = "0 seconds") -> DataFrame:
+    """(symbol, ts, asks, bids) of a stream of messages: a book at each minute that had messages.
+
+    As a live feed does it: a minute's book holds the deltas through its end, is emitted when a message of a later
+    minute comes, is labelled with the finished minute; a snapshot doesn't reset the book. With ``silent`` minutes without
+    messages have a book too, and a minute is emitted as soon as event time, ``delay`` behind the newest message of any symbol, has passed it; messages
+    later than that are dropped. State is a row for each price of a book. Messages come in order of ts, seq within a trigger.
+    """
+    messages.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    level = "array<struct<price:double,size:double>>"
+    if silent:
+        messages = messages.withColumn("_time", F.timestamp_millis("ts")).withWatermark("_time", delay)
+    return messages.groupBy("symbol").transformWithStateInPandas(LiveBook(top, silent), f"symbol string, ts bigint, asks {level}, bids {level}", "append", "EventTime" if silent else "None")
 
 
 def snapshot_rows(books: DataFrame) -> DataFrame:

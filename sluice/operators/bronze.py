@@ -73,18 +73,50 @@ def missing_dates(existing: DataFrame, date: str, first: str, last: str, period:
     return wanted.join(existing.select(date).distinct(), date, "left_anti")
 
 
+def _judged(raw: DataFrame, columns: dict[str, Column], needed: list[str]) -> DataFrame:
+    """The raw columns (as ``raw``), the parsed ones, and ``reason``: the first needed column that doesn't parse, null of good rows."""
+    reason = F.coalesce(*[F.when(columns[c].isNull(), F.lit(c)) for c in needed])
+    return raw.select(F.struct(*[F.col(f"`{c}`") for c in raw.columns]).alias("raw"), *[x.alias(c) for c, x in columns.items()], reason.alias("reason"))
+
+
+def judged_trades(raw: DataFrame) -> DataFrame:
+    """Trades from an exchange's strings (instId, tradeId, side, px, sz, ts), good and bad: see _judged."""
+    columns = {"instrument_name": F.col("instId"), "trade_id": F.col("tradeId").try_cast("bigint"), "side": F.col("side"), "price": F.col("px").try_cast("double"), "size": F.col("sz").try_cast("double"), "created_time": F.col("ts").try_cast("bigint")}
+    return _judged(raw, columns, ["trade_id", "price", "size", "created_time"])
+
+
+def judged_klines(raw: DataFrame, column: str = "candle") -> DataFrame:
+    """Bars from arrays [ts, open, high, low, close, ..] of strings, good and bad."""
+    names = ["open_time", "open", "high", "low", "close"]
+    return _judged(raw, {n: F.get(column, F.lit(k)).try_cast("bigint" if k == 0 else "double") for k, n in enumerate(names)}, names)
+
+
+def judged_funding(raw: DataFrame) -> DataFrame:
+    """Rates from strings (instId, fundingRate, fundingTime), good and bad."""
+    columns = {"instrument_name": F.col("instId"), "funding_rate": F.col("fundingRate").try_cast("double"), "funding_time": F.col("fundingTime").try_cast("bigint")}
+    return _judged(raw, columns, ["funding_rate", "funding_time"])
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """Good rows, parsed."""
+    return judged.where("reason IS NULL").drop("raw", "reason")
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    """(reason, raw) of the rows that don't parse, as JSON."""
+    return judged.where("reason IS NOT NULL").select("reason", F.to_json("raw").alias("raw"))
+
+
 def normalise_trades(raw: DataFrame) -> DataFrame:
-    """Trades from an exchange's strings (instId, tradeId, side, px, sz, ts); rows that don't parse are left out."""
-    out = raw.select(F.col("instId").alias("instrument_name"), F.col("tradeId").try_cast("bigint").alias("trade_id"), "side", F.col("px").try_cast("double").alias("price"), F.col("sz").try_cast("double").alias("size"), F.col("ts").try_cast("bigint").alias("created_time"))
-    return out.dropna(subset=["trade_id", "price", "size", "created_time"])
+    """Trades from an exchange's strings; rows that don't parse are left out (see rejected)."""
+    return accepted(judged_trades(raw))
 
 
 def normalise_klines(raw: DataFrame, column: str = "candle") -> DataFrame:
-    """Bars from arrays [ts, open, high, low, close, ..] of strings; rows that don't parse are left out."""
-    names = ("open_time", "open", "high", "low", "close")
-    return raw.select(*[F.get(column, F.lit(k)).try_cast("bigint" if k == 0 else "double").alias(n) for k, n in enumerate(names)]).dropna()
+    """Bars from arrays of strings; rows that don't parse are left out."""
+    return accepted(judged_klines(raw, column))
 
 
 def normalise_funding(raw: DataFrame) -> DataFrame:
-    out = raw.select(F.col("instId").alias("instrument_name"), F.col("fundingRate").try_cast("double").alias("funding_rate"), F.col("fundingTime").try_cast("bigint").alias("funding_time"))
-    return out.dropna(subset=["funding_rate", "funding_time"])
+    """Rates from strings; rows that don't parse are left out."""
+    return accepted(judged_funding(raw))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import stats as S
-from sluice.functions.timeutil import STEP_MS, cover_windows, interval_ms, wall_clock, with_previous, with_units
+from sluice.functions.ranks import pivoted, window_ranks
+from sluice.functions.timeutil import STEP_MS, cover_windows, interval_ms, next_boundary, wall_clock, with_previous, with_units
 
 EPSILON = 1e-9
 
@@ -62,21 +63,22 @@ def book_windows(books: DataFrame, interval: str, first_end: int | None = None,
     """One row for each symbol and window with snapshots: symbol, timestamp_dt, ts_ms and 77 columns.
 
     ``books`` has symbol, ts (ms), action, asks, bids. Snapshots of one instant go by their levels' text. Snapshots are
-    reduced to panes and hour blocks first; only the values that quantiles need come to a window one for each snapshot.
+    reduced to panes and hour blocks first; the values that quantiles need go to the days of their windows (see functions.ranks).
     """
     t, end, span = F.col("ts"), F.col("unit_end"), interval_ms(interval)
     features = book_features(books)
     kept = ["symbol", "ts", "_tie", *(f for f, _ in STATISTICS.values())]
     ready = features.withColumn("_tie", F.xxhash64("bids", "asks")).select(*kept)
+    plain = ready
     ready = with_previous(ready, ["symbol"], "ts", ["ts", "_tie"], {"p_time": "ts"})
     if first_end is not None:
-        ready = ready.where(t >= first_end - span)
+        ready, plain = ready.where(t >= first_end - span), plain.where(t >= first_end - span)
     if last_end is not None:
-        ready = ready.where(t < last_end)
+        ready, plain = ready.where(t < last_end), plain.where(t < last_end)
     order, start = F.struct("ts", "_tie"), F.col("ts_ms") - span
     taken = {"_rows": F.count(F.lit(1)), "_last_time": F.max(t)}  # of a unit's snapshots
     merged = {"snapshot_count": F.sum("_rows"), "last_update_time_ms": F.max("_last_time")}  # of a window's units
-    series, out = [], {}
+    series, out, ranks = [], {}, {}
     for prefix, (feature, kinds) in STATISTICS.items():
         m, x = S.Moments(prefix, shape="skew" in kinds), F.col(feature)
         series.append(m)
@@ -91,9 +93,8 @@ def book_windows(books: DataFrame, interval: str, first_end: int | None = None,
                 by_unit = {"sum": F.sum(f"_{name}"), "first": F.min_by(f"_{name}", end), "last": F.max_by(f"_{name}", end)}
                 taken[f"_{name}"], merged[name], out[name] = by_row[kind], by_unit[kind], F.col(name)
             else:
-                taken[f"_{prefix}_values"] = F.collect_list(x)
-                merged[f"_{prefix}_values"] = F.sort_array(F.flatten(F.collect_list(f"_{prefix}_values")))
-                out[name] = S.nearest_rank(F.col(f"_{prefix}_values"), float(kind))
+                ranks[name] = (prefix, f"q_n_{kind}")
+                out[name] = F.col(f"`{name}`")
     # of a unit's snapshots only the first has its predecessor outside; the gap counts where that one is in the window
     gap, inner, rate = (t - F.col("p_time")).cast("double"), F.col("p_time") >= end - F.col("unit"), S.Moments("gap")
     taken |= rate.taken(F.when(inner, gap)) | {"_gap_before": F.max(F.when(~inner, F.col("p_time"))), "_gap_edge": F.max(F.when(~inner, gap))}
@@ -119,4 +120,9 @@ def book_windows(books: DataFrame, interval: str, first_end: int | None = None,
     rows = rows.withColumns({n: c for m in series for n, c in m.centre(window).items()})
     merged |= {n: c for m in series for n, c in m.merged().items()}
     windows = rows.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in merged.items()])
+    values = F.explode(F.array(*[F.struct(F.lit(p).alias("name"), F.col(STATISTICS[p][0]).alias("value")) for p in sorted({p for p, _ in ranks.values()})]))
+    counts = plain.select("symbol", next_boundary(t).alias("pane"), values.alias("v")).groupBy("symbol", "pane", "v.name", "v.value").agg(F.count(F.lit(1)).alias("n"))
+    quantiles = tuple(k for k in _ALL if k.startswith("0."))
+    found = pivoted(window_ranks(counts, ["n"], quantiles, interval, first_end, last_end), ranks).withColumnsRenamed({"symbol": "_symbol", "ts_ms": "_ts_ms"})
+    windows = windows.join(found, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("ts_ms") == F.col("_ts_ms")), "left")
     return windows.select("symbol", wall_clock(F.col("ts_ms")).alias("timestamp_dt"), "ts_ms", *[c.alias(n) for n, c in out.items()])

@@ -25,15 +25,26 @@ def expected_ends(spark, start_ms: int, now_ms: int, step_ms: int = STEP_MS) ->
     return spark.range(start_ms, now_ms + 1, step_ms).select(F.col("id").alias("ts_ms"))
 
 
+#: Windows whose presence is one mask.
+MASK = 48
+
+
 def missing_ends(table: DataFrame, start_ms: int, now_ms: int, rule: str = "all_non_null", keys: tuple[str, ...] = (), of: DataFrame | None = None) -> DataFrame:
     """(keys, ts_ms) that are expected but not complete. ``now_ms`` is an argument, so a run can be repeated.
 
-    With ``keys`` (such as the symbol) every window is expected of each key in ``of``, or else in the table.
+    With ``keys`` (such as the symbol) every window is expected of each key in ``of``, or else in the table. Complete windows are bits of a mask,
+    one for each key and MASK windows; only masks meet what is expected, and rows are made of missing windows alone.
     """
-    expected = expected_ends(table.sparkSession, start_ms, now_ms)
-    if keys:
-        expected = (table if of is None else of).select(*keys).distinct().crossJoin(expected)
-    return expected.join(complete_ends(table, rule, keys), [*keys, "ts_ms"], "left_anti")
+    number = (now_ms - start_ms) // STEP_MS + 1
+    slot = (F.col("ts_ms") - start_ms) / STEP_MS
+    ends = complete_ends(table, rule, keys).where(F.col("ts_ms").between(start_ms, now_ms) & ((F.col("ts_ms") - start_ms) % STEP_MS == 0)).withColumn("_slot", slot.cast("bigint"))
+    masks = ends.groupBy(*keys, F.expr(f"_slot DIV {MASK}").alias("_block")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(_slot % {MASK} AS int))")).alias("_mask"))
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.lit((number - 1) // MASK).cast("bigint")) if number > 0 else F.array().cast("array<bigint>")
+    named = (table if of is None else of).select(*keys).distinct() if keys else table.sparkSession.range(1).select()
+    expected = named.select(*keys, F.explode(blocks).alias("_block"))
+    joined = expected.join(masks, [*keys, "_block"], "left")
+    absent = F.filter(F.sequence(F.lit(0), F.lit(MASK - 1)), lambda i: (F.getbit(F.coalesce("_mask", F.lit(0).cast("bigint")), i) == 0) & (F.col("_block") * MASK + i < number))
+    return joined.select(*keys, "_block", F.explode(absent).alias("_bit")).select(*keys, ((F.col("_block") * MASK + F.col("_bit")) * STEP_MS + start_ms).alias("ts_ms"))
 
 
 def pending_ends(wanted: DataFrame, existing: DataFrame) -> DataFrame:

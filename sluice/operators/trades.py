@@ -1,8 +1,8 @@
 """Trade features over hop windows: 91 columns a window.
 
-Trades are reduced to panes of five minutes and blocks of an hour, from which windows are put together: one row a unit
-for all that merges, and one row for each different value of a unit for quantiles and distinct counts. So a busy symbol costs
-no more rows a window than its units and its different values, and no window's trades are held together.
+Trades are reduced to panes of five minutes and blocks of an hour, from which windows are put together, for all that merges. Quantiles and
+distinct counts come from values counted by pane, which go to the days of their windows (see functions.ranks): two rows at most, whatever
+the number of windows. So a busy symbol costs no more rows a window than its units, and no window's trades are held together.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import stats as S
-from sluice.functions.timeutil import STEP_MS, cover_windows, interval_ms, wall_clock, with_previous, with_units
+from sluice.functions.ranks import pivoted, window_ranks
+from sluice.functions.timeutil import STEP_MS, cover_windows, interval_ms, next_boundary, wall_clock, with_previous, with_units
 
 SIDES = {"trade": None, "buy": "buy", "sell": "sell"}
 QUANTILES = ("0.25", "0.50", "0.75")
@@ -31,28 +32,13 @@ def _of(side: str, x: Column) -> Column:
     return x if SIDES[side] is None else F.when(F.col("side") == side, x)
 
 
-def _value_ranks(units: DataFrame, names: list[str], interval: str, first_end: int | None, last_end: int | None) -> DataFrame:
-    """Quantiles by nearest rank, and distinct values (null is one), of each window and side.
-
-    Different values of a unit are counted, counts of equal values of a window added, and ranks found by a running
-    sum in order of value, which Spark sorts on disk if it must. All steps after the cover share one shuffle.
-    """
+def _value_ranks(trades: DataFrame, names: list[str], interval: str, first_end: int | None, last_end: int | None) -> DataFrame:
+    """Quantiles by nearest rank, and distinct values (null is one), of each window and side."""
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names]))
-    counts = units.select("symbol", "unit", "unit_end", "side", pairs.alias("v")).groupBy("symbol", "unit", "unit_end", "v.name", "v.value")
-    counts = counts.agg(*[F.count(_of(s, F.lit(1))).alias(f"n_{s}") for s in SIDES])
-    covered = cover_windows(counts, interval, STEP_MS, first_end, last_end).repartition("symbol", "ts_ms")
-    merged = covered.groupBy("symbol", "ts_ms", "name", "value").agg(*[F.sum(f"n_{s}").alias(f"n_{s}") for s in SIDES])
-    whole = Window.partitionBy("symbol", "ts_ms", "name")
-    ordered = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    valued = lambda s: F.when(F.col("value").isNotNull(), F.col(f"n_{s}")).otherwise(0)
-    ranked = merged.withColumns({f"all_{s}": F.sum(valued(s)).over(whole) for s in SIDES} | {f"to_{s}": F.sum(valued(s)).over(ordered) for s in SIDES})
-    out = {}
-    for name in names:
-        for s in SIDES:
-            here, size = F.col("name") == name, F.col(f"all_{s}")
-            out |= {f"{name}_{q}_{s}": F.min(F.when(here & (size > 0) & (F.col(f"to_{s}") > F.round(F.lit(float(q)) * (size - 1))), F.col("value"))) for q in QUANTILES}
-            out[f"nunique_{name}_{s}"] = F.count(F.when(here & (F.col(f"n_{s}") > 0), 1))
-    return ranked.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in out.items()])
+    panes = trades.select("symbol", next_boundary(F.col("created_time")).alias("pane"), "side", pairs.alias("v"))
+    counts = panes.groupBy("symbol", "pane", "v.name", "v.value").agg(*[F.count(_of(s, F.lit(1))).alias(s) for s in SIDES])
+    columns = {f"{n}_{q}_{s}": (n, f"q_{s}_{q}") for n in names for s in SIDES for q in QUANTILES} | {f"nunique_{n}_{s}": (n, f"nunique_{s}") for n in names for s in SIDES}
+    return pivoted(window_ranks(counts, list(SIDES), QUANTILES, interval, first_end, last_end), columns)
 
 
 def trade_windows(trades: DataFrame, interval: str, groups: tuple[str, ...] = GROUPS, first_end: int | None = None, last_end: int | None = None) -> DataFrame:
@@ -64,12 +50,13 @@ def trade_windows(trades: DataFrame, interval: str, groups: tuple[str, ...] = GR
     ready = trades.withColumn("turnover", F.col("price") * F.col("size"))
     if {"ticks", "rate"} & set(groups):
         ready = prepare_trades(trades)
+    plain = trades
     t, end, order = F.col("created_time"), F.col("unit_end"), F.struct("created_time", "trade_id")
     span = interval_ms(interval)
     if first_end is not None:
-        ready = ready.where(t >= first_end - span)
+        ready, plain = ready.where(t >= first_end - span), plain.where(t >= first_end - span)
     if last_end is not None:
-        ready = ready.where(t < last_end)
+        ready, plain = ready.where(t < last_end), plain.where(t < last_end)
     units = with_units(ready, t, interval)
     unit_start, start = end - F.col("unit"), F.col("ts_ms") - span
     taken: dict[str, Column] = {"_rows": F.count(F.lit(1))}  # of a unit's trades
@@ -137,7 +124,7 @@ def trade_windows(trades: DataFrame, interval: str, groups: tuple[str, ...] = GR
     windows = rows.groupBy("symbol", "ts_ms").agg(*[c.alias(n) for n, c in merged.items()])
     windows = windows.select("symbol", "ts_ms", *[c.alias(n) for n, c in out.items()])
     if valued:
-        ranks = _value_ranks(units, valued, interval, first_end, last_end).withColumnsRenamed({"symbol": "_symbol", "ts_ms": "_ts_ms"})
+        ranks = _value_ranks(plain, valued, interval, first_end, last_end).withColumnsRenamed({"symbol": "_symbol", "ts_ms": "_ts_ms"})
         windows = windows.join(ranks, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("ts_ms") == F.col("_ts_ms")), "left").drop("_symbol", "_ts_ms")
     keep = [c for c in windows.columns if c not in ("symbol", "ts_ms")]
     return windows.select("symbol", wall_clock(F.col("ts_ms")).alias("timestamp_dt"), "ts_ms", *[F.col(f"`{c}`") for c in keep])

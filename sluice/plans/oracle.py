@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-FIRST, LAST, STEP, DAY = 1_704_067_200_000, 1_706_659_200_000, 300_000, 86_400_000
+FIRST, STEP, DAY = 1_704_067_200_000, 300_000, 86_400_000
 MS = {"5m": 300_000, "15m": 900_000, "1h": 3_600_000, "4h": 14_400_000, "1d": 86_400_000}
 
 EV = "ev AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS t, CAST(regexp_extract(props, '(-?[0-9]+)', 1) AS BIGINT) AS k, 'U' || (user_id % 2) AS symbol FROM events)"
@@ -11,7 +11,7 @@ TR = EV + """, tr0 AS (SELECT symbol, event_id AS id, CASE WHEN event_type IN ('
 tr AS (SELECT *, price * size AS turnover, lag(t) OVER s AS p_t, lag(price) OVER s AS p_price, lag(t) OVER ss AS p_st FROM tr0
   WINDOW s AS (PARTITION BY symbol ORDER BY t, id), ss AS (PARTITION BY symbol, side ORDER BY t, id))"""
 KL = EV + ", kl AS (SELECT symbol, t // 60000 * 60000 AS open_time, arg_min(value, (t, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (t, event_id)) AS close FROM ev GROUP BY ALL)"
-FU = "fu AS (SELECT 'U' AS instrument_name, arg_min(value, event_id) / 1e4 AS funding_rate, t // 28800000 * 28800000 AS funding_time FROM ev WHERE event_id % 97 = 0 GROUP BY t // 28800000)"
+FU = "fu AS (SELECT 'U' AS instrument_name, arg_min(value, event_id) / 1e4 AS funding_rate, t // 28800000 * 28800000 AS funding_time FROM ev GROUP BY t // 28800000)"
 OB = f"""li AS (SELECT l_orderkey, l_linestatus, l_extendedprice AS p, l_quantity AS q, l_linenumber AS a, l_partkey AS b, l_suppkey AS c FROM lineitem),
 ob AS (SELECT 'BOOK' AS symbol, o_orderkey AS id, ((epoch_ms(o_orderdate) // {DAY}) % 30 + 30) % 30 * {DAY} + {FIRST} + (o_orderkey % 86400) * 1000 AS ts,
   coalesce(asks, []) AS asks, coalesce(bids, []) AS bids FROM orders JOIN (SELECT l_orderkey,
@@ -33,8 +33,8 @@ def r(expression: str, name: str, digits: int = 4) -> str:
 
 
 def windows(t: str, interval: str) -> str:
-    """Ends of the windows that hold t, within the span."""
-    return f"unnest(generate_series(greatest({t} // {STEP} * {STEP} + {STEP}, {FIRST}), least(({t} + {MS[interval]}) // {STEP} * {STEP}, {LAST}), {STEP}))"
+    """Ends of the windows that hold t."""
+    return f"unnest(generate_series({t} // {STEP} * {STEP} + {STEP}, ({t} + {MS[interval]}) // {STEP} * {STEP}, {STEP}))"
 
 
 def skew(x: str) -> str:
@@ -134,7 +134,9 @@ MISPLACED = EV + f", mi AS (SELECT event_id, symbol, t, value, strftime(make_tim
 DATED = TR + ", d AS (SELECT symbol, t, strftime(make_timestamp(t * 1000), '%Y-%m-%d') AS dt FROM tr0)"
 INTERNAL = "gi AS (SELECT symbol, dt, t, lead(t) OVER (PARTITION BY symbol, dt ORDER BY t) AS nx FROM d)"
 BOUNDARY = "fl AS (SELECT symbol, dt, min(t) AS lo, max(t) AS hi FROM d GROUP BY symbol, dt), gb AS (SELECT *, lead(lo) OVER (PARTITION BY symbol ORDER BY dt) AS nx, lead(dt) OVER (PARTITION BY symbol ORDER BY dt) AS nd FROM fl)"
-MISSING = f"{KL}, {bars('5m')}, mis AS (SELECT symbol, ts_ms FROM (SELECT DISTINCT symbol FROM b), unnest(generate_series({FIRST}, {LAST}, {STEP})) x(ts_ms) EXCEPT SELECT symbol, ts_ms FROM b)"
+SPAN = f"sp AS (SELECT min(open_time + 60000) // {STEP} * {STEP} + {STEP} AS lo, max(open_time + 60000) // {STEP} * {STEP} + {STEP} AS hi FROM kl)"
+EXPECTED = f"SELECT symbol, ts_ms FROM (SELECT DISTINCT symbol, lo, hi FROM b, sp), unnest(generate_series(lo, hi, {STEP})) x(ts_ms)"
+MISSING = f"{KL}, {bars('5m')}, {SPAN}, mis AS ({EXPECTED} EXCEPT SELECT symbol, ts_ms FROM b)"
 
 
 def propagated(cascade: bool) -> str:
@@ -142,7 +144,7 @@ def propagated(cascade: bool) -> str:
     for k, target in enumerate(names[1:], 1):
         sources = names[:k] if cascade else names[:1]
         union = " UNION ".join(f"SELECT symbol, unnest(generate_series(ts_ms, ts_ms + {MS[target] - STEP}, {STEP})) AS ts_ms FROM s_{s}" for s in sources)
-        parts.append(f"s_{target} AS (SELECT DISTINCT symbol, ts_ms FROM ({union}) WHERE ts_ms <= {LAST})")
+        parts.append(f"s_{target} AS (SELECT DISTINCT symbol, ts_ms FROM ({union}) WHERE ts_ms <= (SELECT hi FROM sp))")
     return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT symbol, '{i}' AS \"interval\", ts_ms FROM s_{i}" for i in names)
 
 
@@ -178,10 +180,19 @@ def oracle_sql() -> dict[str, str]:
     sql["gaps_boundary"] = f"WITH {DATED}, {BOUNDARY} SELECT symbol, dt AS after, nd AS before, 'boundary' AS type, hi + 1 AS start, nx - 1 AS \"end\", {hours.format('hi')} FROM gb WHERE nx - hi > 60000"
     sql["gap_counts"] = f"WITH {DATED}, {INTERNAL}, {BOUNDARY}, u AS (SELECT 'internal' AS type, (nx - t) / 3600000 AS h FROM gi WHERE nx - t > 60000 UNION ALL SELECT 'boundary', (nx - hi) / 3600000 FROM gb WHERE nx - hi > 60000) SELECT type, count(*) AS gaps, {r('sum(h)', 'hours', 2)} FROM u GROUP BY type"
     sql["complete_days"] = f"WITH {KL} SELECT symbol, strftime(make_timestamp(open_time * 1000), '%Y-%m-%d') AS dt, count(*) AS n, count(*) = 1440 AS complete FROM kl GROUP BY ALL"
+    messages = "tm AS (SELECT *, CASE WHEN event_type = 'error' THEN 'price' WHEN k = 13 THEN 'created_time' END AS reason FROM ev), cm AS (SELECT *, CASE WHEN high = low THEN 'low' END AS reason FROM kl), fm AS (SELECT *, CASE WHEN funding_rate < 1e-3 THEN 'funding_rate' END AS reason FROM fu)"
+    M = f"WITH {KL}, {FU}, {messages}"
+    sql["normalised_trades"] = f"{M} SELECT symbol AS instrument_name, event_id AS trade_id, CASE WHEN event_type IN ('purchase', 'click') THEN 'buy' ELSE 'sell' END AS side, {r('value', 'price')}, {r('(k + 1)::DOUBLE', 'size')}, t AS created_time FROM tm WHERE reason IS NULL"
+    sql["normalised_klines"] = f"{M} SELECT open_time, {', '.join(r(c, c) for c in ('open', 'high', 'low', 'close'))} FROM cm WHERE reason IS NULL"
+    sql["normalised_funding"] = f"{M} SELECT instrument_name, {r('funding_rate', 'funding_rate', 8)}, funding_time FROM fm WHERE reason IS NULL"
+    sql["rejected_messages"] = M + " " + " UNION ALL ".join(f"SELECT '{kind}' AS kind, reason, count(*) AS rows FROM {t} WHERE reason IS NOT NULL GROUP BY reason" for kind, t in (("trade", "tm"), ("candle", "cm"), ("funding", "fm")))
+    sql["truncated_snapshots"] = f"WITH {DEEP} SELECT id, ts, 50::INT AS n_asks, 50::INT AS n_bids, {r('list_sum(list_transform(asks[1:50], lambda x: x[1]))', 'ask_prices')}, {r('list_sum(list_transform(bids[1:50], lambda x: x[2]))', 'bid_sizes')} FROM ob WHERE id % 7 <> 0"
+    sql["pending_windows"] = f"WITH {KL}, {bars('5m', 'a')}, {bars('1h')} SELECT DISTINCT ts_ms FROM a WHERE ts_ms NOT IN (SELECT ts_ms FROM b WHERE symbol = 'U0' AND std IS NOT NULL)"
     sql["silver_gaps_5m"] = f"WITH {MISSING} SELECT symbol, ts_ms FROM mis"
+    sql["silver_gaps_1h_values"] = f"WITH {KL}, {bars('1h')}, {SPAN} {EXPECTED} EXCEPT SELECT symbol, ts_ms FROM b WHERE {' AND '.join(f'{c} IS NOT NULL' for c in BAR_COLUMNS)}"
     sql["propagate_gaps_exact"], sql["propagate_gaps_cascade"] = propagated(False), propagated(True)
-    sql["gap_fill_1h"] = f"WITH {MISSING}, st AS (SELECT DISTINCT symbol, ts_ms FROM (SELECT symbol, unnest(generate_series(ts_ms, ts_ms + 3300000, {STEP})) AS ts_ms FROM mis) WHERE ts_ms <= {LAST}), h0 AS (SELECT *, unnest(generate_series((open_time + 60000) // {STEP} * {STEP} + {STEP}, (open_time + 3660000) // {STEP} * {STEP}, {STEP})) AS ts_ms FROM kl), h AS (SELECT {BARS} FROM h0 GROUP BY symbol, ts_ms) SELECT symbol, timestamp_dt, ts_ms, {', '.join(r(c, c) for c in BAR_COLUMNS)} FROM h SEMI JOIN st USING (symbol, ts_ms)"
-    sql["upsert_merge"] = f"WITH {ARRIVALS}, nw AS (SELECT CASE WHEN event_id % 15 = 0 THEN event_id + 1000000000 ELSE event_id END AS event_id, symbol, CASE WHEN event_id % 20 <> 0 THEN value * 2 END AS value, arrival FROM ar WHERE event_id % 5 = 0), u AS (SELECT event_id, symbol, value, -1 AS arrival FROM ev UNION ALL SELECT * FROM nw) SELECT event_id, symbol, {r('value', 'value')}, arrival FROM u QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrival DESC) = 1"
+    sql["gap_fill_1h"] = f"WITH {MISSING}, st AS (SELECT DISTINCT symbol, ts_ms FROM (SELECT symbol, unnest(generate_series(ts_ms, ts_ms + 3300000, {STEP})) AS ts_ms FROM mis) WHERE ts_ms <= (SELECT hi FROM sp)), h0 AS (SELECT *, unnest(generate_series((open_time + 60000) // {STEP} * {STEP} + {STEP}, (open_time + 3660000) // {STEP} * {STEP}, {STEP})) AS ts_ms FROM kl), h AS (SELECT {BARS} FROM h0 GROUP BY symbol, ts_ms) SELECT symbol, timestamp_dt, ts_ms, {', '.join(r(c, c) for c in BAR_COLUMNS)} FROM h SEMI JOIN st USING (symbol, ts_ms)"
+    sql["upsert_merge"] = f"WITH {ARRIVALS}, nw AS (SELECT CASE WHEN event_id % 15 = 0 THEN event_id + 1000000000 ELSE event_id END AS event_id, symbol, CASE WHEN event_id % 20 <> 0 THEN value * 2 END AS value, arrival FROM ar), u AS (SELECT event_id, symbol, value, -1 AS arrival FROM ev UNION ALL SELECT * FROM nw) SELECT event_id, symbol, {r('value', 'value')}, arrival FROM u QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrival DESC) = 1"
     sql["gold_merge"] = _gold()
     sql["funding_ffill"] = f"WITH {MISSING}, {FU} SELECT symbol, ts_ms, {r('close', 'close', 6)}, {r('last_value(funding_rate IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 'funding_rate', 6)} FROM b LEFT JOIN fu ON funding_time = ts_ms"
     sql["funding_asof"] = f"WITH {TR}, {FU} SELECT id AS trade_id, t AS created_time, {r('price', 'price', 6)}, {r('funding_rate', 'funding_rate', 6)} FROM tr0 ASOF LEFT JOIN fu ON t >= funding_time"

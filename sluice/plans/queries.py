@@ -15,7 +15,6 @@ from sluice.operators.trades import trade_windows
 from sluice.sources import fixtures as fx
 
 SYMBOL = ("symbol",)
-SPAN = {"first_end": fx.FIRST_MS, "last_end": fx.LAST_MS}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -29,12 +28,12 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def _klines(interval: str) -> Query:
-    return lambda spark, d: rounded(kline_windows(fx.klines(spark, d), interval, **SPAN))
+    return lambda spark, d: rounded(kline_windows(fx.klines(spark, d), interval))
 
 
 def _trades(interval: str, *groups: str) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
-        return rounded(trade_windows(fx.trades(spark, d), interval, groups or ("volume", "ticks", "price", "size", "rate", "corr", "count"), **SPAN))
+        return rounded(trade_windows(fx.trades(spark, d), interval, groups or ("volume", "ticks", "price", "size", "rate", "corr", "count")))
 
     return query
 
@@ -62,7 +61,7 @@ def ob_features_deep(spark, d):
 
 def _book_windows(interval: str, corr: bool) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
-        out = book_windows(fx.order_books(spark, d), interval, **SPAN)
+        out = book_windows(fx.order_books(spark, d), interval)
         picked = [c for c in out.columns if c.startswith("corr_") == corr and (corr or not c.startswith("timestamp")) or c in ("symbol", "ts_ms")]
         return rounded(out.select(*[F.col(f"`{c}`") for c in picked]))
 
@@ -117,40 +116,80 @@ def gap_counts(spark, d):
     return rounded(bronze.gap_counts(both), 2)
 
 
+def normalised_trades(spark, d):
+    return rounded(bronze.normalise_trades(fx.trade_messages(spark, d)))
+
+
+def normalised_klines(spark, d):
+    return rounded(bronze.normalise_klines(fx.candle_messages(spark, d)))
+
+
+def normalised_funding(spark, d):
+    return rounded(bronze.normalise_funding(fx.funding_messages(spark, d)), 8)
+
+
+def rejected_messages(spark, d):
+    """Messages that don't parse, counted by kind and reason."""
+    judged = {"trade": bronze.judged_trades(fx.trade_messages(spark, d)), "candle": bronze.judged_klines(fx.candle_messages(spark, d)), "funding": bronze.judged_funding(fx.funding_messages(spark, d))}
+    counts = [bronze.rejected(j).groupBy("reason").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(kind).alias("kind"), "reason", "rows") for kind, j in judged.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def truncated_snapshots(spark, d):
+    """Deep books of one side alone, and of both, as messages: the ones with both sides, cut to fifty levels."""
+    from sluice.operators.orderbook import parse_levels
+
+    deep = fx.deep_books(spark, d).select("id", "ts", "action", F.when(F.col("id") % 7 != 0, parse_levels(F.col("asks"))).otherwise(F.array().cast("array<array<double>>")).alias("asks"), parse_levels(F.col("bids")).alias("bids"))
+    kept = book.truncate_snapshots(deep)
+    total = lambda c, k: F.aggregate(c, F.lit(0.0), lambda s, x: s + F.get(x, F.lit(k)))
+    return rounded(kept.select("id", "ts", F.size("asks").alias("n_asks"), F.size("bids").alias("n_bids"), total("asks", 0).alias("ask_prices"), total("bids", 1).alias("bid_sizes")))
+
+
+def pending_windows(spark, d):
+    """Hours that the five-minute windows ask for and the hourly bars of U0 don't have."""
+    hours = _bars_1h(spark, d).where("symbol = 'U0'")
+    return silver.pending_ends(_bars_5m(spark, d).select("ts_ms"), hours.where("std IS NOT NULL"))
+
+
 def complete_days(spark, d):
     return bronze.complete_days(fx.klines(spark, d).withColumn("dt", bronze.period_label(F.col("open_time"))), ["symbol", "dt"], 1440)
 
 
 def _bars_5m(spark, d):
-    return kline_windows(fx.klines(spark, d), "5m", **SPAN)
+    return kline_windows(fx.klines(spark, d), "5m")
 
 
 def silver_gaps_5m(spark, d):
-    return silver.missing_ends(_bars_5m(spark, d), fx.FIRST_MS, fx.LAST_MS, "row_exists", SYMBOL)
+    return silver.missing_ends(_bars_5m(spark, d), *fx.span(spark, d), "row_exists", SYMBOL)
+
+
+def silver_gaps_1h_values(spark, d):
+    """Hours that lack a row or any of its values (a deviation needs two bars)."""
+    return silver.missing_ends(_bars_1h(spark, d), *fx.span(spark, d), "all_non_null", SYMBOL)
 
 
 def _propagated(cascade: bool) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
         missing = silver_gaps_5m(spark, d).select("symbol", F.lit("5m").alias("interval"), "ts_ms")
-        return silver.propagate(missing, fx.LAST_MS, cascade, SYMBOL)
+        return silver.propagate(missing, fx.span(spark, d)[1], cascade, SYMBOL)
 
     return query
 
 
 def gap_fill_1h(spark, d):
-    stale = silver.propagate(silver_gaps_5m(spark, d).select("symbol", F.lit("5m").alias("interval"), "ts_ms"), fx.LAST_MS, keys=SYMBOL).where("interval = '1h'")
+    stale = silver.propagate(silver_gaps_5m(spark, d).select("symbol", F.lit("5m").alias("interval"), "ts_ms"), fx.span(spark, d)[1], keys=SYMBOL).where("interval = '1h'")
     raw = fx.klines(spark, d).withColumn("close_time", F.col("open_time") + 60_000)
     return rounded(silver.fill(raw, "close_time", "1h", stale, lambda rows, i: kline_windows(rows.drop("close_time"), i), SYMBOL))
 
 
 def upsert_merge(spark, d):
     old = fx.events(spark, d).select("event_id", "symbol", "value")
-    new = fx.arrivals(spark, d).where("event_id % 5 = 0").select(F.when(F.col("event_id") % 15 == 0, F.col("event_id") + 1_000_000_000).otherwise(F.col("event_id")).alias("event_id"), "symbol", F.when(F.col("event_id") % 20 != 0, F.col("value") * 2).alias("value"), "arrival")
+    new = fx.arrivals(spark, d).select(F.when(F.col("event_id") % 15 == 0, F.col("event_id") + 1_000_000_000).otherwise(F.col("event_id")).alias("event_id"), "symbol", F.when(F.col("event_id") % 20 != 0, F.col("value") * 2).alias("value"), "arrival")
     return rounded(silver.merge_by_key(old.withColumn("arrival", F.lit(-1)), new, ["event_id"], F.col("arrival")))
 
 
 def gold_merge(spark, d):
-    bars = lambda s, i: kline_windows(fx.klines(spark, d).where(F.col("symbol") == s), i, **SPAN).drop("symbol", "ts_ms")
+    bars = lambda s, i: kline_windows(fx.klines(spark, d).where(F.col("symbol") == s), i).drop("symbol", "ts_ms")
     frames = [gold.prefixed(bars(s, i), f"{s}_{i}") for s, i in (("U0", "5m"), ("U1", "5m"), ("U0", "1h"))]
     rates = fx.funding(spark, d).select(F.timestamp_millis("funding_time").cast("timestamp_ntz").alias("timestamp_dt"), "instrument_name", "funding_rate", "funding_time")
     return rounded(gold.align(frames, left=gold.prefixed(rates, "funding", drop=("instrument_name",))))
@@ -171,7 +210,7 @@ def funding_range_copy(spark, d):
 
 
 def _bars_1h(spark, d):
-    return kline_windows(fx.klines(spark, d), "1h", **SPAN)
+    return kline_windows(fx.klines(spark, d), "1h")
 
 
 def ohlc_range(spark, d):
@@ -204,5 +243,5 @@ def queries() -> dict[str, Query]:
         "ob_window_stats_1h": _book_windows("1h", False), "ob_window_stats_1d": _book_windows("1d", False), "ob_window_corr_1d": _book_windows("1d", True),
         "propagate_gaps_exact": _propagated(False), "propagate_gaps_cascade": _propagated(True),
     }
-    plain = (ob_levels, ob_features, ob_features_deep, book_snapshots_minute, dedupe_keep_first, dedupe_keep_last, duplicate_report, rearrange_daily, rearrange_monthly, misplaced_counts, gaps_internal, gaps_boundary, gap_counts, complete_days, silver_gaps_5m, gap_fill_1h, upsert_merge, gold_merge, funding_ffill, funding_asof, funding_range_copy, ohlc_range, ohlc_latest_n, ohlc_date_range, ohlc_statistics, candle_change)
+    plain = (ob_levels, ob_features, ob_features_deep, book_snapshots_minute, dedupe_keep_first, dedupe_keep_last, duplicate_report, rearrange_daily, rearrange_monthly, misplaced_counts, gaps_internal, gaps_boundary, gap_counts, complete_days, normalised_trades, normalised_klines, normalised_funding, rejected_messages, truncated_snapshots, pending_windows, silver_gaps_5m, silver_gaps_1h_values, gap_fill_1h, upsert_merge, gold_merge, funding_ffill, funding_asof, funding_range_copy, ohlc_range, ohlc_latest_n, ohlc_date_range, ohlc_statistics, candle_change)
     return found | {f.__name__: f for f in plain}

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
-#: 2024-01-01T00:00 and 2024-01-31T00:00 UTC, the span of the events.
-FIRST_MS, LAST_MS = 1_704_067_200_000, 1_706_659_200_000
+#: 2024-01-01T00:00 UTC, the first day of books and messages derived from tables of other years.
+FIRST_MS = 1_704_067_200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,8 +35,15 @@ def klines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.agg(F.min_by("value", order).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", order).alias("close"))
 
 
+def span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """The first end of a five-minute window over the bars, and the last one that holds the newest bar's close: one aggregate of the events."""
+    step = 300_000
+    lo, hi = (x - x % step + step for x in events(spark, sf_dir).select((F.col("t") - F.pmod("t", F.lit(60_000)) + 60_000).alias("close")).agg(F.min("close"), F.max("close")).first())
+    return lo, hi
+
+
 def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).where("event_id % 97 = 0").withColumn("funding_time", F.col("t") - F.pmod("t", F.lit(28_800_000)))
+    rows = events(spark, sf_dir).withColumn("funding_time", F.col("t") - F.pmod("t", F.lit(28_800_000)))
     kept = rows.groupBy("funding_time").agg(F.min_by("value", "event_id").alias("v"))
     return kept.select(F.lit("U").alias("instrument_name"), (F.col("v") / 1e4).alias("funding_rate"), "funding_time")
 
@@ -87,3 +94,22 @@ def misplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events under a claimed date that is a day late for every seventh."""
     claimed = F.date_format(F.timestamp_millis(F.col("t") + F.when(F.col("event_id") % 7 == 0, DAY_MS).otherwise(0)), "yyyy-MM-dd")
     return events(spark, sf_dir).select("event_id", "symbol", "t", "value", claimed.alias("dt"))
+
+
+def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as an exchange's strings: errors lack a price, and where k is 13 the time isn't a number."""
+    rows = events(spark, sf_dir)
+    side = F.when(F.col("event_type").isin("purchase", "click"), "buy").otherwise("sell")
+    return rows.select(F.col("symbol").alias("instId"), F.col("event_id").cast("string").alias("tradeId"), side.alias("side"), F.when(F.col("event_type") != "error", F.col("value").cast("string")).alias("px"), (F.col("k") + 1).cast("string").alias("sz"), F.when(F.col("k") == 13, "soon").otherwise(F.col("t").cast("string")).alias("ts"))
+
+
+def candle_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars as arrays of strings; those whose high is their low are cut short."""
+    rows = klines(spark, sf_dir).select("symbol", "high", "low", F.array(*[F.col(c).cast("string") for c in ("open_time", "open", "high", "low", "close")]).alias("candle"))
+    return rows.select("symbol", F.when(F.col("high") == F.col("low"), F.slice("candle", 1, 3)).otherwise(F.col("candle")).alias("candle"))
+
+
+def funding_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates as strings; a rate below a thousandth is written as a dash."""
+    rows = funding(spark, sf_dir)
+    return rows.select(F.col("instrument_name").alias("instId"), F.when(F.col("funding_rate") < 1e-3, "-").otherwise(F.col("funding_rate").cast("string")).alias("fundingRate"), F.col("funding_time").cast("string").alias("fundingTime"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluice.operators.bronze import period_label
 from sluice.operators.silver import merge_by_key
@@ -38,10 +40,26 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def _pending(spark: SparkSession, path: str) -> tuple[str, StructType] | None:
+    """Where a swap that isn't done has its rows, and their columns."""
+    mark = f"{path}-swap"
+    if not exists(spark, mark):
+        return None
+    stage, schema = spark.read.text(mark, wholetext=True).first()[0].split("\n", 1)
+    return stage, StructType.fromJson(json.loads(schema))
+
+
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table with its partition columns; an empty one if the path isn't there. Other errors are raised."""
+    """A table with its partition columns; an empty one if the path isn't there. Other errors are raised.
+
+    While a swap is under way, or was cut off, its partitions are read from where they are staged: all of them or none are new.
+    """
     full = f"{schema}, symbol string, dt string"
-    return spark.read.schema(full).parquet(path) if exists(spark, path) else spark.createDataFrame([], full)
+    table = spark.read.schema(full).parquet(path) if exists(spark, path) else spark.createDataFrame([], full)
+    if (found := _pending(spark, path)) is None:
+        return table
+    new = spark.read.schema(full).parquet(found[0])
+    return table.join(new.select("symbol", "dt").distinct(), ["symbol", "dt"], "left_anti").select(*table.columns).unionByName(new)
 
 
 def symbols(table: DataFrame) -> DataFrame:
@@ -66,17 +84,39 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 
 def swap(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    """As overwrite, for rows that may come from the table itself: they are staged first."""
+    """As overwrite, for rows that may come from the table itself, and all at once: a failure leaves the old table or the new one.
+
+    Rows are staged; then a mark beside the table, made by one rename, says that they count, and readers take them from there; then partitions are
+    replaced and the mark goes. A swap that was cut off behind its mark is finished by the next one. One writer a table is meant.
+    """
+    finish_swap(spark, path)
     stage = f"{path}-stage-{uuid.uuid4().hex}"
     overwrite(rows, stage)
-    overwrite(spark.read.schema(rows.schema).parquet(stage), path)
+    if not exists(spark, stage):
+        return
+    fs, new = _file_system(spark, f"{stage}-mark")
+    out = fs.create(new, True)
+    out.write(bytearray(f"{stage}\n{json.dumps(rows.schema.jsonValue())}".encode()))
+    out.close()
+    if not fs.rename(new, _file_system(spark, f"{path}-swap")[1]):
+        raise OSError(f"can't mark the swap of {path}")
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Puts staged partitions of a marked swap in their places."""
+    if (found := _pending(spark, path)) is None:
+        return
+    stage, schema = found
+    overwrite(spark.read.schema(schema).parquet(stage), path)
+    delete(spark, f"{path}-swap")
     delete(spark, stage)
 
 
 def merge(spark: SparkSession, path: str, new: DataFrame, schema: str, keys: list[str], time: str, period: str = "day", arrival: Column | None = None) -> None:
     """Upsert by key within symbol: only partitions that new rows touch are read and rewritten.
 
-    The merged rows are staged before the swap, so a failed write leaves the table as it was.
+    The merged rows are swapped in all at once, so a failed write leaves the old table or the new one.
     """
     new = new.withColumn("dt", period_label(F.col(time), period))
     touched = new.select("symbol", "dt").distinct()

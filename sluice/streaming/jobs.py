@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.timeutil import INTERVALS, STEP_MS, interval_ms, wall_clock
+from sluice.operators.bronze import accepted, rejected
 from sluice.sources import tables
 from sluice.streaming.recent import changed_panes, in_panes
 
@@ -32,11 +33,25 @@ def first_seen(stream: DataFrame, keys: list[str], time: str, delay: str) -> Dat
     return stamped.dropDuplicatesWithinWatermark(keys).drop("_time")
 
 
-def to_bronze(stream: DataFrame, path: str, schema: str, keys: list[str], time: str, checkpoint: str, period: str = "day", **trigger) -> StreamingQuery:
-    """Micro-batches merged into a bronze table, of equal keys the latest; failures stop the query."""
+def to_bronze(
+    stream: DataFrame, path: str, schema: str, keys: list[str], time: str, checkpoint: str, period: str = "day", judge: Callable[[DataFrame], DataFrame] | None = None, **trigger,
+) -> StreamingQuery:
+    """Micro-batches merged into a bronze table, of equal keys the latest; failures stop the query.
 
-    def sink(batch: DataFrame, _: int) -> None:
-        tables.merge(batch.sparkSession, path, batch, schema, keys, time, period)
+    With ``judge`` (raw rows to parsed ones with ``raw`` and ``reason``, as bronze.judged_trades) rows that don't parse aren't lost: they go to
+    path-rejected, and path-counts has the numbers of rows and rejected rows of each batch. Both are kept by batch, so a batch that runs again replaces its own.
+    """
+
+    def sink(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if judge is not None:
+            seen, judged = Observation(), judge(batch)
+            counted = judged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected"))
+            rejected(counted).write.mode("overwrite").parquet(f"{path}-rejected/batch={number}")
+            counts = seen.get
+            spark.createDataFrame([(counts["rows"], counts["rejected"])], "rows bigint, rejected bigint").write.mode("overwrite").parquet(f"{path}-counts/batch={number}")
+            batch = accepted(judged)
+        tables.merge(spark, path, batch, schema, keys, time, period)
 
     return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
@@ -136,7 +151,7 @@ def _upsert_windows(spark: SparkSession, path: str, new: DataFrame) -> None:
 
 def pass_through(stream: DataFrame, path: str, schema: str, key: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Rows copied as they are, upserted by key into monthly partitions."""
-    return to_bronze(stream, path, schema, [key], key, checkpoint, "month", **trigger)
+    return to_bronze(stream, path, schema, [key], key, checkpoint, "month", None, **trigger)
 
 
 def stream_bars(stream: DataFrame, interval: str, lateness: str = "0 seconds") -> DataFrame:

@@ -8,9 +8,10 @@ import os
 import tarfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators import book
+from sluice.operators import book, bronze
 from sluice.operators.klines import kline_panes, kline_windows, windows_of_panes
 from sluice.sources import connectors, fixtures, tables
 from sluice.sources.schemas import KLINES, TRADES
@@ -75,6 +76,41 @@ def test_tables(spark, tmp_path):
     assert tables.delete(spark, path) and not tables.exists(spark, path)
 
 
+def test_a_swap_that_is_cut_off_leaves_the_old_table_or_the_new_one(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    bars = fixtures.klines(spark, SF)
+    tables.merge(spark, path, bars, KLINES, ["open_time"], "open_time")
+    changed = bars.withColumn("close", F.lit(-1.0))
+    state = lambda: {r["close"] == -1.0 for r in tables.read(spark, path, KLINES).collect()}
+    whole, overwrite = bars.count(), tables.overwrite
+
+    def failing(at, part_way):
+        calls = iter(range(10))
+
+        def write(df, to):
+            if next(calls) == at:
+                if part_way:  # some partitions are replaced, others not
+                    overwrite(df.where("symbol = 'U0' AND dt < '2024-01-10'"), to)
+                raise RuntimeError("lost")
+            overwrite(df, to)
+
+        return write
+
+    monkeypatch.setattr(tables, "overwrite", failing(0, True))
+    with pytest.raises(RuntimeError):
+        tables.merge(spark, path, changed, KLINES, ["open_time"], "open_time")
+    assert state() == {False} and tables.read(spark, path, KLINES).count() == whole
+    monkeypatch.setattr(tables, "overwrite", failing(1, True))
+    with pytest.raises(RuntimeError):
+        tables.merge(spark, path, changed, KLINES, ["open_time"], "open_time")
+    assert state() == {True} and tables.read(spark, path, KLINES).count() == whole
+    assert {r[0] == -1.0 for r in spark.read.parquet(path).select("close").distinct().collect()} == {True, False}
+    monkeypatch.setattr(tables, "overwrite", overwrite)
+    tables.merge(spark, path, changed.limit(1), KLINES, ["open_time"], "open_time")
+    assert {r[0] for r in spark.read.parquet(path).select("close").distinct().collect()} == {-1.0}
+    assert not tables.exists(spark, f"{path}-swap")
+
+
 def _files(df, path, order, n):
     """The rows as n JSON files in order of time, for a file stream."""
     import os
@@ -139,6 +175,37 @@ def test_live_books(spark, tmp_path):
     assert got == {0: [2.0, 1.0], 2: [2.0]}
 
 
+def test_live_books_of_silent_minutes(spark, tmp_path):
+    """Minutes without messages have the book before them; one symbol's messages move the other's time on; a late message is dropped."""
+    day, level = 1_704_067_200_000, lambda p, z: [(p, z)]
+    rows = [("m", day + 1, 1, "update", level(1.0, 2.0), []), ("m", day + 200_000, 2, "update", level(2.0, 1.0), []), ("n", day + 430_000, 3, "update", [], level(5.0, 1.0)), ("m", day + 1_000, 4, "update", level(9.0, 9.0), [])]
+    for k, r in enumerate(rows):
+        _files(spark.createDataFrame([r], MESSAGE), f"{tmp_path}/one{k}", "seq", 1)
+        os.makedirs(f"{tmp_path}/in", exist_ok=True)
+        os.rename(f"{tmp_path}/one{k}/000.json", f"{tmp_path}/in/{k}.json")
+        os.utime(f"{tmp_path}/in/{k}.json", (k + 1, k + 1))
+    stream = spark.readStream.schema(spark.createDataFrame([], MESSAGE).schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    q = book.live_books(stream, silent=True).writeStream.format("memory").queryName("silent").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").start()
+    q.processAllAvailable()
+    q.stop()
+    got = {(r["symbol"], (r["ts"] - day) // 60_000): [x["price"] for x in r["bids"]] for r in spark.table("silent").collect()}
+    assert got == {("m", k): [1.0] if k < 3 else [2.0, 1.0] for k in range(7)}
+
+
+def test_rejected_messages_are_kept(spark, tmp_path):
+    raw = fixtures.trade_messages(spark, SF)
+    _files(raw, f"{tmp_path}/in", "tradeId", 2)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    judge = lambda rows: bronze.judged_trades(rows).withColumn("symbol", F.col("instrument_name"))
+    schema = "instrument_name string, trade_id bigint, side string, price double, size double, created_time bigint"
+    jobs.to_bronze(stream, f"{tmp_path}/t", schema, ["trade_id"], "created_time", f"{tmp_path}/c", judge=judge, availableNow=True).awaitTermination()
+    judged = bronze.judged_trades(raw)
+    good, bad = bronze.accepted(judged).count(), bronze.rejected(judged).count()
+    assert good and bad and tables.read(spark, f"{tmp_path}/t", schema).count() == good
+    assert spark.read.parquet(f"{tmp_path}/t-rejected").count() == bad
+    assert tuple(spark.read.parquet(f"{tmp_path}/t-counts").agg(F.sum("rows"), F.sum("rejected"), F.count("batch")).first()) == (good + bad, bad, 2)
+
+
 def test_catalogue(spark, tmp_path):
     day = 86_400_000
     spark.sql(f"CREATE DATABASE sluice_test LOCATION '{tmp_path}/db'")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions import stats as S
-from sluice.functions.timeutil import cover_windows, expand_windows, interval_ms, with_previous, with_units
+from sluice.functions.ranks import window_ranks
+from sluice.functions.timeutil import STEP_MS, cover_windows, expand_windows, interval_ms, with_previous, with_units
 from sluice.operators import book, bronze, gold, serving, silver
 from sluice.operators.klines import kline_windows, kline_windows_direct
 from sluice.operators.orderbook import book_features, book_windows
@@ -216,3 +218,39 @@ def test_forward_fill_and_as_of(spark):
     assert [r["rate"] for r in gold.as_of(left, right, "t", ["rate"], bucket_ms=4).orderBy("id").collect()] == [None, 0.5, 0.5]
     a = spark.createDataFrame([(1, 2)], "timestamp_dt bigint, x bigint")
     assert gold.align([a, a]).columns == ["timestamp_dt", "x", "x_dup"]
+
+
+@pytest.mark.parametrize("group", [500_000, 6])
+def test_window_ranks(spark, group):
+    """Quantiles and distinct counts of all windows, with days in one piece and cut into bins, against plain lists."""
+    rng = random.Random(group)
+    rows = []
+    for symbol in ("a", None):
+        for _ in range(400):
+            pane = rng.randrange(1, 700) * STEP_MS
+            value = rng.choice([None, 0.0, 1.5, float(rng.randint(0, 9)), rng.random() * 100])
+            rows.append((symbol, pane, rng.choice("xy"), value, rng.randint(0, 3), rng.randint(0, 1)))
+    counts = spark.createDataFrame(rows, "symbol string, pane bigint, name string, value double, n bigint, b bigint")
+    for interval, last in (("1d", None), ("1h", 500 * STEP_MS)):
+        span = interval_ms(interval)
+        got = {(r["symbol"], r["name"], r["ts_ms"]): r for r in window_ranks(counts, ["n", "b"], ("0.25", "0.50"), interval, None, last, group).collect()}
+        ends = {(s, n, e) for s, p, n, *_ in rows for e in range(p, p + span, STEP_MS) if last is None or e <= last}
+        assert set(got) == ends
+        for key in rng.sample(sorted(ends, key=repr), 150):
+            inside = [r for r in rows if (r[0], r[2]) == key[:2] and key[2] - span < r[1] <= key[2]]
+            for j, w in ((4, "n"), (5, "b")):
+                values = sorted(v for r in inside if r[3] is not None for v in [r[3]] * r[j])
+                distinct = len({r[3] for r in inside if r[j]})
+                want = [values[int(q * (len(values) - 1) + 0.5)] if values else None for q in (0.25, 0.5)]
+                r = got[key]
+                assert (r[f"n_{w}"], r[f"nunique_{w}"], [r[f"q_{w}_0.25"], r[f"q_{w}_0.50"]]) == (len(values), distinct, want)
+
+
+def test_missing_ends_of_keys(spark):
+    table = spark.createDataFrame([("a", k * STEP_MS, 1.0 if k % 3 else None) for k in range(0, 200, 2)] + [("b", 7, 1.0)], "symbol string, ts_ms bigint, v double")
+    for rule in ("row_exists", "all_non_null"):
+        got = sorted(tuple(r) for r in silver.missing_ends(table, 2 * STEP_MS, 150 * STEP_MS, rule, ("symbol",)).collect())
+        have = {("a", k * STEP_MS) for k in range(0, 200, 2) if rule == "row_exists" or k % 3}
+        assert got == sorted((s, k * STEP_MS) for s in "ab" for k in range(2, 151) if (s, k * STEP_MS) not in have)
+    assert silver.missing_ends(table, 5, 4, "row_exists").count() == 0
+    assert silver.missing_ends(table.limit(0), 0, 60 * STEP_MS, "row_exists").count() == 61
