@@ -36,34 +36,36 @@ def fold_words(text: bytes) -> list[bytes]:
 
 
 class ItemAutomaton:
-    """Generalised suffix automaton over word numbers, with the items of each window."""
+    """Generalised suffix automaton over word numbers, with the items of each window. Its size follows the words of different items, however often they repeat."""
 
     def __init__(self, items: list[tuple[object, list[bytes]]], window: int):
         self.window, self.vocab = window, {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        coded = [(item, [self.vocab.setdefault(w, len(self.vocab)) for w in words]) for item, words in items if words]
-        for _, words in coded:
+        texts: dict[tuple[int, ...], dict[object, None]] = {}  # items of equal words are one text
+        for item, words in items:
+            if words:
+                texts.setdefault(tuple(self.vocab.setdefault(w, len(self.vocab)) for w in words), {})[item] = None
+        for words in texts:
             last = 0
             for word in words:
                 last = self._extend(last, word)
-        self.shortest = min([min(len(words), window) for _, words in coded], default=0)
+        self.shortest = min([min(len(words), window) for words in texts], default=0)
+        self.members = [tuple(x) for x in texts.values()]
         self.items: list[set] = [set() for _ in self.next]
-        self.ends: list[list[tuple[int, object]]] = [[] for _ in self.next]
-        for number, (item, words) in enumerate(coded):
-            self._mark(number, item, words)
-        for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
-            if more := self.ends[self.link[state]]:
-                self.ends[state] = more + self.ends[state]
+        self.ends: dict[int, list[tuple[int, int]]] = {}
+        for number, words in enumerate(texts):
+            self._mark(number, words)
         self._pack()
 
     def _pack(self) -> None:
-        """Flat tables instead of one container a state."""
+        """Flat tables instead of one container a state; of each state the nearest one, itself or by links, at which short items end."""
         self.width = len(self.vocab)
         self.edges = {state * self.width + word: to for state, out in enumerate(self.next) for word, to in out.items()}
         self.items = {state: frozenset(x) for state, x in enumerate(self.items) if x}
-        self.ends = {state: tuple(x) for state, x in enumerate(self.ends) if x}
-        self.link, self.length = array("i", self.link), array("i", self.length)
+        self.link, self.length, self.nearest = array("i", self.link), array("i", self.length), array("i", bytes(4 * len(self.next)))
+        for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            self.nearest[state] = state if state in self.ends else self.nearest[self.link[state]]
         del self.next
 
     def _extend(self, last: int, word: int) -> int:
@@ -95,20 +97,20 @@ class ItemAutomaton:
             p = self.link[p]
         return copy
 
-    def _mark(self, number: int, item: object, words: list[int]) -> None:
-        """Notes the item at every state with one of its windows, or at the end of a short item."""
+    def _mark(self, number: int, words: tuple[int, ...]) -> None:
+        """Notes the text at every state with one of its windows, or at the state of a short one."""
         state, size = 0, min(len(words), self.window)
         for word in words:
             state = self.next[state][word]
             s = state
-            while s > 0 and self.length[s] >= size and item not in self.items[s]:
-                self.items[s].add(item)
+            while s > 0 and self.length[s] >= size and number not in self.items[s]:
+                self.items[s].add(number)
                 s = self.link[s]
         if len(words) < self.window:
             s = state
             while self.length[self.link[s]] >= len(words):
                 s = self.link[s]
-            self.ends[s].append((len(words), item))
+            self.ends.setdefault(s, []).append((len(words), number))
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set]:
         """Which words stand inside an occurrence of a window; the items of these windows."""
@@ -118,7 +120,7 @@ class ItemAutomaton:
         codes = np.fromiter(map(self.vocab.get, words, repeat(-1)), np.int64, len(words))
         edges = np.flatnonzero(np.diff(np.concatenate([[False], codes >= 0, [False]]).astype(np.int8)))
         starts, stops = edges[::2], edges[1::2]
-        window, width, edges, link, length, ends = self.window, self.width, self.edges, self.link, self.length, self.ends
+        window, width, edges, link, length, ends, nearest = self.window, self.width, self.edges, self.link, self.length, self.ends, self.nearest
         for lo, hi in zip(*(x[stops - starts >= self.shortest].tolist() for x in (starts, stops))):
             state = size = 0
             for at, code in enumerate(codes[lo:hi].tolist(), lo + 1):
@@ -134,12 +136,15 @@ class ItemAutomaton:
                     hit[at - window] += 1
                     hit[at] -= 1
                     found |= self.items[s]
-                for short, item in ends.get(state, ()):
-                    if short <= size:
-                        hit[at - short] += 1
-                        hit[at] -= 1
-                        found.add(item)
-        return np.cumsum(hit[:-1]) > 0, found
+                s = nearest[state]
+                while s:
+                    for short, number in ends[s]:
+                        if short <= size:
+                            hit[at - short] += 1
+                            hit[at] -= 1
+                            found.add(number)
+                    s = nearest[link[s]]
+        return np.cumsum(hit[:-1]) > 0, {item for number in found for item in self.members[number]}
 
 
 def automata(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int = BLOCK_WORDS) -> Iterator[ItemAutomaton]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from sluice.llm.conversations import DELETE, INSERT, REROLE, TRUNCATED
 from sluice.llm.middle import MARKS, PLAIN, SUFFIX_FIRST
-from sluice.llm.rules import CHARACTER_CLASSES, COMMON_WORDS, LEAST_CHARACTERS, LEAST_WORDS, MAX_CHARACTER_DISTANCE, MAX_WORD_DISTANCE
+from sluice.llm.rules import CHARACTER_CLASSES, COMMON_WORDS, LEAST_CHARACTERS, LEAST_WORDS, MAX_CHARACTER_DISTANCE, WORD_SHARE
 
 
 def _quoted(text: str) -> str:
@@ -26,7 +26,7 @@ def divergence_rules() -> str:
     counts = [f"length(t) - length(regexp_replace(t, {pattern(c)}, '', 'g'))" for c in CHARACTER_CLASSES]
     cases = " ".join(f"WHEN {_quoted(k)} THEN [{', '.join(map(_quoted, v))}]" for k, v in COMMON_WORDS.items())
     wide, chars = max(map(len, COMMON_WORDS.values())) + 1, len(CHARACTER_CLASSES) + 1
-    sums = lambda c, n: "[" + ", ".join(f"coalesce(sum({c}[{k}]), 0)::DOUBLE" for k in range(1, n + 1)) + "]"
+    sums = lambda c, n: "[" + ", ".join(f"coalesce(sum({c}[{k}]) FILTER (NOT base_failed), 0)::DOUBLE" for k in range(1, n + 1)) + "]"
     space = "'[ \\t\\n\\x0B\\f\\r]+'"
     return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, {space}), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) AS l, coalesce(CASE lang {cases} END, []) AS bins FROM d),
@@ -37,11 +37,12 @@ c AS (SELECT w.row, doc_id, lang, len(w) AS n_words, length(array_to_string(w, '
   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, [{', '.join(counts)}, length(t)] AS ch0, bins,
   list_transform(w, lambda x: list_position(bins, lower(x))) AS pos FROM w LEFT JOIN rep ON rep.row = w.row),
 m AS (SELECT *, list_concat(ch0[1:{chars - 1}], [ch0[{chars}] - list_sum(ch0[1:{chars - 1}])]) AS ch, CASE WHEN len(bins) > 0 THEN
-  list_concat(list_transform(range(1, len(bins) + 1), lambda k: len(list_filter(pos, lambda x: x = k))), [n_words - len(list_filter(pos, lambda x: x > 0))]) ELSE [n_words] END AS wd FROM c),
-ref AS (SELECT lang, {sums('ch', chars)} AS rch, {sums('wd', wide)} AS rwd FROM m GROUP BY lang),
-j AS (SELECT m.*, round({_distance('ch', 'rch')}, 6) AS character_distance, round({_distance('wd', 'rwd[1:len(wd)]')}, 6) AS word_distance, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m JOIN ref USING (lang))
+  list_concat(list_transform(range(1, len(bins) + 1), lambda k: len(list_filter(pos, lambda x: x = k))), [n_words - len(list_filter(pos, lambda x: x > 0))]) ELSE [n_words] END AS wd, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
+ref0 AS (SELECT lang, {sums('ch', chars)} AS rch, {sums('wd', wide)} AS rwd, list_concat(list_transform(range(max(len(wd)) - 1), lambda i: 0.0::DOUBLE), [1.0::DOUBLE]) AS bare FROM m GROUP BY lang),
+ref AS (SELECT *, {WORD_SHARE} * {_distance('bare', 'rwd[1:len(bare)]')} AS word_limit FROM ref0),
+j AS (SELECT m.*, round({_distance('ch', 'rch')}, 6) AS character_distance, round({_distance('wd', 'rwd[1:len(wd)]')}, 6) AS word_distance, word_limit FROM m JOIN ref USING (lang))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ((word_chars >= {LEAST_CHARACTERS} AND character_distance > {MAX_CHARACTER_DISTANCE}) OR (n_words >= {LEAST_WORDS} AND word_distance > {MAX_WORD_DISTANCE})) AS kept, character_distance, word_distance FROM j"""
+  NOT base_failed AND NOT ((word_chars >= {LEAST_CHARACTERS} AND character_distance > {MAX_CHARACTER_DISTANCE}) OR (n_words >= {LEAST_WORDS} AND word_distance > word_limit)) AS kept, character_distance, word_distance FROM j"""
 
 
 def fill_in_middle() -> str:

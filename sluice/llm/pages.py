@@ -1,9 +1,9 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is cut into text blocks at block-level tags. A block is described by its words and link density,
-those of the blocks before and after it, whether it stands in a part of the page that isn't the article
-(navigation, header, footer, sidebar, advert, notice, form, comments) and whether the page marks
-an article around it. A decision tree fitted to a small labelled table (page_blocks.csv: the blocks of hand-made
+those of the blocks before and after it, whether it stands in an element that isn't the article (navigation, header, footer, sidebar, form) or
+in a part whose class says so (strong words such as "ad" or "comments", weak ones such as "related"), which share of the article's words
+that part holds, and whether the page marks an article around it. A decision tree fitted to a small labelled table (page_blocks.csv: the blocks of hand-made
 pages of several layouts, in page order) says which blocks are main text.
 
 One forward scan reads a page; unclosed tags, quotes and elements cost no more than closed ones.
@@ -32,28 +32,32 @@ RAW_TAGS = frozenset("script style noscript template textarea svg math object ca
 SELF_CLOSING = {"p": BLOCK_TAGS - {"option"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 ASIDE_TAGS = frozenset("nav header footer aside form menu select button dialog iframe".split())
 ARTICLE_TAGS = frozenset(["article", "main"])
-#: Words in class, id and role that mark a part of the page as something other than the article.
-ASIDE_WORDS = frozenset("ad ads adbox adsbygoogle advert adverts advertisement advertising banner sponsor sponsored promo promotion navigation nav navbar menu breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar sidenav aside widget related recommended share sharing social cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall teaser teasers trending popular search searchbox comment comments commentlist disqus reply replies respond discussion pagination pager form contentinfo complementary".split())
+#: Words in class, id and role that say of a part of the page that it isn't the article.
+STRONG_WORDS = frozenset("ad ads adbox adsbygoogle advert adverts advertisement advertising banner sponsor sponsored promo promotion navigation nav navbar menu breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar sidenav aside cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall comment comments commentlist disqus reply replies opinions pagination pager form contentinfo complementary".split())
+#: Words that stand on such parts and, in compounds, on articles' own parts as well.
+WEAK_WORDS = frozenset("widget related recommended share sharing social teaser teasers trending popular search searchbox respond discussion".split())
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "aside", "article")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "mark", "share", "article")
 
 #: Words that don't mark a part inside an article as something else: articles have headers of their own.
 ARTICLE_PARTS = frozenset("header masthead social form".split())
+_HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|$)|style\s*=\s*["']?[^"'>]*display\s*:\s*none)""", re.I)
 
 _NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 _STOP = re.compile(r"""[>"']""")
-_RAW_END = {tag: re.compile(rf"</{tag}[^>]*>", re.I) for tag in (*RAW_TAGS, "title")}
+_RAW_START = {tag: re.compile(f"</{tag}", re.I) for tag in (*RAW_TAGS, "title")}
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
-def _marked(attributes: str, article: bool) -> bool:
-    """Whether class, id or role hold a word of ASIDE_WORDS (inside an article, other than ARTICLE_PARTS)."""
+def _marked(attributes: str, article: bool) -> int:
+    """2 if class, id or role hold a strong word (inside an article, other than ARTICLE_PARTS), 1 for a weak one, else 0."""
+    strength = 0
     for _, a, b, c in _ATTRIBUTE.findall(attributes):
-        found = ASIDE_WORDS.intersection(_PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
-        if found - ARTICLE_PARTS if article else found:
-            return True
-    return False
+        found = set(_PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
+        found = found - ARTICLE_PARTS if article else found
+        strength = max(strength, 2 if found & STRONG_WORDS else 1 if found & WEAK_WORDS else 0)
+    return strength
 
 
 def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
@@ -91,24 +95,50 @@ def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
             return
 
 
+class Part:
+    """A marked part of the page, or an article, or the page: how many words it holds, and the article or page around it."""
+
+    __slots__ = ("words", "around")
+
+    def __init__(self, around: Part | None = None):
+        self.words, self.around = 0, around
+
+    @property
+    def share(self) -> float:
+        return self.words / max(self.words, self.around.words)
+
+
 class Block:
     """One text block with its features."""
 
-    __slots__ = ("text", "words", "links", "aside", "article")
+    __slots__ = ("text", "words", "links", "mark", "part", "article", "given")
 
-    def __init__(self, text: str, words: int, linked: int, aside: bool, article: bool):
+    def __init__(self, text: str, words: int, linked: int, aside: bool, strength: int, part: Part | None, article: bool, share: float = 0.0):
         self.text, self.words, self.links = text, words, linked / words
-        self.aside, self.article = float(aside), float(article)
+        self.mark, self.article = 3.0 if aside else float(strength), float(article)  # element, strong word, weak word
+        self.part, self.given = part, share
+
+    @property
+    def share(self) -> float:
+        return self.part.share if self.part else self.given
+
+
+class Place:
+    """An open element: its tag and what holds inside it. ``around`` is the text around an inline element of its own, ``linked`` its linked words."""
+
+    __slots__ = ("tag", "aside", "strength", "part", "scope", "article", "around", "linked")
+
+    def __init__(self, tag: str, aside: bool, strength: int, part: Part | None, scope: Part, article: bool, around: list[str] | None, linked: int):
+        self.tag, self.aside, self.strength, self.part, self.scope, self.article, self.around, self.linked = tag, aside, strength, part, scope, article, around, linked
 
 
 def text_blocks(page: str) -> list[Block]:
     """All blocks of a page with text, in order; tags that are never closed or opened are tolerated.
 
-    An advert or the like inside a line of text is a block of its own, and the text around it stays one block.
+    An advert or the like inside a line of text is a block of its own, and the text around it stays one block. Hidden elements are asides.
     """
     blocks: list[Block] = []
-    # tag; aside and article as they hold inside; the text around an inline element of its own, and its linked words
-    stack: list[tuple[str, bool, bool, list[str] | None, int]] = [("", False, False, None, 0)]
+    stack: list[Place] = [Place("", False, 0, None, Part(), False, None, 0)]
     opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = in_link = in_head = 0
@@ -117,16 +147,23 @@ def text_blocks(page: str) -> list[Block]:
         nonlocal linked, parts
         words = "".join(parts).split()
         if words:
-            blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), stack[-1][1], stack[-1][2]))
+            here = stack[-1]
+            blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), here.aside, here.strength, here.part, here.article))
+            here.scope.words += len(words)
+            if here.part:
+                here.part.words += len(words)
+                if here.part.around is not here.scope:
+                    here.part.around.words += len(words)
         parts, linked = [], 0
 
     def pop() -> None:
         nonlocal linked, parts
         flush()
-        tag, _, _, around, before = stack.pop()
-        opened[tag] -= 1
-        if around is not None:
-            parts, linked = [*around, " "], before
+        done = stack.pop()
+        opened[done.tag] -= 1
+        if done.around is not None:
+            parts, linked = done.around, done.linked
+            parts.append(" ")
 
     def text(raw: str) -> None:
         nonlocal linked
@@ -136,7 +173,7 @@ def text_blocks(page: str) -> list[Block]:
             if in_link:
                 linked += len(raw.split())
 
-    at, end = 0, len(page)
+    at, end, last_end = 0, len(page), page.rfind(">")
     for start, stop, slash, tag, attributes in tags(page):
         if start < at:
             continue
@@ -148,16 +185,16 @@ def text_blocks(page: str) -> list[Block]:
             in_link = 0 if tag == "a" else in_link
             in_head = 0 if tag == "head" else in_head
             if opened[tag] > 0:
-                while stack[-1][0] != tag:
+                while stack[-1].tag != tag:
                     pop()
                 pop()
             elif tag in BLOCK_TAGS:
                 flush()
             continue
-        if tag in _RAW_END:
+        if tag in _RAW_START:
             if tag == "title" or not attributes.endswith("/"):
-                closing = _RAW_END[tag].search(page, at)
-                at = closing.end() if closing else end
+                closing = _RAW_START[tag].search(page, at)
+                at = page.find(">", closing.end()) + 1 if closing and closing.end() <= last_end else end
             continue
         if tag == "head":
             in_head = 1
@@ -168,16 +205,19 @@ def text_blocks(page: str) -> list[Block]:
             parts.append(" ")
         if tag in BLOCK_TAGS:
             flush()
-            while stack[-1][0] in SELF_CLOSING and tag in SELF_CLOSING[stack[-1][0]]:
+            while stack[-1].tag in SELF_CLOSING and tag in SELF_CLOSING[stack[-1].tag]:
                 pop()
             flush()
         if tag in VOID_TAGS or attributes.endswith("/"):
             continue
-        _, was, article, _, _ = stack[-1]
-        aside = tag in ASIDE_TAGS and not (tag == "header" and article) or bool(attributes) and tag not in ("a", "html", "body", "article", "main") and _marked(attributes, article)
-        if tag in BLOCK_TAGS or aside:
+        was = stack[-1]
+        aside = tag in ASIDE_TAGS and not (tag == "header" and was.article) or bool(attributes) and _HIDDEN.search(attributes) is not None
+        strength = _marked(attributes, was.article) if attributes and tag not in ("a", "html", "body", "article", "main") else 0
+        if tag in BLOCK_TAGS or aside or strength:
+            article = tag in ARTICLE_TAGS
+            part = Part(was.scope) if strength > was.strength else was.part
             opened[tag] += 1
-            stack.append((tag, was or aside, article or tag in ARTICLE_TAGS, None if tag in BLOCK_TAGS else parts, linked))
+            stack.append(Place(tag, was.aside or aside, max(was.strength, strength), part, Part(was.scope) if article and not was.article else was.scope, was.article or article, None if tag in BLOCK_TAGS else parts, linked))
             parts, linked = [], 0
     text(page[at:end])
     while len(stack) > 1:
@@ -190,7 +230,7 @@ def features(blocks: list[Block]) -> list[tuple[float, ...]]:
     """The columns of FEATURES for each block."""
     none = (0, 0.0)
     around = [none, *((b.words, b.links) for b in blocks), none]
-    return [(b.words, b.links, *around[k], *around[k + 2], b.aside, b.article) for k, b in enumerate(blocks)]
+    return [(b.words, b.links, *around[k], *around[k + 2], b.mark, b.share, b.article) for k, b in enumerate(blocks)]
 
 
 class DecisionTree:
@@ -233,12 +273,12 @@ class DecisionTree:
 
 
 def read_labelled(content: str | None = None) -> tuple[list[tuple[float, ...]], list[int]]:
-    """Rows and labels of a labelled table in CSV (page, words, linked, aside, article, main: blocks in page order); by default the one beside this module."""
+    """Rows and labels of a labelled table in CSV (page, words, linked, aside, mark, share, article, main: blocks in page order; mark is 2 for strong words, 1 for weak ones); by default the one beside this module."""
     content = content if content is not None else get_data("sluice.llm", "page_blocks.csv").decode()
     rows, labels = [], []
     for _, page in groupby(csv.DictReader(io.StringIO(content)), key=lambda r: r["page"]):
         page = list(page)
-        rows += features([Block("", int(r["words"]), int(r["linked"]), r["aside"] == "1", r["article"] == "1") for r in page])
+        rows += features([Block("", int(r["words"]), int(r["linked"]), r["aside"] == "1", int(r["mark"]), None, r["article"] == "1", float(r["share"])) for r in page])
         labels += [int(r["main"]) for r in page]
     return rows, labels
 

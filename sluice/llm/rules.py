@@ -24,9 +24,10 @@ COMMON_WORDS = {
 }
 #: Bins of the character histogram, as patterns of one character; other characters are one more bin.
 CHARACTER_CLASSES = ("[a-z]", "[A-Z]", "[0-9]", "[ \\t-\\r]", "[.,;:?'\"()\\-]", "[!#$%&*+/<=>@\\[\\]\\\\^_`{|}~]", "[\\u00C0-\\u024F]")
-#: Distances from which a document is rejected, and the least length at which each is looked at.
+#: Distances from which a document is rejected, and the least length at which each is looked at. That of words is a share of the distance
+#: at which a text without any common word lies from its language's reference.
 MAX_CHARACTER_DISTANCE, LEAST_CHARACTERS = 0.3, 200
-MAX_WORD_DISTANCE, LEAST_WORDS = 0.6, 100
+WORD_SHARE, LEAST_WORDS = 0.75, 100
 WINDOW = 8
 
 _SPACE = "[ \\t-\\r]+"
@@ -88,7 +89,7 @@ def jensen_shannon(a: Column, b: Column) -> Column:
     return F.when((total(a) > 0) & (total(b) > 0), F.sqrt(F.greatest(F.lit(0.0), total(pairs)))).otherwise(F.lit(0.0))
 
 
-def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", word_share: float | None = None) -> DataFrame:
+def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", word_share: float = WORD_SHARE) -> DataFrame:
     """One row for each document: measures, base_failed, kept, character_distance, word_distance.
 
     base_failed: fewer than 20 words, or more than 30 of 100 words in repeated 8-word windows. kept: not
@@ -96,22 +97,20 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     language is one language of its own; a language without a list of common words has one bin, at distance
     0. Texts are read once; the measures are written, as the references need all of them first. References
     are one row a language and meet the documents in a join. Repeated rows and null ids stay rows and count
-    each time. Other columns aren't read. With ``word_share`` the limit of the word distance isn't MAX_WORD_DISTANCE but
-    this share of the distance that a text without any common word has from its language's reference.
+    each time. Other columns aren't read. References are summed over the rows that pass the base rules, so that junk doesn't set the
+    measure; a language without such rows has no reference, and all its rows fail. The limit of the word distance is ``word_share`` of
+    the distance that a text without any common word has from its language's reference.
     """
     measured = written(measures(docs, id_col, text_col, lang_col), "measures")
     wide = max(map(len, COMMON_WORDS.values())) + 1
-    sums = lambda c, n: F.array(*[F.coalesce(F.sum(F.get(c, F.lit(k)).cast("double")), F.lit(0.0)) for k in range(n)])
-    references = measured.groupBy("language").agg(sums("characters", len(CHARACTER_CLASSES) + 1).alias("r_characters"), sums("words", wide).alias("r_words"), *([] if word_share is None else [F.max(F.size("words")).alias("bins")]))
-    limit = F.lit(MAX_WORD_DISTANCE)
-    if word_share is not None:
-        bare = F.concat(F.array_repeat(F.lit(0.0), F.col("bins") - 1), F.array(F.lit(1.0)))
-        references = references.withColumn("word_limit", word_share * jensen_shannon(bare, F.slice("r_words", F.lit(1), F.col("bins"))))
-        limit = F.col("word_limit")
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    sums = lambda c, n: F.array(*[F.coalesce(F.sum(F.when(~failed, F.get(c, F.lit(k)).cast("double"))), F.lit(0.0)) for k in range(n)])
+    references = measured.groupBy("language").agg(sums("characters", len(CHARACTER_CLASSES) + 1).alias("r_characters"), sums("words", wide).alias("r_words"), F.max(F.size("words")).alias("bins"))
+    bare = F.concat(F.array_repeat(F.lit(0.0), F.col("bins") - 1), F.array(F.lit(1.0)))
+    references = references.withColumn("word_limit", word_share * jensen_shannon(bare, F.slice("r_words", F.lit(1), F.col("bins"))))
     n = F.size("words")
     joined = measured.join(references, "language").withColumn("r_words", F.slice("r_words", F.lit(1), n))
     as_double = lambda c: F.transform(c, lambda x: x.cast("double"))
     judged = joined.withColumn("character_distance", F.round(jensen_shannon(as_double("characters"), F.col("r_characters")), 6)).withColumn("word_distance", F.round(jensen_shannon(as_double("words"), F.col("r_words")), 6))
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    odd = ((F.col("word_chars") >= LEAST_CHARACTERS) & (F.col("character_distance") > MAX_CHARACTER_DISTANCE)) | ((F.col("n_words") >= LEAST_WORDS) & (F.col("word_distance") > limit))
+    odd = ((F.col("word_chars") >= LEAST_CHARACTERS) & (F.col("character_distance") > MAX_CHARACTER_DISTANCE)) | ((F.col("n_words") >= LEAST_WORDS) & (F.col("word_distance") > F.col("word_limit")))
     return judged.select(F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~odd).alias("kept"), "character_distance", "word_distance")

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.rowkeys import free_name
 from sluice.llm.storage import new_path
 
 #: Text bytes a bucket should hold.
@@ -85,17 +86,23 @@ def shuffle_to_buckets(docs: DataFrame, path: str, seed: int, id_col: str = "doc
 def assign_shards(shuffled: DataFrame, n_shards: int = 24) -> DataFrame:
     """Adds ``shard`` and ``slot`` to what shuffle_to_buckets returned: counts at most one apart, slots without gaps.
 
-    Only a count for each bucket is gathered; the buckets' places are a running sum over these counts.
+    Only a count for each bucket is gathered; the buckets' places are a running sum over these counts. Columns of these two names that
+    the table has already are replaced; any other name may occur.
     """
+    shuffled = shuffled.drop("shard", "slot")
+    begin = free_name(shuffled)
     totals = shuffled.groupBy("bucket").count().orderBy("bucket").toArrow()
     first = np.cumsum([0, *totals.column("count").to_pylist()])[:-1]
     # a table of known size, so Spark sends it to all executors only while it is small
-    places = shuffled.sparkSession.createDataFrame(totals.drop_columns("count").append_column("_first", pa.array(first, pa.int64())))
-    at = F.col("_first") + F.col("bucket_row")
-    return shuffled.join(places, "bucket").withColumn("shard", F.pmod(at, F.lit(n_shards)).cast("int")).withColumn("slot", F.floor(at / n_shards).cast("bigint")).drop("_first")
+    places = shuffled.sparkSession.createDataFrame(totals.drop_columns("count").append_column(begin, pa.array(first, pa.int64())))
+    at = F.col(begin) + F.col("bucket_row")
+    return shuffled.join(places, "bucket").withColumn("shard", F.pmod(at, F.lit(n_shards)).cast("int")).withColumn("slot", F.floor(at / n_shards).cast("bigint")).drop(begin)
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 24, seed: int = 20240, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Shuffles, writes and numbers all rows; the files under ``path`` stay as the operator's output."""
+    """Shuffles, writes and numbers all rows; the files under ``path`` stay as the operator's output.
+
+    Columns named bucket, bucket_row, shard and slot are replaced by the operator's own.
+    """
     path = path or new_path(docs.sparkSession, "shuffled")
     return assign_shards(shuffle_to_buckets(docs, path, seed, id_col, text_col, bucket_bytes), n_shards)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import itertools
 import re
 
 from sluice.llm import pages as p
@@ -79,6 +80,35 @@ def test_neighbours_decide():
     assert text(f"<div>{linked * 3}{short}{linked * 3}</div>") == ""
 
 
+def test_marked_parts_are_never_kept():
+    """Between two paragraphs, in an article, in main and in neither: menus, related links, adverts, footers, buttons, comments, hidden parts."""
+    parts = [
+        "<nav><a>Home</a> <a>News</a></nav>", '<aside class="related"><a>Some</a> <a>links here</a></aside>', '<div class="ad"><a>Buy cheap boats now</a></div>', "<footer><a>Terms</a> <a>Imprint</a></footer>",
+        "<button><a>Subscribe now</a></button>", '<div class="share-buttons">Share this</div>', f'<div class="user-opinions"><p>{LONG}</p></div>', f'<div style="color:red; display : none">{LONG}</div>', "<div hidden>not seen</div>",
+        '<div class="related"><a>One story</a></div>', f'<div class="adSlot"><a>{LONG}</a></div>', f'<section id="reader-comments"><p>{LONG}</p><p>short</p></section>', f'<div class="cookie-notice">{LONG}</div>',
+    ]
+    paragraph = f"<p>{LONG}</p>"
+    for part in parts:
+        for tag in ("article", "main", "div"):
+            assert text(f"<body><{tag}>{paragraph}{part}{paragraph}</{tag}></body>") == f"{LONG}\n{LONG}", (tag, part)
+            assert text(f"<body><{tag}>{part}{paragraph}{paragraph}{part}</{tag}></body>") == f"{LONG}\n{LONG}", (tag, part)
+        assert text(f'<article><p>{LONG} <span class="ad"><a>Buy cheap</a></span> on</p></article>') == f"{LONG} on"
+    for words, links, before, after, mark, share, article in itertools.product((1, 2, 4, 8, 15, 23, 40, 80), (0, 0.5, 1), ((0, 0), (3, 1), (23, 0), (40, 0)), ((0, 0), (3, 1), (23, 0), (40, 0)), (2, 3), (0.05, 0.3, 0.6), (0, 1)):
+        assert not TREE.predict((words, links, *before, *after, mark, share, article))
+
+
+def test_unmarked_text_of_an_article_is_always_kept():
+    around = ((0, 0), (2, 1), (3, 0), (8, 0), (8, 0.8), (20, 0), (40, 0), (70, 0), (120, 0), (300, 0), (40, 0.9))
+    for words, before, after in itertools.product((1, 2, 3, 4, 5, 6, 8, 10, 14, 20, 30, 50, 90, 200, 500), around, around):
+        assert TREE.predict((words, 0.0, *before, *after, 0.0, 0.0, 1.0))
+
+
+def test_no_word_of_a_class_alone_takes_an_article():
+    assert text(f'<article class="popular-post"><p class="search-term">{LONG}</p><section class="related-work"><p>{LONG}</p></section></article>') == f"{LONG}\n{LONG}"
+    assert text(f'<body><div class="page-sidebar-right"><h1>What is new here</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body>') == f"What is new here\n{LONG}\n{LONG}\n{LONG}"
+    assert text(f"<body><p>{LONG}</p><p>Yes.</p><p>{LONG}</p><ul><li>one</li><li>two</li></ul><p>{LONG}</p></body>") == f"{LONG}\nYes.\n{LONG}\none\ntwo\n{LONG}"
+
+
 def test_layouts_that_the_table_does_not_hold():
     menu = "".join(f'<td><a href="/{k}">Item {k}</a></td>' for k in range(7))
     old = f"<html><body><table><tr>{menu}</tr></table><center><font size=5>A page of the old days</font></center><font>{LONG}<br><br>{LONG} too.</font><hr><p>{LONG}, and so on.</p><table><tr>{menu}</tr></table><small>Last changed in 1999</small>"
@@ -92,7 +122,7 @@ def test_hostile_pages_take_linear_time():
     import time
 
     n = 100_000
-    pages = ['<a "' * n, "<p " * n, "<div>" * n + "</b>" * n, "<a x='>" * n, '<b class="ad">' * n, "<p>" * n + "</div>" * n, "<!--" * n, "<span class=ad><div>" * n + "</span>" * n, "<a =" + '"' * n + ">"]
+    pages = ['<a "' * n, "<p " * n, "<div>" * n + "</b>" * n, "<a x='>" * n, '<b class="ad">' * n, "<p>" * n + "</div>" * n, "<!--" * n, "<span class=ad><div>" * n + "</span>" * n, "<a =" + '"' * n + ">", "<script>" + "</script" * n, "<title>" + "</title x" * n, "<p>" + "<span class=ad>x</span>y " * n]
     begin = time.time()
     for page in pages:
         text(page)

@@ -30,8 +30,9 @@ def plain(docs):
         common = m.COMMON_WORDS.get(lang, [])
         bins = Counter(common.index(w.lower()) if w.lower() in common else 99 for w in words)
         found[i] = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit)), chars, bins, lang
-        sums[lang][0].update(chars)
-        sums[lang][1].update(bins)
+        if len(words) >= 20 and 100 * len(hit) <= 30 * len(words):  # references come from rows that pass the base rules
+            sums[lang][0].update(chars)
+            sums[lang][1].update(bins)
 
     def distance(a, b):
         total, n, n2 = 0.0, sum(a.values()), sum(b.values())
@@ -45,8 +46,9 @@ def plain(docs):
     out = {}
     for i, (base, chars, bins, lang) in found.items():
         cd, wd = distance(chars, sums[lang][0]), distance(bins, sums[lang][1])
+        limit = m.WORD_SHARE * distance(Counter({99: 1}), sums[lang][1])
         failed = base[0] < 20 or 100 * base[4] > 30 * base[0]
-        odd = base[1] >= m.LEAST_CHARACTERS and cd > m.MAX_CHARACTER_DISTANCE or base[0] >= m.LEAST_WORDS and wd > m.MAX_WORD_DISTANCE
+        odd = base[1] >= m.LEAST_CHARACTERS and cd > m.MAX_CHARACTER_DISTANCE or base[0] >= m.LEAST_WORDS and round(wd, 6) > limit
         out[i] = (*base, failed, not failed and not odd, round(cd, 5), round(wd, 5))
     return out
 
@@ -75,12 +77,12 @@ def test_odd_documents(spark):
     assert m.apply_rules(df.union(df)).count() == 24
 
 
-def test_keyword_list_is_rejected_by_a_share_of_the_reference(spark):
+def test_keyword_list_is_rejected(spark):
     word = lambda k: f"word{chr(97 + k % 26)}{chr(97 + k // 26)}"
     plain_text, keywords = " ".join(f"the of {word(k)} in a {word(k + 1)}" for k in range(50)), " ".join(word(k) for k in range(150))
     docs = [*[(k, plain_text, "en") for k in range(20)], (20, keywords, "en"), (21, keywords, "xx"), (22, None, "en")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
-    got = rows(m.apply_rules(df, word_share=0.75), "n_words", "base_failed", "kept", "character_distance", "word_distance")
+    got = rows(m.apply_rules(df), "n_words", "base_failed", "kept", "character_distance", "word_distance")
     assert not got[20][1] and not got[20][2] and got[20][3] <= m.MAX_CHARACTER_DISTANCE and got[20][4] > 0.5
     assert all(got[k][2] for k in range(20)) and got[21][2] and got[21][4] == 0.0
 

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
+from sluice.llm import decontaminate
 from sluice.llm import queries as q
 from tests.llm import brute
 
@@ -197,3 +198,22 @@ def test_shards_do_not_depend_on_input_order(spark):
     a, b = ({(r["doc_id"], r["text"]): (r["shard"], r["slot"]) for r in shard_documents(d, 7, bucket_bytes=500).collect()} for d in (docs, docs.repartition(5)))
     assert a == b and len(a) == 300
     assert shard_documents(docs.limit(0), 7).count() == 0
+    clash = shard_documents(docs.selectExpr("*", "1 AS _first", "'x' AS shard", "2.5 AS slot", "3 AS _"), 7, bucket_bytes=500)
+    assert {(r["doc_id"], r["text"]): (r["shard"], r["slot"]) for r in clash.collect()} == a and set(clash.columns) == {*docs.columns, "_first", "_", "bucket", "bucket_row", "shard", "slot"}
+
+
+def test_short_items_that_repeat_stay_small():
+    """Thousands of equal one-word items cost one text, and short items that end inside long ones are followed by links."""
+    import pickle
+    import time
+
+    rng = random.Random(3)
+    long = [(f"l{k}", [b"w%d" % rng.randint(0, 4000) if rng.random() < 0.9 else b"yes" for _ in range(60)]) for k in range(1000)]
+    short = [(f"s{k}", [b"yes"]) for k in range(16_000)] + [("two", [b"oh", b"yes"]), ("three", [b"so", b"oh", b"yes"])]
+    automaton = decontaminate.ItemAutomaton(long + short, 13)
+    assert len(pickle.dumps(automaton)) < 30_000_000 and len(automaton.ends) <= 4
+    words = [b"so", b"oh", b"yes", *long[5][1][:30], b"no"]
+    begin = time.time()
+    hit, found = automaton.scan(words)
+    assert time.time() - begin < 0.2
+    assert found == {f"s{k}" for k in range(16_000)} | {"two", "three", "l5"} and hit[:33].all() and not hit[33]
