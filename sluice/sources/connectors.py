@@ -12,7 +12,7 @@ from importlib import import_module
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
 from pyspark.sql.types import StructType
 
 PAGE_ROWS = 100
@@ -37,9 +37,13 @@ def _archive_lines(spark: SparkSession, path: str, read) -> DataFrame:
 
 def _zip_csv(content: bytes) -> Iterator[str]:
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        names = [n for n in z.namelist() if n.endswith(".csv")]
-        if names:
-            yield from io.TextIOWrapper(z.open(names[0]), "utf-8").read().splitlines()[1:]
+        for name in z.namelist():
+            if name.endswith(".csv"):
+                with z.open(name) as member:
+                    lines = io.TextIOWrapper(member, "utf-8")
+                    next(lines, None)
+                    for line in lines:
+                        yield line.rstrip("\r\n")
 
 
 def _tar_lines(content: bytes) -> Iterator[str]:
@@ -52,7 +56,7 @@ def _tar_lines(content: bytes) -> Iterator[str]:
 
 
 def read_zipped_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of the first CSV in each ZIP archive, its header left out."""
+    """Rows of the CSVs in each ZIP archive, their headers left out. Members are read line by line."""
     row = F.from_csv("line", schema)
     return _archive_lines(spark, path, _zip_csv).select(row.alias("r")).select("r.*")
 
@@ -152,10 +156,92 @@ class _PolledReader(SimpleDataSourceStreamReader):
         return self.read(start)[0]
 
 
+class _Span(InputPartition):
+    """Messages of one topic partition from an offset to another one."""
+
+    def __init__(self, partition: str, lo: int, hi: int) -> None:
+        super().__init__((partition, lo, hi))
+        self.partition, self.lo, self.hi = partition, lo, hi
+
+
+class TopicSource(DataSource):
+    """A topic in partitions, as a stream or a table of (partition, offset, value), read by tasks.
+
+    Option client is module:function of the options; what it returns has ``ends()``, giving (begin, end) offsets by partition, and
+    ``fetch(partition, lo, hi)``, giving (offset, value) pairs. With option back reading starts so many messages before the end of each partition,
+    or at its beginning if it has fewer; else at the beginning. A task reads at most option most messages (10,000).
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "topic"
+
+    def schema(self) -> str:
+        return "partition string, offset bigint, value string"
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return _TopicTable(dict(self.options))
+
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return _TopicStream(dict(self.options))
+
+
+class _Topic:
+    def __init__(self, options: dict[str, str]) -> None:
+        self.options, self.back, self.most = options, int(options.get("back", -1)), int(options.get("most", 10_000))
+
+    def client(self):
+        return _named(self.options["client"])(self.options)
+
+    def begins(self) -> dict[str, int]:
+        return {str(p): lo if self.back < 0 else max(lo, hi - self.back) for p, (lo, hi) in self.client().ends().items()}
+
+    def ends(self) -> dict[str, int]:
+        return {str(p): hi for p, (_, hi) in self.client().ends().items()}
+
+    def spans(self, start: dict[str, int], end: dict[str, int]) -> list[_Span]:
+        """Partitions that are new since ``start`` begin at 0."""
+        return [_Span(p, lo, min(lo + self.most, hi)) for p, hi in sorted(end.items()) for lo in range(start.get(p, 0), hi, self.most)]
+
+    def read(self, span: _Span) -> Iterator[tuple]:
+        for offset, value in self.client().fetch(span.partition, span.lo, span.hi):
+            yield span.partition, offset, value
+
+
+class _TopicTable(_Topic, DataSourceReader):
+    def partitions(self) -> list[_Span]:
+        return self.spans(self.begins(), self.ends())
+
+
+class _TopicStream(_Topic, DataSourceStreamReader):
+    def initialOffset(self) -> dict:
+        return self.begins()
+
+    def latestOffset(self) -> dict:
+        return self.ends()
+
+    def partitions(self, start: dict, end: dict) -> list[_Span]:
+        return self.spans(start, end)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+def starting_offsets(ends: DataFrame, back: int) -> str:
+    """What startingOffsets of a Kafka reader takes to start ``back`` messages before the end of each partition.
+
+    ``ends`` has topic, partition, begin, end: one row a partition.
+    """
+    at = F.greatest(F.col("begin"), F.col("end") - back)
+    topics = ends.groupBy("topic").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("partition").cast("string"), at)))).alias("offsets"))
+    found = topics.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("topic", F.to_json("offsets")))))).alias("j")).first()["j"]
+    return json.dumps({topic: json.loads(offsets) for topic, offsets in json.loads(found).items()})
+
+
 def register(spark: SparkSession) -> None:
-    """Makes the formats "paged" and "polled" known to the session."""
-    spark.dataSource.register(PagedSource)
-    spark.dataSource.register(PolledSource)
+    """Makes the formats "paged", "polled" and "topic" known to the session."""
+    for source in (PagedSource, PolledSource, TopicSource):
+        spark.dataSource.register(source)
 
 
 def topic_reader(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", most: int = 500):
