@@ -149,7 +149,8 @@ class LiveBook(StatefulProcessor):
         self.minute.update((minute,))
         if self.silent:
             self.handle.registerTimer(minute + MINUTE)
-        yield self._frame(key[0], out)
+        if out:
+            yield self._frame(key[0], out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         minute, end = self.minute.get()[0], timerValues.getCurrentWatermarkInMs() // MINUTE * MINUTE

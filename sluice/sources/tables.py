@@ -87,7 +87,8 @@ def swap(spark: SparkSession, path: str, rows: DataFrame) -> None:
     """As overwrite, for rows that may come from the table itself, and all at once: a failure leaves the old table or the new one.
 
     Rows are staged; then a mark beside the table, made by one rename, says that they count, and readers take them from there; then partitions are
-    replaced and the mark goes. A swap that was cut off behind its mark is finished by the next one. One writer a table is meant.
+    replaced and the mark goes. A swap that was cut off behind its mark is finished first; rows that come from the table itself must be read
+    after that (see merge). One writer a table is meant.
     """
     finish_swap(spark, path)
     stage = f"{path}-stage-{uuid.uuid4().hex}"
@@ -118,6 +119,7 @@ def merge(spark: SparkSession, path: str, new: DataFrame, schema: str, keys: lis
 
     The merged rows are swapped in all at once, so a failed write leaves the old table or the new one.
     """
+    finish_swap(spark, path)  # before the table is read: what the rows come from must stay until they are staged
     new = new.withColumn("dt", period_label(F.col(time), period))
     touched = new.select("symbol", "dt").distinct()
     old = read(spark, path, schema).join(touched, ["symbol", "dt"], "left_semi")

@@ -76,6 +76,7 @@ def to_silver(
 
     def replaced(spark: SparkSession, new: DataFrame, panes: DataFrame) -> None:
         """Puts whole panes in the place of what root/recent has of them."""
+        tables.finish_swap(spark, f"{root}/recent")
         new = new.withColumn("dt", _hour(F.col("pane")))
         old = tables.read(spark, f"{root}/recent", ", ".join(f"`{c}` {t}" for c, t in new.dtypes if c not in ("symbol", "dt")))
         hours = panes.select("symbol", _hour(F.col("pane")).alias("dt")).distinct()
