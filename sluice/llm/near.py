@@ -4,10 +4,12 @@ Two small collections of minhash bands are computed, m bands each. A table key j
 with a band of the second, so m * m tables cost 2 * m bands of minhashes instead of m * m. Documents of
 equal shingle sets are one class and only its smallest id goes on. Within a table key, members are first
 held against one pivot and connected components of the verified links are formed. Keys whose members then
-still belong to several components are taken up again, and only they: their documents meet under the table
-key, in blocks of bounded size, and every pair across components is verified under the first key that it shares,
-but for pairs that an exact bound from sizes and sketches rules out. No key is capped and no pair that
-shares a key and can be linked is passed over.
+still belong to several components are taken up again, and only they. Those with many members are held against
+hubs, as long as that halves their rows. Then documents meet under the table key, in blocks of bounded size, and every
+pair across components is verified under the first key that it shares, but for pairs that exact bounds from sizes,
+shingles and sketches rule out. In a large key only members outside its main component that can still be linked go to several
+blocks, so near copies of one text cost rows in proportion to their number. No key is capped and no pair that shares a
+key and can be linked is passed over.
 """
 
 from __future__ import annotations
@@ -242,19 +244,82 @@ def _block_pairs(num: int, den: int):
     return pairs
 
 
-def pairs_across(members: DataFrame, signed: DataFrame, num: int, den: int) -> DataFrame:
+def open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(table, key, doc, label, size) of the keys whose members have several labels; size is the key's number of members."""
+    label = labels.select(F.col("id").alias("doc"), "label")
+    labelled = buckets.select("table", "key", "doc").join(label, "doc", "left").select("table", "key", "doc", F.coalesce("label", "doc").alias("label"))
+    ends = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", "size")
+    return written(labelled.join(ends, "key"), "open")
+
+
+def hub_pairs(large: DataFrame) -> DataFrame:
+    """(a, b): the hub a of each key and every member b of another label. A hub is the member that meets most others, over all its keys."""
+    met = large.groupBy("doc").agg(F.sum("size").alias("met"))
+    hubs = large.join(met, "doc").groupBy("key").agg(F.max(F.struct("met", "doc", "label")).alias("hub"))
+    return large.join(hubs, "key").where(F.col("label") != F.col("hub.label")).select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).distinct()
+
+
+def _shingles(width: int):
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                h, n = shingle_sets([unpack.decompress(x) for x in part.column(1).to_pylist()], width)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(h.view(np.int64))], names=["doc", "h"])
+
+    return shingles
+
+
+def linkable(large: DataFrame, signed: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(doc, n, most) of the members that can be linked with any other; exact, no linked pair is ruled out.
+
+    ``most`` counts the shingles that stand in another member too: no overlap is larger, and the other set is as large as the overlap at least.
+    """
+    docs = large.select("doc").distinct()
+    shingles = texts.join(docs, "doc", "left_semi").select("doc", "data").mapInArrow(_shingles(width), "doc bigint, h bigint")
+    alone = shingles.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("doc").alias("doc")).where("k = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = signed.select("doc", "n").join(docs, "doc", "left_semi").dropDuplicates(["doc"])
+    return sizes.join(alone, "doc", "left").select("doc", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most")).where(den * F.col("most") >= num * F.col("n"))
+
+
+def meetings(members: DataFrame, signed: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(table, key, lo, hi, doc, label, block): which documents of a key meet, those of block lo with those of block hi.
+
+    The members of a key of bounded size are one block. In a larger key, members that can't be linked are left out, and only those
+    that haven't the key's most frequent label ask (of two labels, one at least asks). The others are dealt out over blocks by
+    size, and a member asks the blocks that hold a size with which its overlap can be large enough.
+    """
+    place = ["table", "key", "lo", "hi", "doc", "label", "block"]
+    zero = F.lit(0).cast("bigint")
+    small = members.where(F.col("size") <= BLOCK).select("table", "key", zero.alias("lo"), zero.alias("hi"), "doc", "label", zero.alias("block"))
+    large = members.where(F.col("size") > BLOCK).drop("size")
+    if large.isEmpty():
+        return small
+    rest = written(large.join(linkable(large, signed, texts, width, num, den), "doc").withColumn("step", F.floor(F.log("n") * 50)), "rest")
+    tops = rest.groupBy("key", "label").count().groupBy("key").agg(F.max(F.struct("count", "label")).alias("top")).select("key", F.col("top.label").alias("top"))
+    steps = rest.groupBy("key", "step").agg(F.min("n").alias("least"), F.max("n").alias("greatest"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    fits = ((num + den) * F.col("most") >= num * (F.col("n") + F.col("least"))) & (den * F.col("greatest") >= num * F.col("n")) & (den * F.col("n") >= num * F.col("least"))
+    asking = written(rest.join(tops, "key").where("label != top").drop("step", "top").join(steps, "key").where(fits), "asking")
+    asked = asking.groupBy("key", "step", "parts").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
+    within = lambda column: F.pmod(F.xxhash64("doc"), F.col(column))
+    spread = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+    number = lambda part: F.shiftleft("step", 32) + part
+    ask = asking.join(asked.drop("parts"), ["key", "step"]).withColumn("lo", -1 - within("chunks")).withColumn("part", spread("parts")).withColumn("hi", number(F.col("part"))).withColumn("block", F.col("lo"))
+    answer = rest.join(asked, ["key", "step"]).withColumn("chunk", spread("chunks")).withColumn("lo", (-1 - F.col("chunk")).cast("bigint")).withColumn("hi", number(within("parts"))).withColumn("block", F.col("hi"))
+    return small.unionByName(ask.select(place)).unionByName(answer.select(place))
+
+
+def pairs_across(members: DataFrame, signed: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(a, b) of all documents of different labels that share a table key and may be linked.
 
-    ``members`` has table, key, doc, label, blocks: the members of keys with several labels. A key's documents are
-    dealt out over blocks of bounded size and blocks meet in pairs; a pair is taken up under the first key that it shares.
+    ``members`` has table, key, doc, label, size: the members of keys with several labels. They meet in blocks of bounded
+    size; a pair is taken up under the first key that it shares.
     """
-    spark = members.sparkSession
     facts = signed.select("doc", "n", "bands", "sketch").join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = met.select("table", "key", "lo", "hi", "doc", "label", "block").join(facts, "doc")
-    return rows.repartition(parts, "table", "key", "lo", "hi").sortWithinPartitions("table", "key", "lo", "hi", "doc").mapInArrow(_block_pairs(num, den), "a bigint, b bigint")
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = meetings(members, signed, texts, width, num, den).join(facts, "doc")
+    return rows.repartition(parts, "table", "key", "lo", "hi").sortWithinPartitions("table", "key", "lo", "hi", "doc").mapInArrow(_block_pairs(num, den), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -287,13 +352,20 @@ def _judged(docs: DataFrame, key_col: str, text_col: str, width: int, num: int,
     texts = written(packed.join(buckets.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "texts")
     tested = written(buckets.where("doc > pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = written(verified_links(tested, texts, width, num, den), "links")
-    labels = components(links)
-    label = labels.select(F.col("id").alias("doc"), "label")
-    labelled = buckets.select("table", "key", "doc").join(label, "doc", "left").select("table", "key", "doc", F.coalesce("label", "doc").alias("label"))
-    ends = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    members = written(labelled.join(ends, "key"), "open")
+    labels, before = components(links), None
+    members = open_members(buckets, labels)
+    while (now := members.where(F.col("size") > BLOCK).count()) and (before is None or 2 * now <= before):
+        hubs = hub_pairs(members.where(F.col("size") > BLOCK)).select("a", "b", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        hubs = written(hubs.join(tested.toDF("x", "y"), ["x", "y"], "left_anti"), "pairs")
+        found, before = written(verified_links(hubs.select("a", "b"), texts, width, num, den), "links"), now
+        tested = tested.unionByName(hubs.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        labels = components(links)
+        members = open_members(buckets, labels)
     if not members.isEmpty():
-        fresh = written(pairs_across(members, signed, num, den).join(tested, ["a", "b"], "left_anti"), "pairs")
+        fresh = written(pairs_across(members, signed, texts, width, num, den).join(tested, ["a", "b"], "left_anti"), "pairs")
         found = written(verified_links(fresh, texts, width, num, den), "links")
         if not found.isEmpty():
             labels = components(links.unionByName(found))

@@ -86,3 +86,51 @@ def test_block_pairs_drop_no_link():
     rows = [{"table": 0, "key": 0, "lo": 0, "hi": 0, "doc": k, "n": len(s), "label": k, "block": 0, "bands": bands[k], "sketch": m.tobytes()} for k, (s, m) in enumerate(zip(sets, near.sketches(h, owner, 3)))]
     out = [r for b in near._block_pairs(85, 100)([pa.RecordBatch.from_pylist(rows)]) for r in b.to_pylist()]
     assert out == [{"a": 0, "b": 1}]
+
+
+def star_documents(copies, seed=4, hub=True):
+    """A text and copies of it, each with a few changed words or so many that it is linked with none; the first rows are far ones."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(150)]
+    docs = []
+    for k in range(copies):
+        words = list(base)
+        for at in rng.sample(range(150), 9 if k < 5 else 0 if hub and k == 5 else rng.choice([1, 1, 2, 3, 4, 7, 9])):
+            words[at] = f"x{k}_{at}"
+        docs.append((k, " ".join(words)))
+    return docs
+
+
+def test_rows_that_meet_grow_with_the_group(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 20)
+    plain, count = near._block_pairs, {}
+    for copies in (150, 600):
+        rows_met = spark.sparkContext.accumulator(0)
+
+        def counted(num, den, rows_met=rows_met):
+            pairs = plain(num, den)
+
+            def seen(batches):
+                def each():
+                    for batch in batches:
+                        rows_met.add(batch.num_rows)
+                        yield batch
+
+                return pairs(each())
+
+            return seen
+
+        monkeypatch.setattr(near, "_block_pairs", counted)
+        docs = star_documents(copies)
+        df = spark.createDataFrame(docs, "doc_id bigint, text string")
+        assert rows(near.near_duplicates(df, threshold=(85, 100)), *COLUMNS) == brute.near_groups(docs)
+        count[copies] = rows_met.value
+    assert count[600] < 8 * count[150]  # 16 times if all pairs of blocks meet
+
+
+def test_copies_without_their_text(spark, monkeypatch):
+    """Many members lie just beyond the threshold from all others, so they ask the blocks of their key."""
+    monkeypatch.setattr(near, "BLOCK", 20)
+    docs = star_documents(200, hub=False)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert rows(near.near_duplicates(df, threshold=(85, 100)), *COLUMNS) == brute.near_groups(docs)
