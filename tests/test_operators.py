@@ -114,6 +114,19 @@ def test_book_features_by_hand(spark):
     assert len(w) == 1 and w[0]["snapshot_count"] == 2 and len(w[0]) == 77 + 3 and w[0]["rate_mean_ms"] == 1.0
 
 
+def test_books_of_one_instant_go_by_id(spark):
+    t, n = 1_704_067_200_000, 9
+    rows = [("b", k, t + k // n * 3_600_000, f"[[{10 + k},1]]", f"[[{9 - k},1]]") for k in range(2 * n)]
+    random.Random(1).shuffle(rows)
+    books = spark.createDataFrame(rows, "symbol string, id bigint, ts bigint, asks string, bids string")
+    for interval in ("1h", "1d"):
+        got = {r["ts_ms"]: (r["spread_first"], r["spread_last"], r["rate_max_ms"]) for r in book_windows(books, interval).collect()}
+        assert got[t + M5] == (1.0, 1.0 + 2 * (n - 1), 0.0)
+        assert got[t + 13 * M5] == (1.0 + 2 * n * (interval == "1h"), 1.0 + 2 * (2 * n - 1), 0.0 if interval == "1h" else 3_600_000.0)
+    unnamed = book_windows(books.drop("id"), "1h")
+    assert unnamed.where("spread_first = spread_last").count() == 0 and unnamed.count() == 24
+
+
 LEVELS = "array<struct<price:double,size:double>>"
 MESSAGE = f"symbol string, ts bigint, seq bigint, action string, bids {LEVELS}, asks {LEVELS}"
 
