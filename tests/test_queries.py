@@ -26,7 +26,7 @@ def test_query(spark, con, name):
     assert difference(queries()[name](spark, SF), oracle_sql()[name], con) == ""
 
 
-@pytest.mark.parametrize("name", ["ob_window_stats_1d"])
+@pytest.mark.parametrize("name", ["ob_window_stats_1d", "ob_window_stats_1h"])
 def test_books_of_one_instant(spark, tmp_path, name):
     """Orders a whole day of seconds apart are books of one instant, as in tables of more than 86,400 orders."""
     keys = "r // 4 * 7 + r % 4 * 86400 + 1"
